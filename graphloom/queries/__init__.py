@@ -1,0 +1,6 @@
+"""The queries of the library, and the SQL that each must agree with."""
+
+from . import canonical, extraction
+
+QUERIES = extraction.QUERIES | canonical.QUERIES
+ORACLE_SQL = extraction.ORACLE_SQL | canonical.ORACLE_SQL
