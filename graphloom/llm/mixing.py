@@ -65,15 +65,16 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = 7, buckets: int = BUCKETS) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken.
+def draw(docs: DataFrame, seed: int) -> tuple:
+    """(size, key) of a document, as columns."""
+    size = word_count(F.col("text"))
+    weight = quality_weight(size, F.coalesce(F.char_length("text"), F.lit(0)))
+    return size, -F.ln(uniform(F.col("doc_id"), seed)) / weight
 
-    ``taken`` counts words with repeats; the sum over a source is its target rounded to a whole number. Null text
-    has size 0, a null source is a source (the last), a null doc_id draws one key for all such rows, equal keys go
-    by id and size. An empty table gives no rows; columns beyond doc_id, source and text are ignored.
-    """
-    slim = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.char_length("text").alias("chars"))
-    slim = slim.withColumn("key", -F.ln(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("size"), F.coalesce("chars", F.lit(0)))).drop("chars")
+
+def _shares(docs: DataFrame, weights: tuple[int, ...], epochs: int, seed: int, buckets: int) -> DataFrame:
+    size, key = draw(docs, seed)
+    slim = docs.select("doc_id", "source", size.alias("size"), key.alias("key"))
     slim = materialize(slim.withColumn("bucket", F.floor((1 - F.exp(-F.col("key") / 4)) * buckets).cast("int")), "mix")
     plans = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs)
     plans = plans.withColumn("whole", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(epochs).cast("long"))).otherwise(F.lit(0).cast("long")))
@@ -86,22 +87,47 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCH
     placed = slim.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
     joined = placed.alias("d").join(sums.alias("b"), F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.bucket") == F.col("b.bucket")))
     part = F.least(F.col("size"), F.greatest(F.lit(0).cast("long"), F.col("budget") - F.col("before") - F.col("ahead")))
-    return joined.select("doc_id", F.col("d.source").alias("source"), "size", "source_size", "target", (F.col("whole") * F.col("size") + part).alias("taken"))
+    return joined.select("doc_id", F.col("d.source").alias("source"), "key", "size", "source_size", "target", "whole", part.alias("part"))
+
 
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = 7, buckets: int = BUCKETS) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, taken.
 
-def apply_mix(docs: DataFrame, **options) -> DataFrame:
+    ``taken`` counts words with repeats; the sum over a source is its target rounded to a whole number. Null text
+    has size 0, a null source is a source (the last), a null doc_id draws one key for all such rows, equal keys go
+    by id and size. An empty table gives no rows; columns beyond doc_id, source and text are ignored.
+    """
+    shares = _shares(docs, weights, epochs, seed, buckets)
+    return shares.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).alias("taken"))
+
+
+def apply_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = 7, buckets: int = BUCKETS) -> DataFrame:
     """The documents of the mix, in the columns of docs: one row for each complete time a document is taken.
 
     A document of which only the first m words are taken comes once more with just those words, joined by single
-    spaces; documents that the mix leaves out go. Rows meet their share by doc_id, which must be unique.
+    spaces; documents that the mix leaves out go. doc_id must be unique.
+
+    What a source takes beyond its complete epochs ends at one document, the cut. One row per source (its epochs
+    and its cut) therefore settles every document, and texts meet those rows by source, without a shuffle where
+    that written table is small enough to broadcast.
     """
-    shares = mix(docs, **options).where("taken > 0").select("doc_id", F.col("size").alias("__size"), F.col("taken").alias("__taken"))
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    whole, part = F.floor(F.col("__taken") / F.col("__size")).cast("int"), F.col("__taken") % F.col("__size")
+    shares = _shares(docs, weights, epochs, seed, buckets)
+    cut = F.max(F.when(F.col("part") > 0, F.struct("key", "doc_id", "part"))).alias("__cut")
+    cuts = materialize(shares.groupBy(F.col("source").alias("__source")).agg(F.max("whole").cast("int").alias("__whole"), cut), "cuts")
+    size, key = draw(docs, seed)
+    drawn = docs.withColumn("__size", size).withColumn("__key", key).join(cuts, F.col("source").eqNullSafe(F.col("__source")))
+    # The cut names a document by its id: keys are settled by ids, and arithmetic is never compared with itself.
+    at_cut = F.col("doc_id") == F.col("__cut.doc_id")
+    before = F.struct(F.col("__key"), F.col("doc_id")) < F.struct(F.col("__cut.key"), F.col("__cut.doc_id"))
+    part = F.when(at_cut, F.col("__cut.part")).when(before, F.col("__size")).otherwise(F.lit(0).cast("long"))
+    drawn = drawn.withColumn("__part", F.coalesce(part, F.lit(0).cast("long")))
+    whole = F.col("__whole") + F.when(F.col("__part") == F.col("__size"), 1).otherwise(0)
+    rest = F.when(F.col("__part") < F.col("__size"), F.col("__part")).otherwise(F.lit(0).cast("long"))
     copies = F.array_repeat(F.lit(0).cast("long"), whole)
-    rows = docs.join(shares, "doc_id").withColumn("__part", F.explode(F.when(part > 0, F.concat(copies, F.array(part))).otherwise(copies)))
+    rows = drawn.where("__size > 0").withColumn("__words", F.explode(F.when(rest > 0, F.concat(copies, F.array(rest))).otherwise(copies)))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     out = {c: F.col(f"`{c}`") for c in docs.columns}
-    out["text"] = F.when(F.col("__part") > 0, F.array_join(F.slice(words, F.lit(1), F.col("__part").cast("int")), " ")).otherwise(F.col("text"))
+    out["text"] = F.when(F.col("__words") > 0, F.array_join(F.slice(words, F.lit(1), F.col("__words").cast("int")), " ")).otherwise(F.col("text"))
     if "n_chars" in out:
-        out["n_chars"] = F.when(F.col("__part") > 0, F.char_length(out["text"]).cast("long")).otherwise(F.col("n_chars"))
+        out["n_chars"] = F.when(F.col("__words") > 0, F.char_length(out["text"]).cast("long")).otherwise(F.col("n_chars"))
     return rows.select(*[x.alias(c) for c, x in out.items()])

@@ -242,6 +242,10 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Keep the document of each group that names it; the columns of docs stay as they are."""
-    first = simhash_groups(docs, radius).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi")
+    """Keep the document of each group that names it; the columns of docs stay as they are, and so do documents
+    without an id.
+
+    What goes is a written table of known size: where it is small enough to broadcast, texts need no shuffle.
+    """
+    gone = materialize(simhash_groups(docs, radius).where("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
