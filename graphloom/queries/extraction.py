@@ -238,6 +238,20 @@ def request_plan(spark, sf_dir):
     return runs.join(batches, "chunk_id", "left").fillna(0)
 
 
+def scoped_prompts(spark, sf_dir):
+    out = rel.scoped_prompts(_llm_entities(spark, sf_dir), chunks(spark, sf_dir))
+    return out.select("chunk_id", "n_entities", F.sha2("user", 256).alias("user_digest"))
+
+
+def tool_inputs(spark, sf_dir):
+    """Raw responses read back: those that stopped for another reason, or called another tool, give nothing."""
+    events = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit('{"n":'), F.col("event_id").cast("string"), F.lit("}")).alias("body"))
+    stop = F.when(F.col("event_id") % 3 == 0, "end_turn").otherwise("tool_use")
+    name = F.when(F.col("event_id") % 5 == 0, "other").otherwise("extract")
+    raw = F.concat(F.lit('{"stopReason":"'), stop, F.lit('","output":{"message":{"content":[{"text":"t'), F.col("event_id").cast("string"), F.lit('"},{"toolUse":{"name":"'), name, F.lit('","input":'), F.col("body"), F.lit("}}]}}}"))
+    return events.select("event_id", rel.tool_input(raw, "extract").alias("input"), rel.first_text(raw).alias("first_text"))
+
+
 def usage_rollup(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     usage = events.select(F.col("event_type").alias("folder_id"), F.concat(F.lit("model-"), (F.col("user_id") % 3).cast("string")).alias("model"), F.struct((F.col("event_id") % 1000).alias("input_tokens"), (F.col("event_id") % 77).alias("output_tokens")).alias("quantity"))
@@ -245,8 +259,10 @@ def usage_rollup(spark, sf_dir):
 
 
 def attempts(spark, sf_dir):
-    """Requests answered by the first or the second attempt, or by none."""
-    out = rel.first_valid(inp.responses(spark, sf_dir).where((F.col("attempt") == 1) | ~F.col("chunk_id").endswith("3")))
+    """Requests answered by the first or the second attempt, or by none; some first attempts failed hard."""
+    asked = inp.responses(spark, sf_dir).where((F.col("attempt") == 1) | ~F.col("chunk_id").endswith("3"))
+    code = F.when((F.col("attempt") == 1) & F.col("chunk_id").endswith("1"), "Throttled").when((F.col("attempt") == 1) & F.col("chunk_id").endswith("2"), "ModelErrorException")
+    out = rel.first_valid(asked.withColumn("error_code", code))
     return out.select("chunk_id", "run_idx", "failed")
 
 
@@ -256,7 +272,7 @@ QUERIES = {
         "chunk_scan", "regex_entities", "checksum_lei", "checksum_isin", "label_mapping", "closed_vocab", "unmapped_count", "pronoun_filter", "guardrail_screen", "layer_merge",
         "entity_uids", "edge_uids", "top_entities", "folder_summary", "llm_parse_entities", "llm_parse_relations", "entity_scoped_parse", "classify_parse", "coref_apply",
         "evidence_grounding", "relation_validate", "edge_build", "edge_merge", "self_consistency_vote", "candidate_pairs", "dep_match_svo", "dep_match_prep", "dep_match_copula",
-        "preview", "preview_edges", "request_plan", "usage_rollup", "attempts",
+        "preview", "preview_edges", "request_plan", "scoped_prompts", "tool_inputs", "usage_rollup", "attempts",
     )
 }
 
@@ -340,7 +356,7 @@ LEFT JOIN (SELECT folder_id, count(*) FILTER (NOT grounded) AS n FROM legal WHER
     "llm_parse_relations": "WITH" + inp.RESPONSES + " SELECT chunk_id, run_idx, ord, relation_type, src_surface, src_type, dst_surface, dst_type, confidence, evidence_text, extractor FROM relations",
     "entity_scoped_parse": "WITH" + inp.RESPONSES + _LLM_ENTITIES + ", n AS (SELECT chunk_id, count(*) AS n_entities FROM llm_kept GROUP BY chunk_id HAVING count(*) >= 2) SELECT chunk_id, ord, relation_type, src_surface, dst_surface, confidence, 'llm-entity-scoped' AS extractor, n_entities FROM relations JOIN n USING (chunk_id) WHERE run_idx = 1",
     "classify_parse": _PAIRS_WITH + " SELECT chunk_id, (n // 20) * 20 + n % 20 AS ord, split_part(allowed, ',', 1) AS relation_type, src_surface, src_type, dst_surface, dst_type, 1.0::DOUBLE AS confidence, src_surface AS evidence_text, 'llm-classify' AS extractor FROM batched WHERE (n % 20) % 2 = 0",
-    "coref_apply": "WITH" + inp.CHUNKS + " SELECT chunk_id, CASE WHEN line_no % 3 = 1 THEN 'They: ' || text ELSE text END AS text FROM chunks",
+    "coref_apply": "WITH" + inp.CHUNKS + r" SELECT chunk_id, CASE WHEN line_no % 3 = 1 THEN regexp_replace('They: ' || text, '[\s\x1c-\x1f]+$', '') ELSE text END AS text FROM chunks",
     "evidence_grounding": _R + inp.RESPONSES + _VALID + " SELECT chunk_id, ord, relation_type, evidence_text, grounded FROM legal WHERE run_idx = 1",
     "relation_validate": _R + inp.RESPONSES + _VALID + " SELECT folder_id, count(*) FILTER (NOT grounded) AS ungrounded_relation_count, nullif(count(*) FILTER (grounded), 0) AS n_valid FROM (SELECT l.folder_id, l.grounded FROM legal l) GROUP BY folder_id",
     "edge_build": _EDGE_SQL,
@@ -361,6 +377,9 @@ FROM u JOIN j USING (folder_id, relation_type, src_entity_uid, dst_entity_uid) G
     "preview": "SELECT * FROM (VALUES ('Email', 'sales@acme.example.com', 9, 31, 1.0::DOUBLE, 'regex'), ('Code', '12345678', 44, 52, 1.0, 'regex')) t(entity_type, surface_form, span_start, span_end, confidence, extractor)",
     "preview_edges": _R + inp.RESPONSES + _EDGES + ", m AS (SELECT folder_id, relation_type, src_entity_uid, dst_entity_uid, max(confidence) AS confidence, string_agg(DISTINCT evidence_text, '; ') AS evidence_text FROM edge_rows GROUP BY ALL) SELECT relation_type, s.surface_form AS src_surface, d.surface_form AS dst_surface, m.confidence, m.evidence_text FROM m LEFT JOIN llm_kept s ON s.entity_uid = src_entity_uid LEFT JOIN llm_kept d ON d.entity_uid = dst_entity_uid",
     "request_plan": _PAIRS_WITH + " SELECT chunk_id, 3::BIGINT AS n_generate, coalesce(n_classify, 0) AS n_classify FROM chunks LEFT JOIN (SELECT chunk_id, count(DISTINCT n // 20) AS n_classify FROM batched GROUP BY chunk_id) USING (chunk_id)",
+    "scoped_prompts": _R + inp.RESPONSES + _LLM_ENTITIES + f""", l AS (SELECT chunk_id, count(*) AS n_entities, string_agg('- "' || surface_form || '" (' || entity_type || ')', chr(10) ORDER BY item) AS lines FROM llm_kept GROUP BY chunk_id HAVING count(*) >= 2)
+SELECT chunk_id, n_entities, sha256('{rel.DATA_ONLY}' || chr(10) || chr(10) || 'ENTITIES:' || chr(10) || lines || chr(10) || chr(10) || 'TEXT:' || chr(10) || text) AS user_digest FROM l JOIN chunks USING (chunk_id)""",
+    "tool_inputs": "SELECT event_id, CASE WHEN event_id % 3 <> 0 AND event_id % 5 <> 0 THEN '{\"n\":' || event_id || '}' END AS input, 't' || event_id AS first_text FROM events",
     "usage_rollup": "SELECT event_type AS folder_id, 'model-' || (user_id % 3) AS model, count(*) AS calls, sum(event_id % 1000)::BIGINT AS input_tokens, sum(event_id % 77)::BIGINT AS output_tokens FROM events GROUP BY ALL",
-    "attempts": "WITH" + inp.RESPONSES + " SELECT chunk_id, run_idx, doc_id % 5 = 0 AND ends_with(chunk_id, '3') AS failed FROM answers",
+    "attempts": "WITH" + inp.RESPONSES + " SELECT chunk_id, run_idx, (doc_id % 5 = 0 AND ends_with(chunk_id, '3')) OR ends_with(chunk_id, '1') AS failed FROM answers",
 }

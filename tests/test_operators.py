@@ -258,6 +258,8 @@ RESPONSE = "chunk_id string, mode string, run_idx int, attempt int, batch_no int
 def test_attempts(spark):
     rows = [("a", "generate", 1, 1, 0, "{bad", None), ("a", "generate", 1, 2, 0, '{"entities":[]}', None), ("b", "generate", 1, 1, 0, "{}", "throttled"), ("b", "generate", 1, 3, 0, "{}", None), ("c", "generate", 1, 1, 0, '{"x":1}', None), ("c", "generate", 1, 2, 0, "{}", None)]
     got = {r.chunk_id: r for r in rel.first_valid(spark.createDataFrame(rows, RESPONSE)).collect()}
+    hard = [("d", "generate", 1, 1, 0, None, "Throttled"), ("d", "generate", 1, 2, 0, "{}", None), ("e", "generate", 1, 1, 0, None, "ModelErrorException"), ("e", "generate", 1, 2, 0, "{}", None)]
+    assert {r.chunk_id: r.failed for r in rel.first_valid(spark.createDataFrame(hard, RESPONSE)).collect()} == {"d": True, "e": False}
     assert got["a"].body == '{"entities":[]}' and got["b"].failed and got["c"].body == '{"x":1}'
 
 
@@ -316,6 +318,17 @@ def test_rewrites(spark):
     assert {r.chunk_id: r.context for r in rel.prior_text(lines).collect()} == {"c0": "", "c1": "one", "c2": "one\ntwo"}
 
 
+def test_prompts(spark):
+    lines = chunk_rows(spark, ["one", "two"])
+    made = {r.chunk_id: r for r in rel.generate_prompts(lines, commerce(), 2).where("run_idx = 2").collect()}
+    assert made["c0"].user == rel.DATA_ONLY + "\n\nTEXT:\none" and "works_for" in made["c0"].system
+    rewrites = {r.chunk_id: r.user for r in rel.rewrite_prompts(lines).collect()}
+    assert rewrites["c0"].endswith("CURRENT TEXT:\none") and "\none\n" in rewrites["c1"]
+    raw = '{"stopReason":"tool_use","output":{"message":{"content":[{"toolUse":{"name":"a","input":{"x":[1]}}}]}}}'
+    assert one(spark, rel.tool_input(F.col("r"), "a"), r=raw) == '{"x":[1]}' and one(spark, rel.tool_input(F.col("r"), "b"), r=raw) is None
+    assert one(spark, rel.tool_input(F.col("r"), "a"), r=raw.replace("tool_use", "max_tokens")) is None and one(spark, rel.first_text(F.col("r")), r=raw) == ""
+
+
 def test_pairs(spark):
     rows = [candidate("spacy", 0, 3, "Ann", "Person", "c0", 0), candidate("spacy", 10, 14, "Acme", "Supplier", "c0", 1), candidate("spacy", 20, 24, "Acme", "Supplier", "c0", 2), candidate("spacy", None, None, "Bob", "Person", "c0", 3), candidate("spacy", 0, 3, "Cyd", "Person", "c1", 4)]
     spans = spark.createDataFrame([("c0", 0, 0, 15), ("c0", 1, 16, 30)], "chunk_id string, sent_idx int, start int, end int")
@@ -325,7 +338,7 @@ def test_pairs(spark):
     batched = rel.plan_batches(pairs, 1)
     assert sorted((r.batch_no, r.pair_index) for r in batched.collect()) == [(0, 0), (1, 0)]
     prompts = rel.pair_prompts(rel.plan_batches(pairs), chunk_rows(spark, ["Ann is at Acme. x Acme"])).first()["user"]
-    assert "Ann is at Acme." in prompts and "no_relation" in prompts and prompts.startswith("0. ")
+    assert "Ann is at Acme." in prompts and "no_relation" in prompts and "\n0. " in prompts and prompts.startswith(rel.DATA_ONLY)
     answers = spark.createDataFrame([("c0", "classify", 1, 0, '{"labels":[{"pair_index":0,"relation_type":"works_for","evidence":"e"},{"pair_index":1,"relation_type":"works_for","evidence":"e"},{"pair_index":7,"relation_type":"related_to","evidence":"e"},{"pair_index":"1","relation_type":"related_to"},{"pair_index":"x","relation_type":"related_to","evidence":"e"}]}')], "chunk_id string, mode string, run_idx int, batch_no int, body string")
     chosen = rel.parse_labels(answers, rel.plan_batches(pairs)).collect()
     assert [(r.src_surface, r.relation_type, r.confidence, r.extractor) for r in chosen] == [("Ann", "works_for", 1.0, "llm-classify")]
