@@ -131,9 +131,12 @@ def learn(docs: DataFrame, per_language: int = LEARN) -> tuple[list[str], np.nda
     a digest of its id); the driver gets one bundle per language and task, whatever the size of the input.
     """
     known = docs.where("lang is not null")
-    counts = known.groupBy("lang").count().select(F.col("lang").alias("__lang"), F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count")).alias("__share"))
+    counts = known.groupBy("lang").count().collect()  # as many rows as prototypes
+    if not counts:
+        return [], np.zeros((0, DIM))
+    share = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))]), F.col("lang"))
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.join(counts, F.col("lang") == F.col("__lang")).where(draw < F.col("__share")).select("text", "lang")
+    sample = known.where(draw < share).select("text", "lang")
     sums: dict[str, np.ndarray] = {}
     for lang, bundle in sample.repartition(LEARN_TASKS).mapInArrow(_partials, "lang string, bundle binary").collect():
         sums[lang] = sums.get(lang, 0) + np.frombuffer(bundle)
