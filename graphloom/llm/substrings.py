@@ -136,8 +136,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, chunk: int = CHUNK, dige
     """
     n = max(1, -(-text_bytes(docs) // chunk))
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("chunk"), F.col("doc_id").cast("long"), "text")
-    packed = dealt.mapInArrow(_squeeze, "chunk long, doc_id long, packed binary")
-    sent = packed.groupBy("chunk").applyInArrow(_send(width, n), "range long, chunk long, hashes binary, twice binary")
+    packed = dealt.mapInArrow(_squeeze, "chunk long, doc_id long, packed binary").repartition(n, "chunk")
+    sent = packed.groupBy("chunk").applyInArrow(_send(width, n), "range long, chunk long, hashes binary, twice binary").repartition(n, "range")
     replies = sent.groupBy("range").applyInArrow(_count, "chunk long, range long, n long, repeated binary")
     kept = packed.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_apply(width, digest), "doc_id long, n_words long, n_removed long, kept binary, removed string")
     return kept.withColumn("kept", F.col("kept").cast("string"))
