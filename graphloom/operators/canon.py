@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import block_key, canonical_key, normalize_surface
@@ -67,8 +67,9 @@ def fuzzy_pairs(forms: DataFrame, floor: float = FLOOR, ceiling: float = CEILING
     mentions of both forms come in either order, both are computed and either may accept. Pairs that a bound keeps
     below the floor never reach Python.
     """
-    n = F.count("*").over(Window.partitionBy("block"))
-    chunked = forms.where("normalized_form <> ''").withColumn("__chunks", F.ceil(n / BLOCK_CHUNK).cast("int")).withColumn("__own", F.pmod(F.xxhash64("normalized_form"), F.col("__chunks")).cast("int"))
+    named = forms.where("normalized_form <> ''")
+    sizes = named.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_CHUNK).cast("int").alias("__chunks"))
+    chunked = named.join(sizes, "block").withColumn("__own", F.pmod(F.xxhash64("normalized_form"), F.col("__chunks")).cast("int"))
     a = chunked.select("block", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__to"), F.col("__own").alias("__from"), F.col("normalized_form").alias("form_a"), F.col("min_ord").alias("a_min"))
     b = chunked.select("block", F.col("__own").alias("__to"), F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__from"), F.col("normalized_form").alias("form_b"), F.col("max_ord").alias("b_max"))
     # Direction (a, b) occurs if some mention of a comes before some mention of b.

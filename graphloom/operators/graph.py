@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import identifier
@@ -31,14 +31,14 @@ def aggregate_edges(rows: DataFrame, order: str = "ord") -> DataFrame:
     """One row per triple (C11): number of folders, highest confidence, the three best pieces of evidence.
 
     Evidence goes by confidence (none counts as 0), then order, and is not deduplicated; empty ones do not count.
+    A rank limit keeps three rows per triple on every side of the shuffle, so no triple is ever gathered whole.
     """
-    ranked = F.struct((-F.coalesce("confidence", F.lit(0.0))).alias("c"), F.col(order).alias("o"), F.col("evidence_text").alias("e"))
-    best = F.slice(F.array_sort(F.collect_list(F.when(F.coalesce("evidence_text", F.lit("")) != "", ranked))), 1, EVIDENCE)
-    return rows.groupBy(*TRIPLE).agg(
-        F.count_distinct(F.nullif("folder_id", F.lit(""))).cast("int").alias("support_count"),
-        F.max("confidence").alias("confidence"),
-        F.transform(best, lambda x: x["e"]).alias("evidence_text"),
-    )
+    totals = rows.groupBy(*TRIPLE).agg(F.count_distinct(F.nullif("folder_id", F.lit(""))).cast("int").alias("support_count"), F.max("confidence").alias("confidence"))
+    given = F.coalesce("confidence", F.lit(0.0))
+    place = F.row_number().over(Window.partitionBy(*TRIPLE).orderBy(given.desc(), order, "evidence_text"))
+    best = rows.where("evidence_text <> ''").withColumn("__place", place).where(F.col("__place") <= EVIDENCE)
+    best = best.groupBy(*TRIPLE).agg(F.transform(F.array_sort(F.collect_list(F.struct("__place", "evidence_text"))), lambda x: x["evidence_text"]).alias("evidence_text"))
+    return totals.join(best, TRIPLE, "left").withColumn("evidence_text", F.coalesce("evidence_text", F.array().cast("array<string>")))
 
 
 def refresh_edges(current: DataFrame, rows: DataFrame, batch: DataFrame) -> DataFrame:

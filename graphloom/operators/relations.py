@@ -155,13 +155,16 @@ def _label(extractors: Column) -> Column:
 
 def merge_edges(edges: DataFrame, order: list[str] = ("chunk_id", "ord")) -> DataFrame:
     """One row per (folder, source, relation, target): the highest confidence, distinct evidence in order of
-    appearance, the names of all extractors (A05)."""
-    place = F.struct(*order)
-    rows = F.array_sort(F.collect_list(F.struct(place.alias("place"), F.col("evidence_text").alias("evidence"))))
-    seen = F.array_distinct(F.filter(F.transform(rows, lambda x: x["evidence"]), lambda e: F.coalesce(e, F.lit("")) != ""))
-    merged = edges.groupBy("folder_id", "relation_type", "src_entity_uid", "dst_entity_uid").agg(
-        F.count("*").alias("__n"), F.min("edge_uid").alias("edge_uid"), F.min(place).alias("ord"), F.max("confidence").alias("confidence"),
-        F.array_join(seen, "; ").alias("__joined"), F.first("evidence_text").alias("__own"), _label(F.collect_set("extractor")).alias("extractor"),
+    appearance, the names of all extractors (A05).
+
+    Repeats of an evidence are folded before rows of a triple come together.
+    """
+    triple = ["folder_id", "relation_type", "src_entity_uid", "dst_entity_uid"]
+    folded = edges.groupBy(*triple, "evidence_text", "extractor").agg(F.count("*").alias("__n"), F.min("edge_uid").alias("edge_uid"), F.min(F.struct(*order)).alias("__place"), F.max("confidence").alias("confidence"))
+    listed = F.array_sort(F.collect_list(F.when(F.coalesce("evidence_text", F.lit("")) != "", F.struct("__place", F.col("evidence_text").alias("e")))))
+    merged = folded.groupBy(*triple).agg(
+        F.sum("__n").alias("__n"), F.min("edge_uid").alias("edge_uid"), F.min("__place").alias("ord"), F.max("confidence").alias("confidence"),
+        F.array_join(F.array_distinct(F.transform(listed, lambda x: x["e"])), "; ").alias("__joined"), F.first("evidence_text").alias("__own"), _label(F.collect_set("extractor")).alias("extractor"),
     )
     return merged.withColumn("evidence_text", F.when(F.col("__n") == 1, F.col("__own")).otherwise(F.col("__joined"))).drop("__n", "__own", "__joined")
 

@@ -13,6 +13,7 @@ from ..operators import entities as ent
 from ..operators import pairs as prs
 from ..operators import relations as rel
 from ..sources.chunks import folder_status, inline_chunk, require
+from ..sources.sinks import folder_payloads
 
 
 @dataclass(frozen=True)
@@ -22,6 +23,10 @@ class Extraction:
     summary: DataFrame
     status: DataFrame
 
+    def payloads(self, usage: DataFrame | None = None) -> DataFrame:
+        """One thin row per folder."""
+        return folder_payloads(self.status, self.summary, usage)
+
 
 def extract(chunks: DataFrame, settings: Settings | None = None, annotations: dict[str, DataFrame] | None = None, folders: DataFrame | None = None) -> Extraction:
     """Entities, edges, summaries and states of every folder of (folder_id, chunk_id, doc_id, line_no, text).

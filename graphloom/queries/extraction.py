@@ -11,6 +11,7 @@ from ..operators import pairs as prs
 from ..operators import relations as rel
 from ..plans.extraction import preview_entities, preview_relations
 from ..sources.chunks import folder_status
+from ..sources.sinks import folder_payloads
 from . import inputs as inp
 from .inputs import chunks, table
 
@@ -112,6 +113,13 @@ def folder_summary(spark, sf_dir):
     return out.withColumn("top_entities", top)
 
 
+def folder_state(spark, sf_dir):
+    """What callers are told: every folder and one that has no chunks."""
+    lines = chunks(spark, sf_dir)
+    folders = lines.select("folder_id").union(spark.createDataFrame([("nothing here",)], "folder_id string"))
+    return folder_payloads(folder_status(folders, lines), folder_summary(spark, sf_dir))
+
+
 def llm_parse_entities(spark, sf_dir):
     found = rel.parse_entities(rel.first_valid(inp.responses(spark, sf_dir)), chunks(spark, sf_dir))
     return found.select("chunk_id", F.col("ord.match").alias("item"), "entity_type", "surface_form", "confidence", "span_start", "span_end")
@@ -270,7 +278,7 @@ QUERIES = {
     f: globals()[f]
     for f in (
         "chunk_scan", "regex_entities", "checksum_lei", "checksum_isin", "label_mapping", "closed_vocab", "unmapped_count", "pronoun_filter", "guardrail_screen", "layer_merge",
-        "entity_uids", "edge_uids", "top_entities", "folder_summary", "llm_parse_entities", "llm_parse_relations", "entity_scoped_parse", "classify_parse", "coref_apply",
+        "entity_uids", "edge_uids", "top_entities", "folder_summary", "folder_state", "llm_parse_entities", "llm_parse_relations", "entity_scoped_parse", "classify_parse", "coref_apply",
         "evidence_grounding", "relation_validate", "edge_build", "edge_merge", "self_consistency_vote", "candidate_pairs", "dep_match_svo", "dep_match_prep", "dep_match_copula",
         "preview", "preview_edges", "request_plan", "scoped_prompts", "tool_inputs", "usage_rollup", "attempts",
     )
@@ -383,3 +391,7 @@ SELECT chunk_id, n_entities, sha256('{rel.DATA_ONLY}' || chr(10) || chr(10) || '
     "usage_rollup": "SELECT event_type AS folder_id, 'model-' || (user_id % 3) AS model, count(*) AS calls, sum(event_id % 1000)::BIGINT AS input_tokens, sum(event_id % 77)::BIGINT AS output_tokens FROM events GROUP BY ALL",
     "attempts": "WITH" + inp.RESPONSES + " SELECT chunk_id, run_idx, (doc_id % 5 = 0 AND ends_with(chunk_id, '3')) OR ends_with(chunk_id, '1') AS failed FROM answers",
 }
+
+ORACLE_SQL["folder_state"] = f"""
+SELECT f.folder_id, CASE WHEN f.folder_id = 'nothing here' THEN 'failed' ELSE 'ok' END AS status, CASE WHEN f.folder_id = 'nothing here' THEN 'no chunks in folder nothing here' END AS error_message, s.* EXCLUDE (folder_id)
+FROM (SELECT DISTINCT source AS folder_id FROM documents UNION ALL SELECT 'nothing here') f LEFT JOIN ({ORACLE_SQL["folder_summary"]}) s USING (folder_id)"""

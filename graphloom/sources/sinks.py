@@ -37,6 +37,19 @@ def write_statements(statements: DataFrame, writer: Callable[[Iterator[Row]], No
     return statements.count()
 
 
+def folder_payloads(status: DataFrame, summary: DataFrame, usage: DataFrame | None = None) -> DataFrame:
+    """What a caller is told of each folder: its state, for those that did not fail the summary, and usage if any.
+
+    Fields of a failed folder are null, so that JSON leaves them out; no mention, edge or text is among them.
+    """
+    done = summary.join(status.where("status <> 'failed'").select("folder_id"), "folder_id", "left_semi")
+    out = status.drop("n_chunks").join(done, "folder_id", "left")
+    if usage is not None:
+        calls = F.array_sort(F.collect_list(F.struct("model", "calls", "input_tokens", "output_tokens")))
+        out = out.join(usage.groupBy("folder_id").agg(calls.alias("usage")), "folder_id", "left")
+    return out
+
+
 def write_summary(summary: DataFrame, path: str, send: Callable[[dict], None] | None = None) -> None:
     """One JSON line per folder, fields of a failed folder left out.
 

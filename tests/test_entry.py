@@ -62,7 +62,7 @@ def test_plans_are_lean(spark):
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"ReadSchema: struct<(text|source|doc_id)[^>]*>", plan(queries.QUERIES["chunk_scan"](spark, DIR)))
     assert "n_chars" not in plan(queries.QUERIES["regex_entities"](spark, DIR)).split("ReadSchema")[1]
-    assert "BatchEvalPython" not in "".join(plan(queries.QUERIES[n](spark, DIR)) for n in ("edge_merge", "vote" if "vote" in queries.QUERIES else "self_consistency_vote"))
+    assert "BatchEvalPython" not in "".join(plan(queries.QUERIES[n](spark, DIR)) for n in ("edge_merge", "self_consistency_vote"))
 
 
 def test_stream(spark, tmp_path):

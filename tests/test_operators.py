@@ -386,6 +386,9 @@ def test_extraction_end_to_end(spark):
     row = {r.folder_id: r for r in out.summary.collect()}["f"]
     assert (row.entity_count, row.edge_count, row.unmapped_type_count, row.ungrounded_relation_count) == (3, 1, 1, 1)
     assert {r.folder_id: r.status for r in out.status.collect()} == {"f": "ok", "g": "failed", "h": "failed"}
+    usage = rel.usage_totals(spark.createDataFrame([("f", "m", (10, 2))], "folder_id string, model string, quantity struct<input_tokens:long,output_tokens:long>"))
+    told = {r.folder_id: r for r in out.payloads(usage).collect()}
+    assert told["f"].entity_count == 3 and told["f"].usage[0].input_tokens == 10 and told["g"].entity_count is None and set(told) == {"f", "g", "h"}
     with pytest.raises(src.MissingAnnotations):
         extract(lines, Settings(engine="llm", pack="commerce"))
 
