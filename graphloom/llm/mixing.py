@@ -65,16 +65,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def draw(docs: DataFrame, seed: int) -> tuple:
-    """(size, key) of a document, as columns."""
-    size = word_count(F.col("text"))
-    weight = quality_weight(size, F.coalesce(F.char_length("text"), F.lit(0)))
-    return size, -F.ln(uniform(F.col("doc_id"), seed)) / weight
+def draw(docs: DataFrame, seed: int) -> DataFrame:
+    """docs with ``__size`` and ``__key``; the size is a column of its own, so that texts are scanned once."""
+    sized = docs.withColumn("__size", word_count(F.col("text")))
+    weight = quality_weight(F.col("__size"), F.coalesce(F.char_length("text"), F.lit(0)))
+    return sized.withColumn("__key", -F.ln(uniform(F.col("doc_id"), seed)) / weight)
 
 
 def _shares(docs: DataFrame, weights: tuple[int, ...], epochs: int, seed: int, buckets: int) -> DataFrame:
-    size, key = draw(docs, seed)
-    slim = docs.select("doc_id", "source", size.alias("size"), key.alias("key"))
+    slim = draw(docs, seed).select("doc_id", "source", F.col("__size").alias("size"), F.col("__key").alias("key"))
     slim = materialize(slim.withColumn("bucket", F.floor((1 - F.exp(-F.col("key") / 4)) * buckets).cast("int")), "mix")
     plans = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs)
     plans = plans.withColumn("whole", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(epochs).cast("long"))).otherwise(F.lit(0).cast("long")))
@@ -114,8 +113,7 @@ def apply_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     shares = _shares(docs, weights, epochs, seed, buckets)
     cut = F.max(F.when(F.col("part") > 0, F.struct("key", "doc_id", "part"))).alias("__cut")
     cuts = materialize(shares.groupBy(F.col("source").alias("__source")).agg(F.max("whole").cast("int").alias("__whole"), cut), "cuts")
-    size, key = draw(docs, seed)
-    drawn = docs.withColumn("__size", size).withColumn("__key", key).join(cuts, F.col("source").eqNullSafe(F.col("__source")))
+    drawn = draw(docs, seed).join(cuts, F.col("source").eqNullSafe(F.col("__source")))
     # The cut names a document by its id: keys are settled by ids, and arithmetic is never compared with itself.
     at_cut = F.col("doc_id") == F.col("__cut.doc_id")
     before = F.struct(F.col("__key"), F.col("doc_id")) < F.struct(F.col("__cut.key"), F.col("__cut.doc_id"))
@@ -123,8 +121,9 @@ def apply_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     drawn = drawn.withColumn("__part", F.coalesce(part, F.lit(0).cast("long")))
     whole = F.col("__whole") + F.when(F.col("__part") == F.col("__size"), 1).otherwise(0)
     rest = F.when(F.col("__part") < F.col("__size"), F.col("__part")).otherwise(F.lit(0).cast("long"))
-    copies = F.array_repeat(F.lit(0).cast("long"), whole)
-    rows = drawn.where("__size > 0").withColumn("__words", F.explode(F.when(rest > 0, F.concat(copies, F.array(rest))).otherwise(copies)))
+    # A filter on the size would be pushed down and scan the text again; no copies do the same.
+    copies = F.array_repeat(F.lit(0).cast("long"), F.when(F.col("__size") > 0, whole).otherwise(0))
+    rows = drawn.withColumn("__words", F.explode(F.when(rest > 0, F.concat(copies, F.array(rest))).otherwise(copies)))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     out = {c: F.col(f"`{c}`") for c in docs.columns}
     out["text"] = F.when(F.col("__words") > 0, F.array_join(F.slice(words, F.lit(1), F.col("__words").cast("int")), " ")).otherwise(F.col("text"))
