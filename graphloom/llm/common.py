@@ -37,11 +37,18 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/graphloom-{spark.sparkContext.applicationId}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared scratch folder and read it back: lineage ends here, lost executors cost nothing."""
+#: A written table of known size gets a file for so many rows at least.
+FILE_ROWS = 500_000
+
+
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write df to the shared scratch folder and read it back: lineage ends here, lost executors cost nothing.
+
+    ``rows``, a bound of the number of rows where one is known, spares small tables many small files.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

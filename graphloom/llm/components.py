@@ -34,5 +34,6 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if state == seen or not state[0]:
             break
         seen = state
-        edges = materialize(_small_star(_large_star(edges)), "stars")
+        # Stars never make more edges than there were, so their number bounds the next table.
+        edges = materialize(_small_star(_large_star(edges)), "stars", state[0])
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v")).distinct()

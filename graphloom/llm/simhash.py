@@ -233,10 +233,9 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     doc_id and text are ignored.
     """
     marked = materialize(fingerprints(docs), "simhash")
-    least = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(fingerprint_links(least.select("fp"), radius), "a", "b")
     joined = least.join(roots, least["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    joined = materialize(joined, "roots")
     named = joined.join(joined.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", digits(F.col("fp")).alias("fingerprint"), "component_id")
 
