@@ -85,7 +85,9 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def digest(sig: np.ndarray) -> str:
-    """16 bits of each sample as hex; empty for a text without words."""
+    """16 bits of each sample as hex; zeros for a text without words."""
+    if not len(sig):
+        return "0" * (4 * SAMPLES)
     return "".join(f"{x:04x}" for x in (mix(sig.astype(np.uint64)) >> np.uint64(48)).tolist())
 
 
@@ -158,7 +160,7 @@ def _walk(batches):
 def fingerprint(docs: DataFrame, size: int = RANGE) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    Null text counts as empty; a text without words has the empty fingerprint, which is like itself (1) and unlike
+    Null text counts as empty; a text without words has fingerprint zero, which is like itself (1) and unlike
     any other (0). The next document is the one of the next higher doc_id (null is lowest; equal ids go by a digest
     of the text), after the last one the first, which may be the document itself. An empty table gives no rows;
     columns beyond doc_id and text are ignored.
