@@ -133,7 +133,3 @@ def rolling(words: np.ndarray, width: int) -> np.ndarray:
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(words * _POW["up"][:n], out=sums[1:])
         return mix((sums[width:] - sums[: n - width + 1]) * _POW["down"][: n - width + 1])
-
-
-def spans_digest(spans: list[tuple[int, int, str]]) -> str:
-    return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spans_digest
+from .spans import Cover, digest_text
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -187,8 +187,11 @@ def _sigmoid(x):
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _lstm(x: np.ndarray, p: dict) -> tuple[np.ndarray, list]:
-    """Hidden states [2, T, B, H] of both directions for classes x [B, T]; the second reads from the end."""
+def _lstm(x: np.ndarray, p: dict, keep: bool) -> tuple[np.ndarray, list]:
+    """Hidden states [2, T, B, H] of both directions for classes x [B, T]; the second reads from the end.
+
+    Only training keeps what every step computed.
+    """
     both = np.stack([x.T, x.T[::-1]])
     t_n, b_n = x.shape[1], x.shape[0]
     h = c = np.zeros((2, b_n, HIDDEN), dtype=np.float32)
@@ -202,15 +205,16 @@ def _lstm(x: np.ndarray, p: dict) -> tuple[np.ndarray, list]:
         old = c
         c = f * c + i * g
         s = np.tanh(c)
-        kept.append((h, old, i, f, o, g, s))
+        if keep:
+            kept.append((h, old, i, f, o, g, s))
         h = o * s
         states[:, t] = h
     return states, kept
 
 
-def scores(x: np.ndarray, p: dict) -> tuple[np.ndarray, np.ndarray, list]:
+def scores(x: np.ndarray, p: dict, keep: bool = False) -> tuple[np.ndarray, np.ndarray, list]:
     """Label scores [T, B, LABELS], the states they come from, and what training keeps."""
-    states, kept = _lstm(x, p)
+    states, kept = _lstm(x, p, keep)
     joined = np.concatenate([states[0], states[1][::-1]], axis=2)
     return joined @ p["out"] + p["bias"], joined, kept
 
@@ -241,7 +245,7 @@ def _crf(e: np.ndarray, y: np.ndarray, p: dict) -> tuple[float, np.ndarray, np.n
 
 
 def _gradients(x, y, p) -> tuple[float, dict]:
-    e, joined, kept = scores(x, p)
+    e, joined, kept = scores(x, p, keep=True)
     loss, ge, gt, gs = _crf(e, y.T, p)
     grads = {"trans": gt, "start": gs, "bias": ge.sum(axis=(0, 1)), "out": np.einsum("tbh,tbl->hl", joined, ge)}
     gj = ge @ p["out"].T
@@ -333,7 +337,7 @@ def _runs(labels: np.ndarray) -> list[tuple[int, int, int, str]]:
     return found
 
 
-def tag(texts: list[str], p: dict, held: int = 2048) -> list[list[tuple[int, int, str]]]:
+def tag(texts: list[str], p: dict, held: int = 1024) -> list[list[tuple[int, int, str]]]:
     """Spans of the tagger in each text, reconciled over its windows, at most ``held`` windows at a time."""
     found: list[list] = [[] for _ in texts]
     jobs = [(n, at) for n, x in enumerate(texts) for at in windows(x)]
@@ -352,11 +356,8 @@ def tag(texts: list[str], p: dict, held: int = 2048) -> list[list[tuple[int, int
                 found[n].append((abs(a + b - WINDOW) / 2, start, end, kind))
     out = []
     for spans in found:
-        kept: list[tuple[int, int, str]] = []
-        for _, a, b, kind in sorted(spans):
-            if not any(a < e and s < b for s, e, _ in kept):
-                kept.append((a, b, kind))
-        out.append(sorted(kept))
+        cover = Cover()
+        out.append(sorted((a, b, kind) for _, a, b, kind in sorted(spans) if cover.take(a, b)))
     return out
 
 
@@ -371,12 +372,8 @@ def all_spans(texts: list[str], p: dict) -> list[tuple[list, list]]:
     order = {k: i for i, k in enumerate(KINDS)}
     out = []
     for base, tagged in zip(map(base_spans, texts), tag(texts, p), strict=True):
-        more, at, ends = [], 0, sorted(base)
-        for a, b, kind in tagged:
-            while at < len(ends) and ends[at][1] <= a:
-                at += 1
-            if not any(s < b and a < e for s, e, _ in ends[at : at + 8]) and not any(s < b and a < e for s, e, _ in ends[max(0, at - 4) : at]):
-                more.append((a, b, kind))
+        cover = Cover(base)
+        more = [(a, b, kind) for a, b, kind in tagged if cover.free(a, b)]
         out.append((base, sorted(base + more, key=lambda s: (s[0], order[s[2]]))))
     return out
 
@@ -390,7 +387,7 @@ def _scan(p: dict):
                 part = [x or "" for x in texts[low : low + 256]]
                 for doc_id, (base, every) in zip(ids[low : low + 256], all_spans(part, p), strict=True):
                     kinds = [k for _, _, k in base]
-                    rows.append((doc_id, *(kinds.count(k) for k in KINDS), len(every) - len(base), hashlib.sha256(spans_digest(base).encode()).hexdigest(), spans_digest(every)))
+                    rows.append((doc_id, *(kinds.count(k) for k in KINDS), len(every) - len(base), hashlib.sha256(digest_text(base).encode()).hexdigest(), digest_text(every)))
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 8, _TYPES, strict=True)], names=[x.split()[0] for x in _OUT.split(", ")])
 
     return run

@@ -10,12 +10,13 @@ import functools
 import hashlib
 import re
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spans_digest
 from .packing import _fast
+from .spans import Cover, digest_text
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -51,8 +52,6 @@ def is_random(run: str, ratio: float, vocabulary: str) -> bool:
     """Few characters per token, and not a form that is known to be harmless."""
     if NUMBER.match(run) or LETTERS.match(run) or DIGEST.match(run) or UUID.match(run) or IDENTIFIER.match(run):
         return False
-    import public_tokenizers
-
     return len(run) < ratio * len(_fast(public_tokenizers.path(f"{vocabulary}.tiktoken")).encode_ordinary(run))
 
 
@@ -63,10 +62,10 @@ def all_spans(text: str, ratio: float = RATIO, vocabulary: str = "byte_bpe_50k")
     """
     order = {k: i for i, k in enumerate(KINDS)}
     base = sorted(base_spans(text), key=lambda s: (s[0], order[s[2]]))
-    more = []
+    more, cover = [], Cover(base)
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        if is_random(m[0], ratio, vocabulary) and not any(s < b and a < e for s, e, _ in base):
+        if cover.free(a, b) and is_random(m[0], ratio, vocabulary):
             more.append((a, b, "random"))
     return base, sorted(base + more, key=lambda s: (s[0], order[s[2]])) if more else base
 
@@ -81,7 +80,7 @@ def _scan(ratio: float, vocabulary: str):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 base, every = all_spans(text or "", ratio, vocabulary)
                 kinds = [k for _, _, k in every]
-                rows.append((doc_id, *(kinds.count(k) for k in KINDS), hashlib.sha256(spans_digest(base).encode()).hexdigest(), spans_digest(every)))
+                rows.append((doc_id, *(kinds.count(k) for k in KINDS), hashlib.sha256(digest_text(base).encode()).hexdigest(), digest_text(every)))
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, _OUT.types, strict=True)], schema=_OUT)
 
     return run

@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 
 from graphloom.llm import cws, embed_join, langid, mixing, packing, pii, quality, queries, secrets, simhash, substrings
 from graphloom.llm.components import components
+from graphloom.llm.spans import Cover
 
 SMALL = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long, class int, key string, range int, chunk long, size long"
@@ -121,6 +122,30 @@ def test_windows_cover_every_anchor():
                 assert any(s <= a and min(a + pii.LONGEST, len(text)) <= s + pii.WINDOW for s in starts)
 
 
+def test_skipped_windows_hold_nothing(monkeypatch):
+    rng = np.random.default_rng(12)
+    plain = random.Random(12)
+    texts = [words(plain, 150).replace("w", "wo ") + pii.labelled(rng, 120)[0] + re.sub("[0-9]", "x", words(plain, 150)) for _ in range(30)]
+    p = pii.train()
+    some = pii.tag(texts, p)
+    monkeypatch.setattr(pii, "windows", lambda t: list(range(0, max(1, len(t) - pii.WINDOW + pii.STRIDE), pii.STRIDE)))
+    assert pii.tag(texts, p, held=7) == some and any(some)
+
+
+def test_cover_against_brute_force():
+    rng = random.Random(13)
+    for _ in range(300):
+        base = [(a := rng.randrange(40), a + rng.randrange(1, 8), "k") for _ in range(rng.randrange(6))]
+        cover, kept = Cover(base), list(base)
+        for _ in range(12):
+            a = rng.randrange(45)
+            b = a + rng.randrange(1, 6)
+            free = not any(s < b and a < e for s, e, _ in kept)
+            assert cover.free(a, b) == free and cover.take(a, b) == free
+            if free:
+                kept.append((a, b, "k"))
+
+
 def test_op1(docs):
     for r in pii.scan_personal(docs).collect():
         text = next(x[1] for x in corpus() if x[0] == r.doc_id) or ""
