@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import materialize, mix
 from .components import components
 
 COSINE = 0.95
@@ -26,6 +26,8 @@ PIVOTS = 1024
 #: Members that one unit of work compares its residents with, on average at most.
 VISITORS = 32_768
 BLOCK = 1024
+#: Rows that go to the JVM at once.
+SENT = 16_384
 #: Bounds are widened by this much, so that rounding never loses a link that the exact test would make.
 SLACK = 1e-6
 
@@ -96,16 +98,19 @@ def _units(pivots: np.ndarray, radius: float, left: np.ndarray, right: np.ndarra
                 ids = part.column(0).to_numpy()
                 home, there = homes(unit(_matrix(part.column(1), kind)), pivots, radius)
                 rows, other = _spread(right[home])
-                yield rows_of(part, rows, home[rows], ids[rows] % left[home[rows]], other, True)
+                chunk = mix(ids.astype(np.uint64))  # ids may all be multiples of something
+                yield from rows_of(part, rows, home[rows], chunk[rows] % left[home[rows]].astype(np.uint64), other, True)
                 at_rows, at_cells = np.nonzero(there)
                 again, other = _spread(left[at_cells])
                 rows, cells = at_rows[again], at_cells[again]
-                yield rows_of(part, rows, cells, other, ids[rows] % right[cells], False)
+                yield from rows_of(part, rows, cells, other, chunk[rows] % right[cells].astype(np.uint64), False)
 
     def rows_of(part, rows, cells, i, j, resident):
-        take = pa.array(rows)
-        columns = [pa.array(cells.astype(np.int32)), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(np.full(len(rows), resident)), *(c.take(take) for c in part.columns)]
-        return pa.record_batch(columns, names=["cell", "i", "j", "resident", "id", "packed", "copies"])
+        for at in range(0, len(rows), SENT):
+            some = slice(at, at + SENT)
+            take = pa.array(rows[some])
+            columns = [*(pa.array(x[some].astype(np.int32)) for x in (cells, i, j)), pa.array(np.full(len(take), resident)), *(c.take(take) for c in part.columns)]
+            yield pa.record_batch(columns, names=["cell", "i", "j", "resident", "id", "packed", "copies"])
 
     return run
 
