@@ -47,36 +47,53 @@ def distinct_forms(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("block", "normalized_form").agg(F.min("ord").alias("min_ord"), F.max("ord").alias("max_ord"), F.count("*").alias("n_mentions"))
 
 
-def _bound(a, b):
-    """No similarity of two strings exceeds twice the shorter over the sum of lengths, nor twice the number of
-    characters they share over it."""
-    la, lb = F.char_length(a), F.char_length(b)
-    return 2 * F.least(la, lb) / (la + lb)
+#: Characters of a normal form.
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789 "
+#: Repeats of a character that the bound tells apart.
+DEPTH = 3
 
 
-def _shared(a, b):
-    """Characters two strings have in common, counted with repeats."""
-    x, y = F.split(a, ""), F.split(b, "")
-    return F.aggregate(F.array_distinct(x), F.lit(0), lambda n, c: n + F.least(F.size(F.filter(x, lambda k: k == c)), F.size(F.filter(y, lambda k: k == c))))
+def with_masks(forms: DataFrame) -> DataFrame:
+    """Forms with ``masks``: bit c of mask k tells whether character c comes more than k times."""
+    form = F.col("normalized_form")
+    counts = F.array(*[F.char_length(form) - F.char_length(F.replace(form, F.lit(c), F.lit(""))) for c in ALPHABET])
+
+    def mask(k: int):
+        out = F.lit(0).cast("long")
+        for bit in range(len(ALPHABET)):
+            out = out + F.when(F.col("__counts")[bit] > k, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
+        return out
+
+    return forms.withColumn("__counts", counts).withColumn("masks", F.array(*[mask(k) for k in range(DEPTH)])).drop("__counts")
+
+
+def _missing(a: str, b: str):
+    """At least so many characters of a, repeats counted, have no partner in b."""
+    out = F.lit(0)
+    for k in range(DEPTH):
+        out = out + F.bit_count(F.col(a)[k].bitwiseAND(F.bitwise_not(F.col(b)[k])))
+    return out
 
 
 def fuzzy_pairs(forms: DataFrame, floor: float = FLOOR, ceiling: float = CEILING) -> DataFrame:
     """(form_a, form_b, score, verdict) of different forms of a block that are not certain to be apart.
 
     The similarity depends on the order of its arguments, and a pair is compared in the order of its mentions; if
-    mentions of both forms come in either order, both are computed and either may accept. Pairs that a bound keeps
-    below the floor never reach Python.
+    mentions of both forms come in either order, both are computed and either may accept.
+
+    The similarity is twice the matched characters over all characters, and no more match than both strings have,
+    nor any without a partner. Pairs that this keeps below the floor never reach Python.
     """
-    named = forms.where("normalized_form <> ''")
+    named = with_masks(forms.where("normalized_form <> ''"))
     sizes = named.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_CHUNK).cast("int").alias("__chunks"))
     chunked = named.join(sizes, "block").withColumn("__own", F.pmod(F.xxhash64("normalized_form"), F.col("__chunks")).cast("int"))
-    a = chunked.select("block", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__to"), F.col("__own").alias("__from"), F.col("normalized_form").alias("form_a"), F.col("min_ord").alias("a_min"))
-    b = chunked.select("block", F.col("__own").alias("__to"), F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__from"), F.col("normalized_form").alias("form_b"), F.col("max_ord").alias("b_max"))
+    a = chunked.select("block", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__to"), F.col("__own").alias("__from"), F.col("normalized_form").alias("form_a"), F.col("min_ord").alias("a_min"), F.col("masks").alias("a_masks"))
+    b = chunked.select("block", F.col("__own").alias("__to"), F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__from"), F.col("normalized_form").alias("form_b"), F.col("max_ord").alias("b_max"), F.col("masks").alias("b_masks"))
     # Direction (a, b) occurs if some mention of a comes before some mention of b.
     pairs = a.join(b, ["block", "__from", "__to"]).where((F.col("form_a") != F.col("form_b")) & (F.col("a_min") < F.col("b_max")))
     la, lb = F.char_length("form_a"), F.char_length("form_b")
-    pairs = pairs.where(_bound(F.col("form_a"), F.col("form_b")) >= floor)
-    pairs = pairs.where(2 * _shared(F.col("form_a"), F.col("form_b")) / (la + lb) >= floor)
+    most = F.least(la - _missing("a_masks", "b_masks"), lb - _missing("b_masks", "a_masks"))
+    pairs = pairs.where(2 * most / (la + lb) >= floor)
     scored = pairs.select("block", "form_a", "form_b", ratio(F.col("form_a"), F.col("form_b")).alias("score")).where(F.col("score") >= floor)
     return scored.withColumn("verdict", F.when(F.col("score") >= ceiling, "accept").otherwise("ambiguous"))
 
