@@ -114,8 +114,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path
     """
     known = labels.where("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     share = min(1.0, fit_rows / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share)
-    rows = docs.select("doc_id", "text").join(known, "doc_id", "left_semi").mapInArrow(_measure, "doc_id long, features array<double>").join(known, "doc_id").select("features", "quality").collect()
+    known = materialize(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share), "labelled")
+    # Counted, the sample is known to be small, and texts need not be shuffled to meet it.
+    chosen = F.broadcast(known) if known.count() <= 4 * fit_rows else known
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id", "left_semi").mapInArrow(_measure, "doc_id long, features array<double>").join(chosen, "doc_id").select("features", "quality").collect()
     model = fit(np.array([r[0] for r in rows]).reshape(-1, FEATURES), np.array([r[1] for r in rows], dtype=np.float64))
 
     scored = docs.select(F.col("doc_id").cast("long"), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), "text")
