@@ -31,8 +31,10 @@ RATIO = 2.2
 #: Fixed forms that are no secrets: MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 digests, UUIDs, dates.
 DIGEST = re.compile(r"(?i)(?:sha\d+[-=])?(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})=*\Z")
 UUID = re.compile(r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\Z")
-#: Identifiers: parts of letters or of digits, split by separators or by a change to upper case.
-IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+|[A-Za-z])(?:[_/=+-]*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}(?![0-9])))*[_/=+-]*\Z")
+#: Identifiers: at least half of their letters lie in words, and words cost a token for three characters or more.
+IDENTIFIER_WORD = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}")
+WORD_RATIO = 3.0
+LETTER = re.compile(r"[A-Za-z]")
 NUMBER = re.compile(r"[0-9_/=+-]+\Z")
 LETTERS = re.compile(r"[A-Za-z_/=+-]+\Z")
 
@@ -47,12 +49,19 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+def is_identifier(run: str, encode) -> bool:
+    words = IDENTIFIER_WORD.findall(run)
+    chars = sum(map(len, words))
+    return 2 * chars >= len(LETTER.findall(run)) and chars >= WORD_RATIO * sum(len(encode(w.lower())) for w in words) > 0
+
+
 @functools.lru_cache(maxsize=20_000)
 def is_random(run: str, ratio: float, vocabulary: str) -> bool:
     """Few characters per token, and not a form that is known to be harmless."""
-    if NUMBER.match(run) or LETTERS.match(run) or DIGEST.match(run) or UUID.match(run) or IDENTIFIER.match(run):
+    if NUMBER.match(run) or LETTERS.match(run) or DIGEST.match(run) or UUID.match(run):
         return False
-    return len(run) < ratio * len(_fast(public_tokenizers.path(f"{vocabulary}.tiktoken")).encode_ordinary(run))
+    encode = _fast(public_tokenizers.path(f"{vocabulary}.tiktoken")).encode_ordinary
+    return len(run) < ratio * len(encode(run)) and not is_identifier(run, encode)
 
 
 def all_spans(text: str, ratio: float = RATIO, vocabulary: str = "byte_bpe_50k") -> tuple[list, list]:

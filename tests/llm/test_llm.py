@@ -181,6 +181,19 @@ def test_token_ratio():
     assert found(hashlib.md5(b"x").hexdigest().upper()) == []
 
 
+def test_random_strings_and_identifiers():
+    import string
+
+    rng = random.Random(14)
+    made = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    hit = lambda make: sum(secrets.is_random(make(), secrets.RATIO, "byte_bpe_50k") for _ in range(200)) / 200
+    assert hit(lambda: made(string.ascii_letters + string.digits, 24)) > 0.95
+    assert hit(lambda: made(string.ascii_lowercase + string.digits, 20)) > 0.95
+    names = "session token count configuration engine value index customer region supplier".split()
+    for join in ("_", "-", "/", ""):
+        assert hit(lambda join=join: join.join(rng.choice(names).capitalize() for _ in range(3)) + str(rng.randrange(999))) < 0.02
+
+
 def test_op10(docs):
     for r in secrets.scan_secrets(docs).collect():
         base = plain_secrets(next(x[1] for x in corpus() if x[0] == r.doc_id) or "")
