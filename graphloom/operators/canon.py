@@ -210,12 +210,13 @@ def promoted(entities: DataFrame, clustered: DataFrame, resolved: DataFrame) ->
     return joined.withColumn("stage", F.when(done, "canonicalized").otherwise(F.col("stage"))).withColumn("canonical_id", F.coalesce("__id", old["canonical_id"])).withColumn("normalized_form", F.coalesce("__form", old["normalized_form"])).drop("__id", "__form", "__old_id", "__old_form")
 
 
-def staged(entities: DataFrame, folders: list[str]) -> DataFrame:
-    """Mentions of a batch that wait to be canonicalized."""
-    return entities.where(F.col("folder_id").isin(*folders) & (F.col("stage") == "staged"))
+def staged(entities: DataFrame, folders: list[str] | None) -> DataFrame:
+    """Mentions of a batch that wait to be canonicalized (S09); None means all folders."""
+    waiting = entities.where(F.col("stage") == "staged")
+    return waiting if folders is None else waiting.where(F.col("folder_id").isin(*folders))
 
 
-def batch_pack(entities: DataFrame, folders: list[str], default: str = "general") -> str:
+def batch_pack(entities: DataFrame, folders: list[str] | None, default: str = "general") -> str:
     """The pack of the batch's first staged row that names one."""
     row = staged(entities, folders).where("ontology_pack is not null").agg(F.min_by("ontology_pack", "ord")).first()
     return row[0] or default

@@ -19,8 +19,8 @@ class Batch:
     counts: DataFrame
 
 
-def canonicalize(entities: DataFrame, mention_edges: DataFrame, index: DataFrame, edges: DataFrame, folders: list[str], adjudications: DataFrame | None = None, policy: str = "fail", fuzzy: bool = True, floor: float = canon.FLOOR, ceiling: float = canon.CEILING) -> Batch:
-    """All tables after the batch. Only staged mentions of the folders are clustered; entities of earlier batches are
+def canonicalize(entities: DataFrame, mention_edges: DataFrame, index: DataFrame, edges: DataFrame, folders: list[str] | None, adjudications: DataFrame | None = None, policy: str = "fail", fuzzy: bool = True, floor: float = canon.FLOOR, ceiling: float = canon.CEILING) -> Batch:
+    """All tables after the batch of folders (None: all). Only staged mentions of the folders are clustered; entities of earlier batches are
     met again by their exact key. Doing a batch over changes nothing: nothing of it is staged any more."""
     pack = load_pack(canon.batch_pack(entities, folders))
     mentions = canon.cut_lineage(canon.with_forms(canon.staged(entities, folders).drop("normalized_form", "canonical_id")))

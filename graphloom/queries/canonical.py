@@ -6,12 +6,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..config import Settings
 from ..functions import text as fx
 from ..ontology import load_pack
 from ..operators import canon, graph, quality
 from ..operators import entities as ent
 from ..operators import relations as rel
 from ..plans import canonicalization as plan
+from ..plans.extraction import extract
 from ..sources import sinks
 from . import inputs as inp
 from .inputs import chunks, pick, table
@@ -178,6 +180,14 @@ def export_counts(spark, sf_dir):
     return graph.export_counts(*_graph(spark, sf_dir, ["f0"]))
 
 
+def graph_build(spark, sf_dir):
+    """From documents to the nodes of the graph: extraction with patterns and responses, one batch of all folders."""
+    found = extract(chunks(spark, sf_dir), Settings(engine="llm", pack=PACK), {"responses": inp.responses(spark, sf_dir)})
+    batch = plan.canonicalize(canon.cut_lineage(found.entities), found.edges, plan.empty_index(spark), plan.empty_edges(spark), None, fuzzy=False)
+    nodes = graph.export_nodes(batch.entities, batch.index)
+    return nodes.select("canonical_id", "entity_type", "normalized_form", F.array_join("folder_ids", ",").alias("folder_ids"), "mention_count")
+
+
 def _gold(spark, sf_dir):
     found = ent.find_patterns(chunks(spark, sf_dir), [(0, inp.CAPITALIZED)])
     return found.withColumn("entity_type", pick(inp.TYPES, F.char_length("surface_form")))
@@ -224,13 +234,14 @@ QUERIES = {
     for f in (
         "normalize_surface", "block_keys", "exact_clusters", "reconcile_type", "fuzzy_pairs", "fuzzy_clusters", "resolve_or_mint", "canonicalize_batch", "batch_counts", "canonical_edges",
         "incremental_edges", "partition_replace", "upsert_rows", "resolved_edges", "export_nodes", "export_edges", "export_statements", "export_counts", "span_f1", "edge_stability", "cluster_prf",
-        "relaxed_entity_f1", "relation_f1", "pack_closure", "pack_allowed",
+        "relaxed_entity_f1", "relation_f1", "pack_closure", "pack_allowed", "graph_build",
     )
 }
 
 # --- DuckDB -----------------------------------------------------------------------------------------------------
 
 _LEGAL = ", ".join(f"'{x}'" for x in fx.LEGAL_FORMS)
+_FORM = rf"array_to_string(list_filter(string_split_regex(regexp_replace(lower(surface_form), '[^a-z0-9\s]', ' ', 'g'), '\s+'), lambda t: t <> '' AND t NOT IN ({_LEGAL})), ' ')"
 _MENTIONS = rf"""
 raw AS (
   SELECT 'f' || (s_suppkey % 4) AS folder_id, s_suppkey::BIGINT AS ord, sha256('s' || s_suppkey) AS entity_uid, 'Supplier' AS entity_type, s_name AS surface_form FROM supplier
@@ -238,7 +249,7 @@ raw AS (
   UNION ALL SELECT 'f' || (p_partkey % 4), p_partkey + 20000000, sha256('p' || p_partkey), {inp.sql_list(PART_TYPES)}[(p_partkey % 3 + 1)::INT], p_name || ' Co' FROM part
   UNION ALL SELECT 'f' || (c_custkey % 4), c_custkey + 30000000, sha256('c' || c_custkey), 'Customer', CASE WHEN c_custkey % 10 = 0 THEN 'The Group' ELSE c_name END FROM customer WHERE c_custkey % 5 = 0),
 mentions AS (
-  SELECT *, array_to_string(list_filter(string_split_regex(regexp_replace(lower(surface_form), '[^a-z0-9\s]', ' ', 'g'), '\s+'), lambda t: t <> '' AND t NOT IN ({_LEGAL})), ' ') AS form FROM raw)"""
+  SELECT *, {_FORM} AS form FROM raw)"""
 _EDGES = """
 medges AS (
   SELECT 'f' || (l_orderkey % 4) AS folder_id, l_orderkey AS ord, 'supplies' AS relation_type, sha256('s' || l_suppkey) AS src_uid, sha256('p' || l_partkey) AS dst_uid,
@@ -313,3 +324,17 @@ counts AS (SELECT b::BIGINT AS tp, (pp - b)::BIGINT AS fp, (gg - b)::BIGINT AS f
     "pack_closure": _R + inp.pack_values() + " SELECT type, ancestor, depth FROM up",
     "pack_allowed": _R + inp.pack_values() + " SELECT relation_type, src_type, dst_type FROM allowed",
 }
+
+_WHOLE = inp.RESPONSES + "," + inp._patterns() + "," + inp.pack_values() + f""",
+listed AS (SELECT folder_id, chunk_id, doc_id, line_no, unnest([0, 1]) AS item, unnest([ta, tb]) AS entity_type, unnest([a, b]) AS surface_form, text, a = b AS same FROM worded),
+llm AS (
+  SELECT *, CASE WHEN item = 1 AND same THEN nullif(instr(substr(text, instr(text, surface_form) + 1), surface_form), 0) + instr(text, surface_form) - 1 ELSE instr(text, surface_form) - 1 END AS span_start FROM listed),
+candidates AS (
+  SELECT folder_id, chunk_id, 0 AS o1, pattern_idx AS o2, doc_id AS o3, line_no AS o4, match_idx AS o5, surface_form, entity_type, 'regex' AS layer, span_start, span_start + length(surface_form) AS span_end FROM regex
+  UNION ALL SELECT folder_id, chunk_id, 1, 0, doc_id, line_no, item, surface_form, entity_type, 'llm', span_start, span_start + length(surface_form) FROM llm)""" + inp.greedy("candidates") + f""",
+formed AS (SELECT *, {_FORM} AS form FROM mentions),
+typed AS (SELECT form, arg_min(entity_type, decl_idx) AS canonical_type FROM (SELECT DISTINCT form, entity_type FROM formed) f JOIN types t ON t.type = f.entity_type
+          WHERE NOT EXISTS (SELECT 1 FROM formed o JOIN up u ON u.type = o.entity_type WHERE o.form = f.form AND u.ancestor = f.entity_type) GROUP BY form)
+SELECT {_ID.format("(canonical_type || '|' || form)")} AS canonical_id, canonical_type AS entity_type, form AS normalized_form, string_agg(DISTINCT folder_id, ',' ORDER BY folder_id) AS folder_ids, count(*) AS mention_count
+FROM formed JOIN typed USING (form) GROUP BY form, canonical_type"""
+ORACLE_SQL["graph_build"] = _R + _WHOLE

@@ -158,11 +158,12 @@ candidates AS (
          CASE WHEN match_idx % 3 <> 0 THEN span_start END, CASE WHEN match_idx % 3 <> 0 THEN span_start + length(surface_form) END, 0.5::DOUBLE + (length(surface_form) % 5) / 10::DOUBLE FROM two),
 known AS (SELECT * FROM candidates WHERE entity_type <> 'Gadget')"""
 
-#: Greedy choice of spans, one candidate of each chunk at a time.
-MENTIONS = CANDIDATES + """,
+def greedy(source: str) -> str:
+    """Greedy choice of spans, one candidate of each chunk at a time."""
+    return f""",
 kept0 AS (
   SELECT *, CASE WHEN span_start IS NULL THEN row_number() OVER (PARTITION BY chunk_id, entity_type, surface_form, span_start IS NULL ORDER BY o1, o2, o3, o4, o5) - 1 ELSE 0 END AS occurrence_idx
-  FROM known WHERE confidence >= 0.6),
+  FROM {source}),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY CASE layer WHEN 'regex' THEN 3 WHEN 'spacy' THEN 2 ELSE 1 END DESC, span_start, o1, o2, o3, o4, o5) AS rn
   FROM kept0 WHERE span_start IS NOT NULL),
@@ -177,6 +178,9 @@ mentions AS (
   SELECT r.* EXCLUDE (rn) FROM ranked r JOIN greedy g ON g.chunk_id = r.chunk_id AND g.rn = r.rn AND g.keep
   UNION ALL SELECT * FROM kept0 WHERE span_start IS NULL)"""
 
+
+MENTIONS = CANDIDATES + greedy("(SELECT * FROM known WHERE confidence >= 0.6)")
+
 ENTITIES = MENTIONS + """,
 entities AS (
   SELECT *, sha256(folder_id || '|' || chunk_id || '|' || entity_type || '|' || surface_form || '|' || coalesce(span_start::VARCHAR, '') || '|' || occurrence_idx) AS entity_uid FROM mentions)"""
