@@ -568,3 +568,43 @@ def test_stability(spark):
     runs = spark.createDataFrame([(1,), (2,), (3,), (4,)], "run_idx int")
     r = quality.run_stability(rows, runs).first()
     assert (r.num_runs, r.count_mean, r.mean_pairwise_jaccard) == (4, 1.0, round((1 / 3 + 1) / 6, 4))
+
+
+# --- odds and ends ----------------------------------------------------------------------------------------------
+
+
+def test_sources(spark):
+    from graphloom.config import lookup
+
+    rows = spark.createDataFrame([("f", "c", None, 7), ("f", "d", "text", 8)], "folder_id string, chunk_id string, content string, n int")
+    assert [tuple(r) for r in src.read_chunks(rows).orderBy("n").collect()] == [("f", "c", "", 7), ("f", "d", "text", 8)]
+    lines = src.lines_as_chunks(spark.createDataFrame([("s", 1, "a\n\nb"), ("s", 2, None)], "source string, doc_id long, text string"))
+    assert sorted((r.chunk_id, r.text) for r in lines.collect()) == [("1#0", "a"), ("1#1", ""), ("1#2", "b"), ("2#0", "")]
+    assert lookup(spark, "graphloom.absent", "x") == "x" and lookup(spark, "spark.sql.session.timeZone") == "UTC"
+    spark.conf.set("graphloom.blank", "  ")
+    assert lookup(spark, "graphloom.blank", "y") == "y"
+
+
+def test_masks_bound_the_similarity(spark):
+    rng = random.Random(7)
+    forms = ["".join(rng.choice("aab b1c") for _ in range(rng.randrange(1, 14))) for _ in range(40)]
+    rows = canon.with_masks(spark.createDataFrame([(f,) for f in forms], "normalized_form string"))
+    a, b = rows.select(F.col("normalized_form").alias("x"), F.col("masks").alias("a")), rows.select(F.col("normalized_form").alias("y"), F.col("masks").alias("b"))
+    for r in a.crossJoin(b).select("x", "y", canon._missing("a", "b").alias("ab"), canon._missing("b", "a").alias("ba")).collect():
+        most = min(len(r.x) - r.ab, len(r.y) - r.ba)
+        assert ratio_of(r.x, r.y) <= 2 * most / (len(r.x) + len(r.y)) + 1e-12
+
+
+def test_upsert_and_resolve(spark):
+    old = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x")], "k string, n int, v string")
+    new = spark.createDataFrame([("a", 1, "y"), ("a", 2, "z"), ("c", 0, "w")], "k string, n int, v string")
+    assert sorted(tuple(r) for r in sinks.upsert(old, new, ["k"], "n").collect()) == [("a", 2, "z"), ("b", 1, "x"), ("c", 0, "w")]
+    edges = spark.createDataFrame([("u", "v"), ("u", "z")], "src_entity_uid string, dst_entity_uid string")
+    written = spark.createDataFrame([("u",), ("v",), ("v",)], "entity_uid string")
+    assert [tuple(r) for r in sinks.resolve_written(edges, written).collect()] == [("u", "v")]
+
+
+def test_statements_carry_sorted_json(spark):
+    nodes = spark.createDataFrame([("id", "Legal Entity", "acme", ["g", "f"], 2)], "canonical_id string, entity_type string, normalized_form string, folder_ids array<string>, mention_count long")
+    row = graph.node_statements(nodes).select("cypher", F.get_json_object("params", "$.provenance").alias("p")).first()
+    assert "`Legal_Entity`" in row.cypher and row.p == '{"folder_ids": ["g", "f"], "mention_count": 2}'
