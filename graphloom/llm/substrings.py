@@ -9,7 +9,9 @@ repeated windows into maximal intervals.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,13 @@ from pyspark.sql import functions as F
 from .common import WordHashes, rolling, text_bytes
 
 WIDTH = 35
-#: Bytes of text in a chunk, on average.
+#: Bytes of text in a chunk, on average, at least.
 CHUNK = 8 << 20
+#: There are as many ranges as chunks. Chunks grow with the corpus so that one still sends this many hashes to a range.
+SENT = 32
+WORD_BYTES = 6
+#: Partitions of a shuffle at most; beyond that a partition holds several chunks or ranges, one after another.
+PARTITIONS = 100_000
 
 
 def _squeeze(batches):
@@ -32,19 +39,30 @@ def _squeeze(batches):
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["chunk", "doc_id", "packed"])
 
 
-def window_hashes(packed: list[bytes], width: int) -> tuple[list[list[bytes]], np.ndarray]:
-    """Words of each text, and the window hashes of all texts one after another."""
+def window_hashes(packed: list[bytes], width: int) -> tuple[list[int], np.ndarray]:
+    """Number of words of each text, and the window hashes of all texts one after another. Words are not kept."""
     unpack = zstandard.ZstdDecompressor().decompress
-    known = WordHashes()
-    words = [unpack(x).split() for x in packed]
-    hashes = [rolling(known.of(w), width) for w in words]
-    return words, np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+    known, counts, hashes = WordHashes(), [], [np.empty(0, np.uint64)]
+    for x in packed:
+        words = known.of(unpack(x).split())
+        counts.append(len(words))
+        hashes.append(rolling(words, width))
+    return counts, np.concatenate(hashes)
+
+
+@functools.lru_cache(maxsize=2)
+def _edges(n: int) -> np.ndarray:
+    return np.array([(k << 64) // n for k in range(1, n)], dtype=np.uint64)
 
 
 def _ranges(hashes: np.ndarray, n: int) -> np.ndarray:
     """Where each of n equal hash ranges ends in a sorted array."""
-    edges = np.array([(k << 64) // n for k in range(1, n)], dtype=np.uint64)
-    return np.append(np.searchsorted(hashes, edges, side="left"), len(hashes))
+    return np.append(np.searchsorted(hashes, _edges(n), side="left"), len(hashes))
+
+
+def chunk_count(size: int, chunk: int = CHUNK) -> int:
+    """Chunks, and ranges, for so many bytes of text."""
+    return max(1, min(-(-size // chunk), math.isqrt(size // (WORD_BYTES * SENT)) + 1))
 
 
 _SENT = pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("twice", pa.binary())])
@@ -96,7 +114,9 @@ _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed"
 
 def _apply(width: int, digest: bool):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        words, hashes = window_hashes(docs.column("packed").to_pylist(), width)
+        packed = docs.column("packed").to_pylist()
+        counts, hashes = window_hashes(packed, width)
+        unpack = zstandard.ZstdDecompressor().decompress
         flags = np.empty(0, bool)
         if replies.num_rows:
             parts = sorted(zip(*(replies.column(c).to_pylist() for c in ("range", "n", "repeated")), strict=True))
@@ -106,9 +126,9 @@ def _apply(width: int, digest: bool):
             raise ValueError(f"{len(flags)} answers to {len(distinct)} hashes")
         flags = flags[where] if len(flags) else flags
         out, start = [], 0
-        for doc_id, w in zip(docs.column("doc_id").to_pylist(), words, strict=True):
-            n = max(0, len(w) - width + 1)
-            gone = intervals(flags[start : start + n], len(w), width)
+        for doc_id, data, size in zip(docs.column("doc_id").to_pylist(), packed, counts, strict=True):
+            n, w = max(0, size - width + 1), unpack(data).split()
+            gone = intervals(flags[start : start + n], size, width)
             start += n
             edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0])))).reshape(-1, 2)
             if len(edges):
@@ -134,10 +154,11 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, chunk: int = CHUNK, dige
 
     Two different windows count as equal if their 64-bit hashes collide: at n windows each has a chance of n / 2**64.
     """
-    n = max(1, -(-text_bytes(docs) // chunk))
+    n = chunk_count(text_bytes(docs), chunk)
+    parts = min(n, PARTITIONS)
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("chunk"), F.col("doc_id").cast("long"), "text")
-    packed = dealt.mapInArrow(_squeeze, "chunk long, doc_id long, packed binary").repartition(n, "chunk")
-    sent = packed.groupBy("chunk").applyInArrow(_send(width, n), "range long, chunk long, hashes binary, twice binary").repartition(n, "range")
+    packed = dealt.mapInArrow(_squeeze, "chunk long, doc_id long, packed binary").repartition(parts, "chunk")
+    sent = packed.groupBy("chunk").applyInArrow(_send(width, n), "range long, chunk long, hashes binary, twice binary").repartition(parts, "range")
     replies = sent.groupBy("range").applyInArrow(_count, "chunk long, range long, n long, repeated binary")
     kept = packed.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_apply(width, digest), "doc_id long, n_words long, n_removed long, kept binary, removed string")
     return kept.withColumn("kept", F.col("kept").cast("string"))
