@@ -36,6 +36,9 @@ IDENTIFIER_WORD = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}")
 WORD_RATIO = 3.0
 LETTER = re.compile(r"[A-Za-z]")
 NUMBER = re.compile(r"[0-9_/=+-]+\Z")
+#: Runs without a digit are also judged by their words alone, in lower case and without separators.
+SPELLED_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+SPELLED_RATIO = 2.1
 LETTERS = re.compile(r"[A-Za-z_/=+-]+\Z")
 
 
@@ -55,13 +58,20 @@ def is_identifier(run: str, encode) -> bool:
     return 2 * chars >= len(LETTER.findall(run)) and chars >= WORD_RATIO * sum(len(encode(w.lower())) for w in words) > 0
 
 
+def is_spelled(run: str, encode) -> bool:
+    words = SPELLED_WORD.findall(run)
+    return sum(map(len, words)) >= SPELLED_RATIO * sum(len(encode(w.lower())) for w in words)
+
+
 @functools.lru_cache(maxsize=20_000)
 def is_random(run: str, ratio: float, vocabulary: str) -> bool:
     """Few characters per token, and not a form that is known to be harmless."""
-    if NUMBER.match(run) or LETTERS.match(run) or DIGEST.match(run) or UUID.match(run):
+    if NUMBER.match(run) or DIGEST.match(run) or UUID.match(run):
         return False
     encode = _fast(public_tokenizers.path(f"{vocabulary}.tiktoken")).encode_ordinary
-    return len(run) < ratio * len(encode(run)) and not is_identifier(run, encode)
+    if len(run) >= ratio * len(encode(run)) or is_identifier(run, encode):
+        return False
+    return not (LETTERS.match(run) and is_spelled(run, encode))
 
 
 def all_spans(text: str, ratio: float = RATIO, vocabulary: str = "byte_bpe_50k") -> tuple[list, list]:

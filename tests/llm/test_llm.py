@@ -194,6 +194,21 @@ def test_random_strings_and_identifiers():
         assert hit(lambda join=join: join.join(rng.choice(names).capitalize() for _ in range(3)) + str(rng.randrange(999))) < 0.02
 
 
+def test_random_letters():
+    import string
+
+    rng = random.Random(15)
+    made = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    hit = lambda make: sum(secrets.is_random(make(), secrets.RATIO, "byte_bpe_50k") for _ in range(200)) / 200
+    for alphabet in (string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters + "-_"):
+        for n in (16, 24, 40):
+            assert hit(lambda a=alphabet, n=n: made(a, n)) > 0.95, (alphabet, n)
+    assert hit(lambda: "-".join(made(string.ascii_lowercase, 4) for _ in range(4))) > 0.95
+    plain = "internationalization counter-revolutionary get_lexer_by_name _convert_to_naive_utc_time EVP_PKEY_new_raw_private_key TOML_WS_AND_NEWLINE AbstractSingletonProxyFactoryBean src/main/resources"
+    assert secrets.all_spans(plain)[1] == []
+    assert [k for _, _, k in secrets.all_spans("app key qzvkxwbtjhfpmdgc here")[1]] == ["random"]
+
+
 def test_op10(docs):
     for r in secrets.scan_secrets(docs).collect():
         base = plain_secrets(next(x[1] for x in corpus() if x[0] == r.doc_id) or "")
