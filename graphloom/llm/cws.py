@@ -21,7 +21,7 @@ from .common import WordHashes, mix, rolling, text_bytes, wrapping
 
 SHINGLE = 5
 SAMPLES = 64
-#: Terms are hashed to so many rows of random numbers; a worker keeps 4 * SAMPLES bytes for each.
+#: Terms draw from so many rows of random numbers, and ties of a row go by the whole hash; a worker keeps 4 * SAMPLES bytes for each.
 ROWS = 1 << 18
 #: Bytes of text in a range of documents, on average, and ranges at most.
 RANGE = 8 << 20
@@ -51,31 +51,46 @@ def _once() -> np.ndarray:
 
 
 def terms(text: bytes, known: WordHashes, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and weights of the shingles of a text; a text of fewer words is one term, one without words has none."""
+    """Hashes, ascending, and weights of the shingles of a text; a text of fewer words is one term, one without words has none."""
     words = known.of(text.lower().split())
     if not len(words):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    hashes = rolling(words, min(width, len(words)))
-    rows = np.sort((hashes >> np.uint64(64 - ROWS.bit_length() + 1)).astype(np.int64))
-    first = np.concatenate(([True], rows[1:] != rows[:-1]))
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    hashes = np.sort(rolling(words, min(width, len(words))))
+    first = np.concatenate(([True], hashes[1:] != hashes[:-1]))
     at = np.flatnonzero(first)
-    return rows[at], np.diff(np.append(at, len(rows)))
+    return hashes[at], np.diff(np.append(at, len(hashes)))
+
+
+def _rows(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - ROWS.bit_length() + 1)).astype(np.int64)
 
 
 def signature(text: bytes, known: WordHashes) -> np.ndarray:
-    """SAMPLES values that identify the samples; none for a text without words."""
-    rows, weights = terms(text, known)
-    if not len(rows):
-        return np.empty(0, np.uint32)
-    least = np.full(SAMPLES, np.inf, dtype=np.float32)
-    table = _once()
-    single = rows[weights == 1]
-    for at in range(0, len(single), _BLOCK):
-        least = np.minimum(least, table[single[at : at + _BLOCK]].min(axis=0))
-    rows, weights = rows[weights > 1], weights[weights > 1]
-    for at in range(0, len(rows), 1024):
-        least = np.minimum(least, _values(rows[at : at + 1024], weights[at : at + 1024]).min(axis=0))
-    return least.view(np.uint32)
+    """SAMPLES values that identify the samples; none for a text without words.
+
+    Terms are in order of value, then row, then a hash of term and sample: those that share a row share its draws, but
+    one of them is the sample, each as likely as the other, and its whole hash goes into the signature.
+    """
+    hashes, weights = terms(text, known)
+    if not len(hashes):
+        return np.empty(0, np.uint64)
+    rows, table, each = _rows(hashes), _once(), np.arange(SAMPLES)
+    least, won = np.full(SAMPLES, np.inf, dtype=np.float32), np.zeros(SAMPLES, np.int64)
+    for own, step in ((np.flatnonzero(weights == 1), _BLOCK), (np.flatnonzero(weights > 1), 1024)):
+        for at in range(0, len(own), step):
+            part = own[at : at + step]
+            values = table[rows[part]] if step == _BLOCK else _values(rows[part], weights[part])
+            best = values.argmin(axis=0)
+            found, index = values[best, each], part[best]
+            less = (found < least) | ((found == least) & (rows[index] < rows[won]))
+            least, won = np.where(less, found, least), np.where(less, index, won)
+    low, high = np.searchsorted(rows, rows[won]), np.searchsorted(rows, rows[won], side="right")
+    for k in np.flatnonzero(high - low > 1):
+        tied = np.arange(low[k], high[k])
+        tied = tied[_values(rows[tied], weights[tied])[:, k] == least[k]]
+        with wrapping():
+            won[k] = tied[mix(hashes[tied] + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15)).argmin()]
+    return mix(hashes[won] ^ mix(least.view(np.uint32).astype(np.uint64)))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

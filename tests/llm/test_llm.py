@@ -421,6 +421,16 @@ def test_weighted_jaccard():
     assert np.array_equal(cws._once()[:100], cws._values(np.arange(100), np.ones(100)))
 
 
+def test_long_texts_are_as_alike_as_their_shingles():
+    known = cws.WordHashes()
+    sign = lambda a, b: cws.signature(" ".join(map(str, range(a, b))).encode(), known)
+    n = 300_000
+    first = sign(0, n)
+    assert cws.likeness(first, sign(n, 2 * n)) == 0
+    assert abs(cws.likeness(first, sign(n // 3, n + n // 3)) - 0.5) < 0.2
+    assert cws.likeness(first, sign(0, n)) == 1
+
+
 # --- op7 ----------------------------------------------------------------------------------------------------------
 
 
