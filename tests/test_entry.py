@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import importlib.util
 import re
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -52,6 +55,21 @@ def test_contract(spark):
     assert any(n.startswith("op1_") for n in entry.queries()) == (there is not None)
 
 
+def test_stands_without_the_corpus_operators(tmp_path):
+    """A copy without their two folders, with and without the pipeline, still lists its queries."""
+    for name in ("graphloom", "tests", "__spark_entry__.py", "corpus_pipeline.py"):
+        if (ROOT / name).is_dir():
+            shutil.copytree(ROOT / name, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        elif (ROOT / name).exists():
+            shutil.copy(ROOT / name, tmp_path / name)
+    check = "import __spark_entry__ as e; q = e.queries(); assert set(e.oracle_sql()) <= set(q); print(sorted(q))"
+    for _ in range(2):
+        out = subprocess.run([sys.executable, "-c", check], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+        assert out.returncode == 0, out.stderr
+        assert "'chunk_scan'" in out.stdout and "op1_" not in out.stdout and "pipeline" not in out.stdout
+        (tmp_path / "corpus_pipeline.py").unlink(missing_ok=True)
+
+
 def test_library_stands_alone():
     for path in (ROOT / "graphloom").rglob("*.py"):
         if "llm" not in path.relative_to(ROOT / "graphloom").parts:
@@ -73,3 +91,8 @@ def test_stream(spark, tmp_path):
         stream = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
         extract_stream(stream, str(tmp_path / "out"), str(tmp_path / "state"), Settings(engine="rules", pack="commerce")).awaitTermination()
     assert sorted(r.surface_form for r in spark.read.parquet(str(tmp_path / "out/entities")).collect()) == ["12345", "a@b.co", "b@c.de"]
+    quiet = spark.createDataFrame([("f", "c0", 0, 0, "no mail any more")], chunks.schema)
+    quiet.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(chunks.schema).parquet(str(tmp_path / "in"))
+    extract_stream(stream, str(tmp_path / "out"), str(tmp_path / "state"), Settings(engine="rules", pack="commerce")).awaitTermination()
+    assert {r.folder_id for r in spark.read.parquet(str(tmp_path / "out/entities")).collect()} == {"g"}
