@@ -23,7 +23,7 @@ class Settings:
     relation_strategy: str = "generate"
     coref_enabled: bool = False
     votes: int = 1
-    top_n: int = 20
+    top_n: int = 10
     model_id: str | None = None
 
     @classmethod
@@ -37,7 +37,7 @@ class Settings:
         for name, cast in (("confidence_threshold", float), ("votes", int), ("top_n", int), ("coref_enabled", bool), ("relations_enabled", bool), ("rules_relations_enabled", bool)):
             if name in given:
                 given[name] = cast(given[name])
-        out = cls(**given | {"votes": min(5, max(1, given.get("votes", 1))), "top_n": min(20, max(0, given.get("top_n", 20)))})
+        out = cls(**given | {"votes": min(5, max(1, given.get("votes", 1))), "top_n": min(20, max(0, given.get("top_n", 10)))})
         out.check()
         return out
 
@@ -52,7 +52,9 @@ class Settings:
     def needs(self) -> list[str]:
         """Annotation tables the plan will read."""
         out = {"rules": [], "spacy": ["ner"], "llm": ["responses"]}[self.engine]
-        return [*out, *(["tokens"] if self.rules_relations_enabled else []), *(["rewrites"] if self.coref_enabled and self.engine == "llm" else [])]
+        classify = self.engine == "llm" and self.relations_enabled and self.relation_strategy == "classify"
+        more = {"tokens": self.rules_relations_enabled, "rewrites": self.coref_enabled and self.engine == "llm", "sentences": classify}
+        return [*out, *(name for name, wanted in more.items() if wanted)]
 
 
 def lookup(spark, key: str, default: str | None = None) -> str | None:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import block_key, canonical_key, normalize_surface
 from ..functions.udfs import ratio
 from ..ontology import Pack, small
+from ..sources.scratch import materialize
+from .components import components
 
 FLOOR, CEILING = 0.80, 0.95
 #: Forms of a block are paired in chunks of so many, so that no block is one task.
@@ -20,26 +20,9 @@ class AdjudicationError(ValueError):
     """An ambiguous pair that nobody decides."""
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df where the cluster shares its checkpoints and read it back."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            import tempfile
-
-            base = "file://" + tempfile.mkdtemp(prefix="graphloom-")
-        spark.sparkContext.setCheckpointDir(base)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def with_forms(mentions: DataFrame) -> DataFrame:
-    """C01 and C03."""
-    return mentions.withColumn("normalized_form", normalize_surface(F.col("surface_form"))).withColumn("block", block_key(F.col("normalized_form")))
+    """C01 and C03; a missing surface has an empty form."""
+    return mentions.withColumn("normalized_form", normalize_surface(F.coalesce("surface_form", F.lit("")))).withColumn("block", block_key(F.col("normalized_form")))
 
 
 def distinct_forms(mentions: DataFrame) -> DataFrame:
@@ -55,24 +38,14 @@ DEPTH = 3
 
 def with_masks(forms: DataFrame) -> DataFrame:
     """Forms with ``masks``: bit c of mask k tells whether character c comes more than k times."""
-    form = F.col("normalized_form")
-    counts = F.array(*[F.char_length(form) - F.char_length(F.replace(form, F.lit(c), F.lit(""))) for c in ALPHABET])
-
-    def mask(k: int):
-        out = F.lit(0).cast("long")
-        for bit in range(len(ALPHABET)):
-            out = out + F.when(F.col("__counts")[bit] > k, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
-        return out
-
-    return forms.withColumn("__counts", counts).withColumn("masks", F.array(*[mask(k) for k in range(DEPTH)])).drop("__counts")
+    times = f"char_length(normalized_form) - char_length(replace(normalized_form, substring('{ALPHABET}', c + 1, 1), ''))"
+    mask = f"aggregate(sequence(0, {len(ALPHABET) - 1}), 0L, (m, c) -> m | if({times} > k, shiftleft(1L, c), 0L))"
+    return forms.withColumn("masks", F.expr(f"transform(sequence(0, {DEPTH - 1}), k -> {mask})"))
 
 
 def _missing(a: str, b: str):
     """At least so many characters of a, repeats counted, have no partner in b."""
-    out = F.lit(0)
-    for k in range(DEPTH):
-        out = out + F.bit_count(F.col(a)[k].bitwiseAND(F.bitwise_not(F.col(b)[k])))
-    return out
+    return F.expr(" + ".join(f"bit_count({a}[{k}] & ~{b}[{k}])" for k in range(DEPTH)))
 
 
 def fuzzy_pairs(forms: DataFrame, floor: float = FLOOR, ceiling: float = CEILING) -> DataFrame:
@@ -98,11 +71,34 @@ def fuzzy_pairs(forms: DataFrame, floor: float = FLOOR, ceiling: float = CEILING
     return scored.withColumn("verdict", F.when(F.col("score") >= ceiling, "accept").otherwise("ambiguous"))
 
 
+def questions(pairs: DataFrame, mentions: DataFrame) -> DataFrame:
+    """(a_uid, b_uid, form_a, form_b): what to ask about ambiguous pairs, once for a pair of forms and its direction.
+
+    The first mention of one form and the last of the other stand for all; the first comes before the last.
+    """
+    ends = mentions.groupBy("normalized_form").agg(F.min_by("entity_uid", "ord").alias("a_uid"), F.max_by("entity_uid", "ord").alias("b_uid"))
+    asked = pairs.where("verdict = 'ambiguous'").select("form_a", "form_b")
+    for end in ("a", "b"):
+        asked = asked.join(ends.select(F.col("normalized_form").alias(f"form_{end}"), f"{end}_uid"), f"form_{end}")
+    return asked.select("a_uid", "b_uid", "form_a", "form_b")
+
+
+def answered(adjudications: DataFrame, mentions: DataFrame) -> DataFrame:
+    """(form_a, form_b, yes): answers (a_uid, b_uid, answer) on mentions as answers on their forms; one that begins
+    with y settles the pair. Answers on mentions that are not of the batch, or come in the wrong order, do not count."""
+    ends = mentions.select("entity_uid", "ord", "normalized_form")
+    told = adjudications.select("a_uid", "b_uid", "answer")
+    for end in ("a", "b"):
+        told = told.join(ends.select(F.col("entity_uid").alias(f"{end}_uid"), F.col("ord").alias(f"{end}_ord"), F.col("normalized_form").alias(f"form_{end}")), f"{end}_uid")
+    yes = F.coalesce(F.bool_or(F.lower(F.trim("answer")).startswith("y")), F.lit(False))
+    return told.where("a_ord < b_ord and answer is not null").groupBy("form_a", "form_b").agg(yes.alias("yes"))
+
+
 def adjudicated(pairs: DataFrame, mentions: DataFrame, adjudications: DataFrame | None, policy: str = "fail") -> DataFrame:
     """Accepted links (form_a, form_b) out of fuzzy pairs, ambiguous ones by the answers given for mentions.
 
-    An answer that begins with y accepts. A pair of mentions without an answer fails the batch, or under the policy
-    ``reject`` counts as no.
+    A pair of forms without an answer fails the batch, or under the policy ``reject`` counts as no. Answers meet
+    pairs of forms, so the work grows with the answers, not with the pairs of mentions behind two forms.
     """
     accepted = pairs.where("verdict = 'accept'").select("form_a", "form_b")
     doubtful = pairs.where("verdict = 'ambiguous'").select("form_a", "form_b")
@@ -110,49 +106,23 @@ def adjudicated(pairs: DataFrame, mentions: DataFrame, adjudications: DataFrame
         if policy == "fail" and not doubtful.isEmpty():
             raise AdjudicationError("there are ambiguous pairs and no adjudications")
         return accepted
-    ends = mentions.select("entity_uid", "ord", "normalized_form")
-    a, b = (ends.select(*[F.col(c).alias(f"{x}_{c}") for c in ends.columns]) for x in "ab")
-    asked = doubtful.join(a, F.col("form_a") == F.col("a_normalized_form")).join(b, F.col("form_b") == F.col("b_normalized_form")).where("a_ord < b_ord")
-    asked = asked.join(adjudications.select(F.col("a_uid").alias("a_entity_uid"), F.col("b_uid").alias("b_entity_uid"), "answer"), ["a_entity_uid", "b_entity_uid"], "left")
-    if policy == "fail" and not asked.where("answer is null").isEmpty():
+    settled = materialize(doubtful.join(answered(adjudications, mentions), ["form_a", "form_b"], "left"), "adjudicated")
+    if policy == "fail" and not settled.where("yes is null").isEmpty():
         raise AdjudicationError("an ambiguous pair has no answer")
-    yes = asked.where(F.lower(F.trim("answer")).startswith("y")).select("form_a", "form_b").distinct()
-    return accepted.union(yes)
-
-
-def connected(links: DataFrame) -> DataFrame:
-    """(node, root): the least node reachable over links (u, v), by alternating stars.
-
-    Nodes are longs. Every round is cut from its lineage, and only a count and a checksum are read by the driver.
-    """
-    edges = cut_lineage(links.where("u <> v").distinct())
-    before = None
-    while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
-            break
-        before = now
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = cut_lineage(moved.union(least.select("u", F.col("m").alias("v"))).distinct())
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v")).distinct()
+    return accepted.union(settled.where("yes").select("form_a", "form_b"))
 
 
 def clusters(mentions: DataFrame, links: DataFrame) -> DataFrame:
-    """Mentions with ``cluster_id``: a hash of the form that stands for the cluster, and the same for every mention of
-    it. Clusters are components of forms; types play no part."""
-    form_id = F.xxhash64("normalized_form")
-    roots = connected(links.select(F.xxhash64("form_a").alias("u"), F.xxhash64("form_b").alias("v")))
-    own = mentions.withColumn("__form", form_id)
-    return own.join(roots, F.col("__form") == F.col("node"), "left").withColumn("cluster_id", F.coalesce("root", "__form")).drop("__form", "node", "root")
+    """Mentions with ``cluster_id``: the least form of the cluster, the same for every mention of it (C07). Clusters are
+    components of forms; types play no part."""
+    roots = components(links, "form_a", "form_b")
+    own = mentions.join(roots, F.col("normalized_form") == F.col("node"), "left")
+    return own.withColumn("cluster_id", F.coalesce("root", "normalized_form")).drop("node", "root")
 
 
 def exact_clusters(mentions: DataFrame) -> DataFrame:
     """The equality band alone: mentions of one form are one cluster."""
-    return mentions.withColumn("cluster_id", F.xxhash64("normalized_form"))
+    return mentions.withColumn("cluster_id", F.col("normalized_form"))
 
 
 def reconciled_types(clustered: DataFrame, pack: Pack | None) -> DataFrame:
@@ -199,15 +169,14 @@ def batch_counts(resolved: DataFrame) -> DataFrame:
 
 
 def promoted(entities: DataFrame, clustered: DataFrame, resolved: DataFrame) -> DataFrame:
-    """The entity table with the batch's rows canonicalized."""
-    given = clustered.select("entity_uid", "cluster_id", F.col("normalized_form").alias("__form")).join(resolved.select("cluster_id", F.col("canonical_id").alias("__id")), "cluster_id").select("entity_uid", "__id", "__form")
-    joined = entities.drop("canonical_id", "normalized_form").join(given, "entity_uid", "left")
-    old = {c: F.lit(None).cast("string") for c in ("canonical_id", "normalized_form")}
-    if "canonical_id" in entities.columns:
-        joined = joined.join(entities.select("entity_uid", F.col("canonical_id").alias("__old_id"), F.col("normalized_form").alias("__old_form")), "entity_uid")
-        old = {"canonical_id": F.col("__old_id"), "normalized_form": F.col("__old_form")}
-    done = F.col("__id").isNotNull()
-    return joined.withColumn("stage", F.when(done, "canonicalized").otherwise(F.col("stage"))).withColumn("canonical_id", F.coalesce("__id", old["canonical_id"])).withColumn("normalized_form", F.coalesce("__form", old["normalized_form"])).drop("__id", "__form", "__old_id", "__old_form")
+    """The entity table with the batch's rows canonicalized (C10): each gets the id and the form of its cluster."""
+    named = resolved.select("cluster_id", F.col("canonical_id").alias("__id"), F.col("normalized_form").alias("__form"))
+    given = clustered.select("entity_uid", "cluster_id").join(named, "cluster_id").drop("cluster_id")
+    old = {c: F.col(f"e.{c}") if c in entities.columns else F.lit(None).cast("string") for c in ("canonical_id", "normalized_form")}
+    rest = [F.col(f"e.{c}") for c in entities.columns if c not in ("stage", *old)]
+    joined = entities.alias("e").join(given, "entity_uid", "left")
+    stage = F.when(F.col("__id").isNotNull(), "canonicalized").otherwise(F.col("e.stage"))
+    return joined.select(*rest, stage.alias("stage"), F.coalesce("__id", old["canonical_id"]).alias("canonical_id"), F.coalesce("__form", old["normalized_form"]).alias("normalized_form"))
 
 
 def staged(entities: DataFrame, folders: list[str] | None) -> DataFrame:
@@ -218,5 +187,5 @@ def staged(entities: DataFrame, folders: list[str] | None) -> DataFrame:
 
 def batch_pack(entities: DataFrame, folders: list[str] | None, default: str = "general") -> str:
     """The pack of the batch's first staged row that names one."""
-    row = staged(entities, folders).where("ontology_pack is not null").agg(F.min_by("ontology_pack", "ord")).first()
+    row = staged(entities, folders).agg(F.min_by("ontology_pack", F.when(F.col("ontology_pack").isNotNull(), F.col("ord")))).first()
     return row[0] or default

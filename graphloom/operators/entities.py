@@ -145,14 +145,18 @@ def _greedy(key_at: list[int], start_at: int, end_at: int):
 
 
 def merge_layers(candidates: DataFrame) -> DataFrame:
-    """Of overlapping spans in a chunk the one of higher precedence stays, then the earlier start, then order."""
+    """Of overlapping spans in a chunk the one of higher precedence stays, then the earlier start, then order.
+
+    Repeats without a span are numbered on the way (A02): one shuffle by chunk serves both.
+    """
     rank = F.lit(0)
     for layer, weight in PRECEDENCE.items():
         rank = F.when(F.col("layer") == layer, weight).otherwise(rank)
-    columns = candidates.columns
-    ranked = candidates.withColumn("__rank", -rank).repartition("folder_id", "chunk_id").sortWithinPartitions("folder_id", "chunk_id", "__rank", F.col("span_start").asc_nulls_last(), "ord")
+    numbered = occurrence_index(candidates.repartition("folder_id", "chunk_id"))
+    columns = numbered.columns
+    ranked = numbered.withColumn("__rank", -rank).sortWithinPartitions("folder_id", "chunk_id", "__rank", F.col("span_start").asc_nulls_last(), "ord")
     at = [columns.index(c) for c in ("folder_id", "chunk_id", "span_start", "span_end")]
-    return ranked.select(*columns).mapInArrow(_greedy(at[:2], at[2], at[3]), candidates.schema)
+    return ranked.select(*columns).mapInArrow(_greedy(at[:2], at[2], at[3]), numbered.schema)
 
 
 def entity_records(candidates: DataFrame, pack: Pack, model_id: str | None = None) -> DataFrame:
@@ -166,22 +170,28 @@ def entity_records(candidates: DataFrame, pack: Pack, model_id: str | None = Non
     )
 
 
-def top_entities(entities: DataFrame, n: int = 20) -> DataFrame:
+def top_entities(entities: DataFrame, n: int = 10) -> DataFrame:
     """The n (20 at most) most frequent (type, surface) of each folder, first seen first among equals."""
     counts = entities.groupBy("folder_id", "entity_type", "surface_form").agg(F.count("*").alias("mention_count"), F.min("ord").alias("__first"))
     place = Window.partitionBy("folder_id").orderBy(F.col("mention_count").desc(), "__first")
     return counts.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= max(0, min(n, 20))).drop("__first")
 
 
-def folder_summary(entities: DataFrame, edges: DataFrame, counters: list[DataFrame] = (), n: int = 20) -> DataFrame:
-    """One row per folder (A09, A10); ``counters`` are further (folder_id, count) tables, missing folders count 0."""
-    out = entities.groupBy("folder_id").agg(F.count("*").alias("entity_count"), F.count_distinct("entity_type").alias("distinct_types"))
-    out = out.join(edges.groupBy("folder_id").agg(F.count("*").alias("edge_count")), "folder_id", "left")
+def folder_summary(status: DataFrame, entities: DataFrame, edges: DataFrame, counters: list[DataFrame] = (), n: int = 10, pack: Pack | None = None, votes: int = 1) -> DataFrame:
+    """One row per folder that did not fail, also where nothing was found in it.
+
+    ``status`` has (folder_id, status); ``counters`` are further (folder_id, count) tables, missing folders count 0.
+    """
+    out = status.where("status <> 'failed'").select("folder_id")
+    found = entities.groupBy("folder_id").agg(F.count("*").alias("entity_count"), F.count_distinct("entity_type").alias("distinct_types"))
+    for table in (found, edges.groupBy("folder_id").agg(F.count("*").alias("edge_count")), *counters):
+        out = out.join(table, "folder_id", "left")
+    item = "array<struct<entity_type:string,surface_form:string,mention_count:bigint>>"
     listed = F.transform(F.array_sort(F.collect_list(F.struct("rank", "entity_type", "surface_form", "mention_count"))), lambda x: F.struct(x["entity_type"].alias("entity_type"), x["surface_form"].alias("surface_form"), x["mention_count"].alias("mention_count")))
-    out = out.join(top_entities(entities, n).groupBy("folder_id").agg(listed.alias("top_entities")), "folder_id", "left")
-    for counter in counters:
-        out = out.join(counter, "folder_id", "left")
-    return out.fillna(0)
+    out = out.fillna(0).join(top_entities(entities, n).groupBy("folder_id").agg(listed.alias("top_entities")), "folder_id", "left")
+    named = {"ontology_pack": pack and pack.name, "ontology_version": pack and pack.version}
+    out = out.withColumn("top_entities", F.coalesce("top_entities", F.array().cast(item)))
+    return out.withColumns({k: F.lit(v).cast("string") for k, v in named.items()} | {"self_consistency_votes": F.lit(votes)})
 
 
 def spans_of(items: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import identifier
 from ..functions.udfs import sorted_json
+from ..sources.scratch import materialize
 
 TRIPLE = ["src_canonical_id", "relation_type", "dst_canonical_id"]
 EVIDENCE = 3
@@ -20,11 +21,30 @@ def contributing(edges: DataFrame, entities: DataFrame) -> DataFrame:
     return edges
 
 
-def affected_triples(rows: DataFrame, batch: DataFrame) -> DataFrame:
-    """Distinct triples with an end in the batch (J10); ``batch`` has canonical_id."""
-    ids = batch.select("canonical_id").distinct()
-    hit = [rows.join(ids, F.col(f"{end}_canonical_id") == F.col("canonical_id"), "left_semi").select(*TRIPLE) for end in ("src", "dst")]
-    return hit[0].union(hit[1]).distinct()
+def _ends(rows: DataFrame, kind: str, name: str) -> DataFrame:
+    return rows.select(F.col(f"src_{kind}").alias(name)).union(rows.select(F.col(f"dst_{kind}"))).distinct()
+
+
+def affected_triples(edges: DataFrame, entities: DataFrame, batch: DataFrame) -> DataFrame:
+    """Distinct triples with a mention edge that starts or ends at a mention of the batch (J10); ``batch`` has entity_uid.
+
+    Edges are narrowed to those of the batch before anything else is joined, and entities to the ends of those.
+    """
+    own = batch.select(F.col("entity_uid").alias("__uid")).distinct()
+    out = edges.join(own, F.col("src_entity_uid") == F.col("__uid"), "left_semi")
+    into = edges.join(own, F.col("dst_entity_uid") == F.col("__uid"), "left_semi")
+    near = materialize(out.union(into).select("src_entity_uid", "relation_type", "dst_entity_uid").distinct(), "near")
+    known = entities.where("canonical_id is not null").join(_ends(near, "entity_uid", "entity_uid"), "entity_uid", "left_semi")
+    return contributing(near, known).select(*TRIPLE).distinct()
+
+
+def history(edges: DataFrame, entities: DataFrame, triples: DataFrame) -> DataFrame:
+    """All mention edges of some triples, with the canonical ids of their ends.
+
+    Only mentions of the entities in the triples, then only edges between those, are joined.
+    """
+    own = entities.where("canonical_id is not null").select("entity_uid", "canonical_id").join(_ends(triples, "canonical_id", "canonical_id"), "canonical_id", "left_semi")
+    return contributing(edges, own).join(triples, TRIPLE, "left_semi")
 
 
 def aggregate_edges(rows: DataFrame, order: str = "ord") -> DataFrame:
@@ -41,14 +61,15 @@ def aggregate_edges(rows: DataFrame, order: str = "ord") -> DataFrame:
     return totals.join(best, TRIPLE, "left").withColumn("evidence_text", F.coalesce("evidence_text", F.array().cast("array<string>")))
 
 
-def refresh_edges(current: DataFrame, rows: DataFrame, batch: DataFrame) -> DataFrame:
+def refresh_edges(current: DataFrame, edges: DataFrame, entities: DataFrame, batch: DataFrame) -> DataFrame:
     """The canonical edges after a batch: affected triples anew over all history, the others as they were.
 
-    A triple that lost all its rows stays; edges are never deleted here.
+    A triple that lost all its rows stays; edges are never deleted here. ``batch`` has the entity_uid of each mention
+    that the batch canonicalized.
     """
-    hit = affected_triples(rows, batch)
-    new = aggregate_edges(rows.join(hit, TRIPLE, "left_semi"))
-    return current.join(new.select(*TRIPLE), TRIPLE, "left_anti").select(*new.columns).unionByName(new)
+    triples = materialize(affected_triples(edges, entities, batch), "triples")
+    new = aggregate_edges(materialize(history(edges, entities, triples), "history"))
+    return current.join(triples, TRIPLE, "left_anti").select(*new.columns).unionByName(new)
 
 
 def export_nodes(entities: DataFrame, index: DataFrame, folders: list[str] | None = None) -> DataFrame:

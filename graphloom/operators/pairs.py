@@ -50,7 +50,7 @@ def _attributes(token: dict, alias: str) -> Column:
 def match_pattern(tokens: DataFrame, dep: dict, pack: Pack, pattern_idx: int = 0) -> DataFrame:
     """Relations where a pattern of tokens fits a parse tree.
 
-    Each further token is one join of the token table with itself on the chunk and the head; a token is never its
+    ``ord`` is the number of the pattern and those of the tokens it took. Each further token is one join of the token table with itself on the chunk and the head; a token is never its
     own head's dependent.
     """
     pattern = dep["pattern"]
@@ -71,9 +71,9 @@ def match_pattern(tokens: DataFrame, dep: dict, pack: Pack, pattern_idx: int = 0
         found = found.join(side, (F.col(f"{own}.chunk_id") == F.col(f"{left}.chunk_id")) & linked & (F.col(f"{own}.i") != F.col(f"{left}.i")))
     relation = next(r for r in pack.relations if r["type"] == dep["relation_type"])
     src, dst = dep["src_node"], dep["dst_node"]
-    place = F.struct(F.lit(pattern_idx).alias("pattern"), *[F.col(f"{t['RIGHT_ID']}.i").alias(f"t{k}") for k, t in enumerate(pattern)])
+    place = F.array(F.lit(pattern_idx), *[F.col(f"{t['RIGHT_ID']}.i") for t in pattern])
     return found.select(
-        F.col(f"{src}.chunk_id").alias("chunk_id"), F.lit(1).alias("run_idx"), F.xxhash64(place).alias("ord"), F.lit(dep["relation_type"]).alias("relation_type"), F.col(f"{src}.text").alias("src_surface"), F.lit(relation["domain"][0]).alias("src_type"),
+        F.col(f"{src}.chunk_id").alias("chunk_id"), F.lit(1).alias("run_idx"), place.alias("ord"), F.lit(dep["relation_type"]).alias("relation_type"), F.col(f"{src}.text").alias("src_surface"), F.lit(relation["domain"][0]).alias("src_type"),
         F.col(f"{dst}.text").alias("dst_surface"), F.lit(relation["range"][0]).alias("dst_type"), F.lit(1.0).alias("confidence"), F.col(f"{src}.sent_text").alias("evidence_text"), F.lit("rules").alias("extractor"),
     )
 
@@ -85,5 +85,5 @@ def rule_relations(tokens: DataFrame, pack: Pack) -> DataFrame:
         one = match_pattern(tokens, dep, pack, k)
         out = one if out is None else out.unionByName(one)
     if out is None:
-        return tokens.sparkSession.createDataFrame([], "chunk_id string, run_idx int, ord long, relation_type string, src_surface string, src_type string, dst_surface string, dst_type string, confidence double, evidence_text string, extractor string")
+        return tokens.sparkSession.createDataFrame([], "chunk_id string, run_idx int, ord array<int>, relation_type string, src_surface string, src_type string, dst_surface string, dst_type string, confidence double, evidence_text string, extractor string")
     return out

@@ -40,9 +40,9 @@ def _greedy(same: list[str], near: list[str], kind: str):
     """One to one within a chunk, predictions in order, each taking the first gold row that is left and fits."""
 
     def run(predicted: pa.Table, gold: pa.Table) -> pa.Table:
-        left = [dict(r, used=False) for r in gold.sort_by("ord").to_pylist()]
+        left = [dict(r, used=False) for r in sorted(gold.to_pylist(), key=lambda r: r["ord"])]
         counts: dict[str, list[int]] = {}
-        for p in predicted.sort_by("ord").to_pylist():
+        for p in sorted(predicted.to_pylist(), key=lambda r: r["ord"]):
             hit = next((g for g in left if not g["used"] and all(g[c] == p[c] for c in same) and all(surface_matches(g[c], p[c]) for c in near)), None)
             counts.setdefault(p[kind], [0, 0, 0])[0 if hit else 1] += 1
             if hit:

@@ -13,6 +13,8 @@ from .entities import _columns, spans_of
 ENTITY_ITEM = "struct<type:string,surface:string,confidence:string>"
 RELATION_ITEM = "struct<type:string,src:string,src_type:string,dst:string,dst_type:string,confidence:string,evidence:string>"
 LABEL_ITEM = "struct<pair_index:string,relation_type:string,evidence:string>"
+#: Place of a relation among those of its chunk and run: its number in the model's list, or the pattern and its tokens.
+ORD = "array<int>"
 #: Extractors in the order in which a merged edge names them; others follow by name.
 EXTRACTOR_ORDER = ("rules", "llm")
 BATCH = 20
@@ -69,7 +71,7 @@ def parse_relations(responses: DataFrame, extractor: str = "llm") -> DataFrame:
     are ''. A list that is none yields no rows and leaves the entities alone."""
     found = _items(responses, "relations", RELATION_ITEM).where("type <> '' and evidence <> ''")
     ends = [F.coalesce(c, F.lit("")).alias(n) for c, n in (("src", "src_surface"), ("src_type", "src_type"), ("dst", "dst_surface"), ("dst_type", "dst_type"))]
-    return found.select("chunk_id", "run_idx", F.col("item").alias("ord"), F.col("type").alias("relation_type"), *ends, F.coalesce(F.col("confidence").cast("double"), F.lit(0.6)).alias("confidence"), F.col("evidence").alias("evidence_text"), F.lit(extractor).alias("extractor"))
+    return found.select("chunk_id", "run_idx", F.array(F.col("item").cast("int")).alias("ord"), F.col("type").alias("relation_type"), *ends, F.coalesce(F.col("confidence").cast("double"), F.lit(0.6)).alias("confidence"), F.col("evidence").alias("evidence_text"), F.lit(extractor).alias("extractor"))
 
 
 def parse_labels(responses: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -79,7 +81,7 @@ def parse_labels(responses: DataFrame, pairs: DataFrame) -> DataFrame:
     found = _items(responses, "labels", LABEL_ITEM).select("chunk_id", "run_idx", "batch_no", "item", index.alias("pair_index"), F.col("relation_type").alias("__label"), "evidence")
     found = found.where("__label <> 'no_relation' and evidence <> ''")
     chosen = found.join(pairs, ["chunk_id", "batch_no", "pair_index"]).where(F.array_contains("allowed", F.col("__label")))
-    return chosen.select("chunk_id", "run_idx", (F.col("batch_no") * BATCH + F.col("item")).alias("ord"), F.col("__label").alias("relation_type"), "src_surface", "src_type", "dst_surface", "dst_type", F.lit(1.0).alias("confidence"), F.col("evidence").alias("evidence_text"), F.lit("llm-classify").alias("extractor"))
+    return chosen.select("chunk_id", "run_idx", F.array(F.col("batch_no").cast("int"), F.col("item").cast("int")).alias("ord"), F.col("__label").alias("relation_type"), "src_surface", "src_type", "dst_surface", "dst_type", F.lit(1.0).alias("confidence"), F.col("evidence").alias("evidence_text"), F.lit("llm-classify").alias("extractor"))
 
 
 def apply_rewrites(chunks: DataFrame, rewrites: DataFrame) -> DataFrame:
@@ -93,25 +95,38 @@ def apply_rewrites(chunks: DataFrame, rewrites: DataFrame) -> DataFrame:
     return joined.withColumn("text", text).select(*chunks.columns)
 
 
-def prior_text(chunks: DataFrame, last: int | None = None) -> DataFrame:
-    """Chunks with ``context``, the original text before each in its folder, for the rewriting prompt.
+#: Chunks of earlier text that a rewriting prompt shows.
+PRIOR = 32
 
-    All of it grows with the square of a folder; ``last`` keeps to so many chunks before.
+
+def prior_text(chunks: DataFrame, last: int | None = PRIOR) -> DataFrame:
+    """Chunks with ``context``, the original text of the ``last`` chunks before each in its folder, for the rewriting
+    prompt.
+
+    None means all of it, which grows with the square of a folder and fits no model in the end.
     """
     start = Window.unboundedPreceding if last is None else -last
     before = Window.partitionBy("folder_id").orderBy("doc_id", "line_no").rowsBetween(start, -1)
     return chunks.withColumn("context", F.array_join(F.collect_list("text").over(before), "\n"))
 
 
+def place(relations_of_rules: Column) -> Column:
+    """Order of relations in a folder: those of rules, then those of the model run by run; by chunk, then by ``ord``."""
+    return F.struct(F.when(relations_of_rules, 0).otherwise(1).alias("layer"), F.col("run_idx").cast("int").alias("run"), F.col("doc_id").cast("long").alias("doc"), F.col("line_no").cast("int").alias("line"), F.col("ord").alias("item"))
+
+
 def validate(relations: DataFrame, chunks: DataFrame, pack: Pack) -> DataFrame:
-    """Relations whose ends the pack allows, with ``grounded``: whether the evidence stands in the chunk.
+    """Relations whose ends the pack allows, with their ``place`` and ``grounded``: whether the evidence stands in the
+    chunk (E10).
 
     Those of rules need no evidence. Illegal ones go uncounted; ``ungrounded_counts`` counts the others.
     """
     allowed = small(pack.allowed_table(relations.sparkSession), len(pack.relations) * len(pack.parents) ** 2)
     legal = relations.join(allowed, ["relation_type", "src_type", "dst_type"], "left_semi")
-    texts = chunks.select("chunk_id", "folder_id", F.col("text").alias("__text"))
-    return legal.join(texts, "chunk_id").withColumn("grounded", (F.col("extractor") == "rules") | grounded(F.col("evidence_text"), F.col("__text"))).drop("__text")
+    texts = chunks.select("chunk_id", "folder_id", "doc_id", "line_no", F.col("text").alias("__text"))
+    rules = F.col("extractor") == "rules"
+    found = legal.join(texts, "chunk_id").withColumns({"place": place(rules), "grounded": rules | grounded(F.col("evidence_text"), F.col("__text"))})
+    return found.drop("__text", "doc_id", "line_no")
 
 
 def ungrounded_counts(validated: DataFrame) -> DataFrame:
@@ -144,7 +159,7 @@ def build_edges(relations: DataFrame, entities: DataFrame) -> DataFrame:
         side = keys.select("chunk_id", F.col("entity_type").alias(f"{end}_type"), F.col("surface_form").alias(f"{end}_surface"), F.col("entity_uid").alias(f"{end}_entity_uid"))
         relations = relations.join(side, ["chunk_id", f"{end}_type", f"{end}_surface"])
     uid = edge_uid(F.col("folder_id"), F.col("relation_type"), F.col("src_entity_uid"), F.col("dst_entity_uid"))
-    return relations.select("folder_id", "ord", "chunk_id", uid.alias("edge_uid"), "relation_type", "src_entity_uid", "dst_entity_uid", "confidence", "evidence_text", "extractor")
+    return relations.select("folder_id", F.col("place").alias("ord"), "chunk_id", uid.alias("edge_uid"), "relation_type", "src_entity_uid", "dst_entity_uid", "confidence", "evidence_text", "extractor")
 
 
 def _label(extractors: Column) -> Column:
@@ -153,20 +168,21 @@ def _label(extractors: Column) -> Column:
     return F.array_join(F.concat(named, F.array_sort(F.array_except(extractors, known))), "+")
 
 
-def merge_edges(edges: DataFrame, order: list[str] = ("chunk_id", "ord")) -> DataFrame:
-    """One row per (folder, source, relation, target): the highest confidence, distinct evidence in order of
-    appearance, the names of all extractors (A05).
+def merge_edges(edges: DataFrame) -> DataFrame:
+    """One row per (folder, source, relation, target): the highest confidence, distinct evidence in order of ``ord``,
+    the names of all extractors; without any evidence that of the first row (A05).
 
     Repeats of an evidence are folded before rows of a triple come together.
     """
     triple = ["folder_id", "relation_type", "src_entity_uid", "dst_entity_uid"]
-    folded = edges.groupBy(*triple, "evidence_text", "extractor").agg(F.count("*").alias("__n"), F.min("edge_uid").alias("edge_uid"), F.min(F.struct(*order)).alias("__place"), F.max("confidence").alias("confidence"))
-    listed = F.array_sort(F.collect_list(F.when(F.coalesce("evidence_text", F.lit("")) != "", F.struct("__place", F.col("evidence_text").alias("e")))))
+    folded = edges.groupBy(*triple, "evidence_text", "extractor").agg(F.min("edge_uid").alias("edge_uid"), F.min("ord").alias("ord"), F.max("confidence").alias("confidence"))
+    listed = F.array_sort(F.collect_list(F.when(F.coalesce("evidence_text", F.lit("")) != "", F.struct("ord", F.col("evidence_text").alias("e")))))
     merged = folded.groupBy(*triple).agg(
-        F.sum("__n").alias("__n"), F.min("edge_uid").alias("edge_uid"), F.min("__place").alias("ord"), F.max("confidence").alias("confidence"),
-        F.array_join(F.array_distinct(F.transform(listed, lambda x: x["e"])), "; ").alias("__joined"), F.first("evidence_text").alias("__own"), _label(F.collect_set("extractor")).alias("extractor"),
+        F.min("edge_uid").alias("edge_uid"), F.min("ord").alias("__ord"), F.max("confidence").alias("confidence"),
+        F.array_distinct(F.transform(listed, lambda x: x["e"])).alias("__all"), F.min_by("evidence_text", "ord").alias("__own"), _label(F.collect_set("extractor")).alias("extractor"),
     )
-    return merged.withColumn("evidence_text", F.when(F.col("__n") == 1, F.col("__own")).otherwise(F.col("__joined"))).drop("__n", "__own", "__joined")
+    text = F.when(F.size("__all") > 0, F.array_join("__all", "; ")).otherwise(F.col("__own"))
+    return merged.withColumn("evidence_text", text).withColumnRenamed("__ord", "ord").drop("__own", "__all")
 
 
 def requests(chunks: DataFrame, k: int = 1) -> DataFrame:
@@ -201,7 +217,7 @@ def generate_prompts(chunks: DataFrame, pack: Pack, k: int = 1) -> DataFrame:
     return asked.select("folder_id", "chunk_id", "run_idx", system.alias("system"), _after(F.lit("TEXT:"), F.col("text")).alias("user"))
 
 
-def rewrite_prompts(chunks: DataFrame, last: int | None = None) -> DataFrame:
+def rewrite_prompts(chunks: DataFrame, last: int | None = PRIOR) -> DataFrame:
     """Requests for coreference resolution, with the text before each chunk."""
     context = F.when(F.col("context") != "", F.col("context")).otherwise(F.lit("(this is where the document begins)"))
     task = F.lit("Rewrite the current text: put the full name for every word that clearly stands for a named thing, leave out what stands for nothing clear, change nothing else, and answer with the text alone.")

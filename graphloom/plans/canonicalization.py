@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..ontology import load_pack
 from ..operators import canon, graph
+from ..sources.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -21,20 +22,22 @@ class Batch:
 
 def canonicalize(entities: DataFrame, mention_edges: DataFrame, index: DataFrame, edges: DataFrame, folders: list[str] | None, adjudications: DataFrame | None = None, policy: str = "fail", fuzzy: bool = True, floor: float = canon.FLOOR, ceiling: float = canon.CEILING) -> Batch:
     """All tables after the batch of folders (None: all). Only staged mentions of the folders are clustered; entities of earlier batches are
-    met again by their exact key. Doing a batch over changes nothing: nothing of it is staged any more."""
-    pack = load_pack(canon.batch_pack(entities, folders))
-    mentions = canon.cut_lineage(canon.with_forms(canon.staged(entities, folders).drop("normalized_form", "canonical_id")))
+    met again by their exact key. Doing a batch over changes nothing: nothing of it is staged any more.
+
+    Where nobody is asked (no adjudications, policy ``reject``), ambiguous pairs all come apart, and only pairs at the
+    ceiling are looked for.
+    """
+    mentions = materialize(canon.with_forms(canon.staged(entities, folders).drop("normalized_form", "canonical_id")), "mentions")
+    pack = load_pack(canon.batch_pack(mentions, None))
     if fuzzy:
-        pairs = canon.cut_lineage(canon.fuzzy_pairs(canon.distinct_forms(mentions), floor, ceiling))
-        clustered = canon.clusters(mentions, canon.adjudicated(pairs, mentions, adjudications, policy))
+        least = ceiling if adjudications is None and policy == "reject" else floor
+        pairs = materialize(canon.fuzzy_pairs(canon.distinct_forms(mentions), least, ceiling), "pairs")
+        clustered = materialize(canon.clusters(mentions, canon.adjudicated(pairs, mentions, adjudications, policy)), "clustered")
     else:
         clustered = canon.exact_clusters(mentions)
-    clustered = canon.cut_lineage(clustered)
-    resolved = canon.cut_lineage(canon.resolve_or_mint(canon.canonical_clusters(clustered, pack), index))
-    after = canon.promoted(entities, clustered, resolved)
-    rows = graph.contributing(mention_edges, after)
-    batch = resolved.select("canonical_id").distinct()
-    return Batch(after, canon.extended_index(index, resolved), graph.refresh_edges(edges, rows, batch), canon.batch_counts(resolved))
+    resolved = materialize(canon.resolve_or_mint(canon.canonical_clusters(clustered, pack), index), "resolved")
+    after = materialize(canon.promoted(entities, clustered, resolved), "entities")
+    return Batch(after, canon.extended_index(index, resolved), graph.refresh_edges(edges, mention_edges, after, clustered), canon.batch_counts(resolved))
 
 
 def empty_index(spark) -> DataFrame:

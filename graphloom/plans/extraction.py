@@ -13,6 +13,7 @@ from ..operators import entities as ent
 from ..operators import pairs as prs
 from ..operators import relations as rel
 from ..sources.chunks import folder_status, inline_chunk, require
+from ..sources.scratch import materialize
 from ..sources.sinks import folder_payloads
 
 
@@ -47,7 +48,7 @@ def extract(chunks: DataFrame, settings: Settings | None = None, annotations: di
     if settings.engine == "spacy":
         found = found.unionByName(ent.map_labels(given["ner"], chunks, pack))
     if settings.engine == "llm":
-        responses = rel.first_valid(given["responses"])
+        responses = materialize(rel.first_valid(given["responses"]), "responses")
         failed = responses.where("failed").join(chunks.select("chunk_id", "folder_id"), "chunk_id").select("folder_id").distinct()
         status = _failed(status, failed)
         chunks = chunks.join(failed, "folder_id", "left_anti")
@@ -55,18 +56,20 @@ def extract(chunks: DataFrame, settings: Settings | None = None, annotations: di
         found = found.join(failed, "folder_id", "left_anti").unionByName(rel.parse_entities(responses.where("mode = 'generate'"), chunks))
     if settings.coref_enabled:
         found = ent.without_pronouns(found)
+    # Texts are scanned once; everything further on starts from what was found in them.
+    found = materialize(found, "candidates")
     unmapped = ent.unmapped_counts(found, pack)
     kept = ent.closed_vocabulary(found, pack, settings.entity_types, settings.confidence_threshold)
     if given.get("verdicts") is not None:
         kept = ent.screened(kept, given["verdicts"])
-    mentions = ent.merge_layers(ent.occurrence_index(kept))
+    mentions = materialize(ent.merge_layers(kept), "mentions")
     entities = ent.entity_records(mentions, pack, settings.model_id)
 
-    relations = _relations(settings, pack, chunks, mentions, responses, given)
-    valid = rel.validate(relations, chunks, pack)
-    edges = rel.merge_edges(rel.build_edges(valid.where("grounded"), entities))
+    valid = materialize(rel.validate(_relations(settings, pack, chunks, mentions, responses, given), chunks, pack), "relations")
+    edges = materialize(rel.merge_edges(rel.build_edges(valid.where("grounded"), entities)), "edges")
     counters = [unmapped, rel.ungrounded_counts(valid)]
-    return Extraction(entities, edges, ent.folder_summary(entities, edges, counters, settings.top_n), status)
+    summary = ent.folder_summary(status, entities, edges, counters, settings.top_n, pack, settings.votes)
+    return Extraction(entities, edges, summary, status)
 
 
 def _relations(settings, pack, chunks, mentions, responses, given) -> DataFrame:
@@ -74,7 +77,6 @@ def _relations(settings, pack, chunks, mentions, responses, given) -> DataFrame:
     if settings.relations_enabled and responses is not None:
         mode = settings.relation_strategy
         if mode == "classify":
-            require(given, "sentences")
             pairs = rel.plan_batches(prs.candidate_pairs(mentions, given["sentences"], pack))
             found = rel.parse_labels(responses.where("mode = 'classify'"), pairs)
         else:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..config import Settings
@@ -14,7 +12,8 @@ from ..operators import entities as ent
 from ..operators import relations as rel
 from ..plans import canonicalization as plan
 from ..plans.extraction import extract
-from ..sources import sinks
+from ..sources import scratch, sinks
+from ..sources.scratch import materialize
 from . import inputs as inp
 from .inputs import chunks, pick, table
 
@@ -23,7 +22,11 @@ PART_TYPES = ("Product", "Organization", "Gadget")
 
 
 def mentions(spark, sf_dir):
-    """Names of suppliers (twice, once with a legal form), parts and customers as staged mentions of four folders."""
+    """Names of suppliers, parts and customers as staged mentions of four folders.
+
+    A supplier is named by its name, again with a legal form, and twice by a trade name: of even keys the second
+    spelling lacks a letter and is certainly the same, of odd ones it is another word and doubtful.
+    """
     s, p, c = (table(spark, sf_dir, t) for t in ("supplier", "part", "customer"))
 
     def rows(df, key, tag, base, kind, surface):
@@ -33,21 +36,23 @@ def mentions(spark, sf_dir):
             kind.alias("entity_type"), surface.alias("surface_form"), F.lit("staged").alias("stage"), F.lit(PACK).alias("ontology_pack"),
         )
 
+    trade = lambda name: F.concat(F.lit("K"), F.col("s_suppkey").cast("string"), name)
     first = rows(s, "s_suppkey", "s", 0, F.lit("Supplier"), F.col("s_name"))
     again = rows(s, "s_suppkey", "t", 10_000_000, F.when(F.col("s_suppkey") % 3 == 0, "Organization").otherwise("Supplier"), F.concat(F.upper("s_name"), F.lit(", Inc.")))
     parts = rows(p, "p_partkey", "p", 20_000_000, pick(PART_TYPES, F.col("p_partkey")), F.concat("p_name", F.lit(" Co")))
-    buyers = rows(c.where("c_custkey % 5 = 0"), "c_custkey", "c", 30_000_000, F.lit("Customer"), F.when(F.col("c_custkey") % 10 == 0, "The Group").otherwise(F.col("c_name")))
-    return first.unionByName(again).unionByName(parts).unionByName(buyers)
+    buyers = rows(c, "c_custkey", "c", 30_000_000, F.lit("Customer"), F.when(F.col("c_custkey") % 10 == 0, "The Group").otherwise(F.col("c_name")))
+    named = rows(s, "s_suppkey", "u", 40_000_000, F.lit("Organization"), trade(F.lit(" Northern Trading Partners")))
+    spelled = rows(s, "s_suppkey", "v", 50_000_000, F.lit("Supplier"), trade(F.when(F.col("s_suppkey") % 2 == 0, " Northern Tradin Partners").otherwise(" Southern Trading Partners")))
+    return first.unionByName(again).unionByName(parts).unionByName(buyers).unionByName(named).unionByName(spelled)
 
 
 def mention_edges(spark, sf_dir):
-    """Who supplies which part, by first lines of orders; some confidences and evidences are missing."""
-    lines = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
-    k = F.col("l_orderkey")
-    return lines.select(
-        F.concat(F.lit("f"), (k % 4).cast("string")).alias("folder_id"), k.alias("ord"), F.lit("supplies").alias("relation_type"),
+    """Who supplies which part, by lines of orders; some confidences and evidences are missing."""
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("f"), (k % 4).cast("string")).alias("folder_id"), (k * 8 + n).alias("ord"), F.lit("supplies").alias("relation_type"),
         F.sha2(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")), 256).alias("src_entity_uid"), F.sha2(F.concat(F.lit("p"), F.col("l_partkey").cast("string")), 256).alias("dst_entity_uid"),
-        F.when(k % 11 != 0, F.col("l_discount")).alias("confidence"), F.when(k % 7 == 0, "").otherwise(F.concat("l_returnflag", F.lit("-"), k.cast("string"))).alias("evidence_text"),
+        F.when(k % 11 != 0, F.col("l_discount")).alias("confidence"), F.when(k % 7 == 0, "").otherwise(F.concat_ws("-", "l_returnflag", k.cast("string"), n.cast("string"))).alias("evidence_text"),
     )
 
 
@@ -84,22 +89,19 @@ def fuzzy_pairs(spark, sf_dir):
 
 def fuzzy_clusters(spark, sf_dir):
     """Ambiguous pairs are decided by the length of the two forms: even is yes."""
-    own = canon.cut_lineage(canon.with_forms(_worded(spark, sf_dir)))
-    pairs = canon.cut_lineage(canon.fuzzy_pairs(canon.distinct_forms(own)))
-    firsts = own.groupBy("normalized_form").agg(F.min_by("entity_uid", "ord").alias("uid"), F.max_by("entity_uid", "ord").alias("last"))
-    asked = pairs.join(firsts.select(F.col("normalized_form").alias("form_a"), F.col("uid").alias("a_uid")), "form_a").join(firsts.select(F.col("normalized_form").alias("form_b"), F.col("last").alias("b_uid")), "form_b")
-    answers = asked.select("a_uid", "b_uid", F.when((F.char_length("form_a") + F.char_length("form_b")) % 2 == 0, " Yes.").otherwise("no").alias("answer"))
+    own = materialize(canon.with_forms(_worded(spark, sf_dir)), "mentions")
+    pairs = materialize(canon.fuzzy_pairs(canon.distinct_forms(own)), "pairs")
+    answers = canon.questions(pairs, own).select("a_uid", "b_uid", F.when((F.char_length("form_a") + F.char_length("form_b")) % 2 == 0, " Yes.").otherwise("no").alias("answer"))
     clustered = canon.clusters(own, canon.adjudicated(pairs, own, answers, "reject"))
-    return clustered.groupBy("cluster_id").agg(F.min_by("normalized_form", "ord").alias("normalized_form"), F.count("*").alias("n_mentions"), F.count_distinct("normalized_form").alias("n_forms"))
+    return clustered.groupBy("cluster_id").agg(F.min_by("normalized_form", "ord").alias("normalized_form"), F.count("*").alias("n_mentions"), F.count_distinct("normalized_form").alias("n_forms")).drop("cluster_id")
 
 
 def _batches(spark, sf_dir):
-    """Folders f0 and f1, then f2 and f3."""
+    """Folders f0 and f1, then f2 and f3; nobody is asked about doubtful pairs."""
     entities = mentions(spark, sf_dir)
     edges = mention_edges(spark, sf_dir)
-    first = plan.canonicalize(entities, edges, plan.empty_index(spark), plan.empty_edges(spark), ["f0", "f1"], fuzzy=False)
-    entities, index = canon.cut_lineage(first.entities), canon.cut_lineage(first.index)
-    second = plan.canonicalize(entities, edges, index, first.edges, ["f2", "f3"], fuzzy=False)
+    first = plan.canonicalize(entities, edges, plan.empty_index(spark), plan.empty_edges(spark), ["f0", "f1"], policy="reject")
+    second = plan.canonicalize(first.entities, edges, first.index, first.edges, ["f2", "f3"], policy="reject")
     return first, second
 
 
@@ -134,14 +136,14 @@ def incremental_edges(spark, sf_dir):
 
 
 def partition_replace(spark, sf_dir):
-    """Two writes of all folders, then one folder with half its rows: the others stay."""
+    """Two writes of all folders, one of a folder with half its rows, one of a folder without any: the others stay."""
     rows = mentions(spark, sf_dir).select("folder_id", "entity_uid", "surface_form")
-    # cut_lineage settles where shared tables go; the sink's own folder stands beside them.
-    canon.cut_lineage(spark.range(1))
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/replaced-{uuid.uuid4().hex}"
+    path = scratch.put(rows.limit(0), "replaced")
+    only = lambda folder: spark.createDataFrame([(folder,)], "folder_id string")
     sinks.replace_folders(rows, path)
     sinks.replace_folders(rows, path)
-    sinks.replace_folders(rows.where("folder_id = 'f1' and entity_uid < '8'"), path)
+    sinks.replace_folders(rows.where("folder_id = 'f1' and entity_uid < '8'"), path, only("f1"))
+    sinks.replace_folders(rows.where("folder_id = 'nothing'"), path, only("f2"))
     return spark.read.parquet(path).select("folder_id", "entity_uid", "surface_form")
 
 
@@ -183,7 +185,7 @@ def export_counts(spark, sf_dir):
 def graph_build(spark, sf_dir):
     """From documents to the nodes of the graph: extraction with patterns and responses, one batch of all folders."""
     found = extract(chunks(spark, sf_dir), Settings(engine="llm", pack=PACK), {"responses": inp.responses(spark, sf_dir)})
-    batch = plan.canonicalize(canon.cut_lineage(found.entities), found.edges, plan.empty_index(spark), plan.empty_edges(spark), None, fuzzy=False)
+    batch = plan.canonicalize(found.entities, found.edges, plan.empty_index(spark), plan.empty_edges(spark), None, policy="reject")
     nodes = graph.export_nodes(batch.entities, batch.index)
     return nodes.select("canonical_id", "entity_type", "normalized_form", F.array_join("folder_ids", ",").alias("folder_ids"), "mention_count")
 
@@ -247,34 +249,65 @@ raw AS (
   SELECT 'f' || (s_suppkey % 4) AS folder_id, s_suppkey::BIGINT AS ord, sha256('s' || s_suppkey) AS entity_uid, 'Supplier' AS entity_type, s_name AS surface_form FROM supplier
   UNION ALL SELECT 'f' || (s_suppkey % 4), s_suppkey + 10000000, sha256('t' || s_suppkey), CASE WHEN s_suppkey % 3 = 0 THEN 'Organization' ELSE 'Supplier' END, upper(s_name) || ', Inc.' FROM supplier
   UNION ALL SELECT 'f' || (p_partkey % 4), p_partkey + 20000000, sha256('p' || p_partkey), {inp.sql_list(PART_TYPES)}[(p_partkey % 3 + 1)::INT], p_name || ' Co' FROM part
-  UNION ALL SELECT 'f' || (c_custkey % 4), c_custkey + 30000000, sha256('c' || c_custkey), 'Customer', CASE WHEN c_custkey % 10 = 0 THEN 'The Group' ELSE c_name END FROM customer WHERE c_custkey % 5 = 0),
+  UNION ALL SELECT 'f' || (c_custkey % 4), c_custkey + 30000000, sha256('c' || c_custkey), 'Customer', CASE WHEN c_custkey % 10 = 0 THEN 'The Group' ELSE c_name END FROM customer
+  UNION ALL SELECT 'f' || (s_suppkey % 4), s_suppkey + 40000000, sha256('u' || s_suppkey), 'Organization', 'K' || s_suppkey || ' Northern Trading Partners' FROM supplier
+  UNION ALL SELECT 'f' || (s_suppkey % 4), s_suppkey + 50000000, sha256('v' || s_suppkey), 'Supplier', 'K' || s_suppkey || CASE WHEN s_suppkey % 2 = 0 THEN ' Northern Tradin Partners' ELSE ' Southern Trading Partners' END FROM supplier),
 mentions AS (
   SELECT *, {_FORM} AS form FROM raw)"""
 _EDGES = """
 medges AS (
-  SELECT 'f' || (l_orderkey % 4) AS folder_id, l_orderkey AS ord, 'supplies' AS relation_type, sha256('s' || l_suppkey) AS src_uid, sha256('p' || l_partkey) AS dst_uid,
-         CASE WHEN l_orderkey % 11 <> 0 THEN l_discount END AS confidence, CASE WHEN l_orderkey % 7 = 0 THEN '' ELSE l_returnflag || '-' || l_orderkey END AS evidence
-  FROM lineitem WHERE l_linenumber = 1)"""
+  SELECT 'f' || (l_orderkey % 4) AS folder_id, l_orderkey * 8 + l_linenumber AS ord, 'supplies' AS relation_type, sha256('s' || l_suppkey) AS src_uid, sha256('p' || l_partkey) AS dst_uid,
+         CASE WHEN l_orderkey % 11 <> 0 THEN l_discount END AS confidence, CASE WHEN l_orderkey % 7 = 0 THEN '' ELSE l_returnflag || '-' || l_orderkey || '-' || l_linenumber END AS evidence
+  FROM lineitem)"""
+# The longest piece of x that stands in y, the first of several, as {k: length, i: place}.
+_LONGEST = "list_filter(flatten(list_transform(range(least(length(x), length(y)), 0, -1), lambda k: list_transform(range(1, length(x) - k + 2), lambda i: {k: k, i: i}))), lambda p: contains(y, substr(x, p.i, p.k)))[1]"
 
 
-def _types(name: str, where: str) -> str:
-    """Type, key and id of each form of a batch."""
+def _scored(name: str, mentions: str, floor: float) -> str:
+    """``{name}_scored``: pairs of forms of a block whose similarity is at least the floor, in the order of their mentions.
+
+    The similarity takes out the longest common piece, then does the same on both sides of it. Two strings of n
+    characters in all have 2 m of them matched, so at most n (1 - floor) unmatched, an even number where both are
+    of one length.
+    """
+    return f"""
+{name}_forms AS (SELECT form, split_part(form, ' ', 1) AS block, length(form) AS n, min(ord) AS low, max(ord) AS high FROM {mentions} WHERE form <> '' GROUP BY form),
+{name}_close AS (
+  SELECT a.block, a.form AS form_a, b.form AS form_b, a.n + b.n AS n FROM {name}_forms a JOIN {name}_forms b ON a.block = b.block AND a.form <> b.form AND a.low < b.high
+  WHERE (abs(a.n - b.n) <= (a.n + b.n) * (1 - {floor}) + 1e-9) AND ((a.n + b.n) * (1 - {floor}) >= 2 - 1e-9 OR a.n <> b.n)),
+{name}_parts(form_a, form_b, x, y, m) AS (
+  SELECT form_a, form_b, form_a, form_b, 0 FROM {name}_close
+  UNION ALL
+  SELECT form_a, form_b, unnest([substr(x, 1, best.i - 1), substr(x, best.i + best.k)]), unnest([substr(y, 1, j - 1), substr(y, j + best.k)]), unnest([best.k, 0])
+  FROM (SELECT *, instr(y, substr(x, best.i, best.k)) AS j FROM (SELECT *, {_LONGEST} AS best FROM {name}_parts WHERE x <> '' AND y <> '') WHERE best IS NOT NULL)),
+{name}_scored AS (SELECT any_value(block) AS block, form_a, form_b, 2 * sum(m) / any_value(n) AS score FROM {name}_parts JOIN {name}_close USING (form_a, form_b) GROUP BY form_a, form_b HAVING score >= {floor})"""
+
+
+def _fuzzy(name: str, mentions: str, floor: float, accepted: str = "true") -> str:
+    """``{name}_own``: mentions with the least form of their cluster."""
+    return _scored(name, mentions, floor) + f""",
+{name}_links AS (SELECT form_a AS x, form_b AS y FROM {name}_scored WHERE {accepted} UNION SELECT form_b, form_a FROM {name}_scored WHERE {accepted}),
+{name}_reach(form, other) AS (SELECT DISTINCT form, form FROM {mentions} UNION SELECT r.form, l.y FROM {name}_reach r JOIN {name}_links l ON r.other = l.x),
+{name}_own AS (SELECT m.*, c.cluster FROM {mentions} m JOIN (SELECT form, min(other) AS cluster FROM {name}_reach GROUP BY form) c USING (form))"""
+
+
+def _types(name: str, mentions: str) -> str:
+    """``{name}``: form, type and key of each cluster of the mentions, a table or query with cluster."""
     return f"""
-{name}_seen AS (SELECT form, entity_type, min(ord) AS first FROM mentions WHERE {where} GROUP BY ALL),
+{name}_seen AS (SELECT cluster, entity_type, min(ord) AS first FROM {mentions} GROUP BY ALL),
 {name} AS (
-  SELECT f.form, f.n_mentions, coalesce(b.entity_type, f.first_type) AS entity_type, coalesce(b.entity_type, f.first_type) || '|' || f.form AS canonical_key
-  FROM (SELECT s.form, arg_min(s.entity_type, s.first) AS first_type, any_value(n.n) AS n_mentions FROM {name}_seen s
-        JOIN (SELECT form, count(*) AS n FROM mentions WHERE {where} GROUP BY form) n ON n.form = s.form GROUP BY s.form) f
-  LEFT JOIN (SELECT s.form, arg_min(s.entity_type, t.decl_idx) AS entity_type FROM {name}_seen s JOIN types t ON t.type = s.entity_type
-             WHERE NOT EXISTS (SELECT 1 FROM {name}_seen o JOIN up u ON u.type = o.entity_type WHERE o.form = s.form AND u.ancestor = s.entity_type) GROUP BY s.form) b USING (form))"""
+  SELECT f.*, coalesce(b.best, f.first_type) AS entity_type, coalesce(b.best, f.first_type) || '|' || f.form AS canonical_key
+  FROM (SELECT cluster, arg_min(form, ord) AS form, arg_min(entity_type, ord) AS first_type, count(*) AS n_mentions FROM {mentions} GROUP BY cluster) f
+  LEFT JOIN (SELECT s.cluster, arg_min(s.entity_type, t.decl_idx) AS best FROM {name}_seen s JOIN types t ON t.type = s.entity_type
+             WHERE NOT EXISTS (SELECT 1 FROM {name}_seen o JOIN up u ON u.type = o.entity_type WHERE o.cluster = s.cluster AND u.ancestor = s.entity_type) GROUP BY s.cluster) b USING (cluster))"""
 
 
 _R = "WITH RECURSIVE "
 _ID = "substr(sha256({0}), 1, 8) || '-' || substr(sha256({0}), 9, 4) || '-' || substr(sha256({0}), 13, 4) || '-' || substr(sha256({0}), 17, 4) || '-' || substr(sha256({0}), 21, 12)"
-_BATCHES = _R + inp.pack_values() + "," + _MENTIONS + "," + _types("b1", "folder_id IN ('f0', 'f1')") + "," + _types("b2", "folder_id IN ('f2', 'f3')") + "," + _EDGES + f""",
+_BATCHES = _R + inp.pack_values() + "," + _MENTIONS + ", m1 AS (SELECT * FROM mentions WHERE folder_id IN ('f0', 'f1')), m2 AS (SELECT * FROM mentions WHERE folder_id IN ('f2', 'f3'))," + ",".join(_fuzzy(f"m{k}", f"m{k}", canon.CEILING) + "," + _types(f"b{k}", f"m{k}_own") for k in (1, 2)) + "," + _EDGES + f""",
 ents AS (
-  SELECT m.*, {_ID.format("canonical_key")} AS canonical_id, canonical_key, b.entity_type AS canonical_type
-  FROM (SELECT * FROM mentions) m JOIN (SELECT 1 AS batch, * FROM b1 UNION ALL SELECT 2, * FROM b2) b ON b.form = m.form AND (b.batch = 1) = (m.folder_id IN ('f0', 'f1'))),
+  SELECT m.* REPLACE (b.form AS form), {_ID.format("canonical_key")} AS canonical_id, canonical_key, b.entity_type AS canonical_type
+  FROM (SELECT 1 AS batch, * FROM m1_own UNION ALL SELECT 2, * FROM m2_own) m JOIN (SELECT 1 AS batch, * FROM b1 UNION ALL SELECT 2, * FROM b2) b ON b.cluster = m.cluster AND b.batch = m.batch),
 rows_ AS (
   SELECT e.*, s.canonical_id AS src_canonical_id, d.canonical_id AS dst_canonical_id FROM medges e JOIN ents s ON s.entity_uid = e.src_uid JOIN ents d ON d.entity_uid = e.dst_uid),
 cedges AS (
@@ -285,6 +318,7 @@ nodes AS (SELECT canonical_id, any_value(canonical_type) AS entity_type, any_val
 n0 AS (SELECT DISTINCT canonical_id FROM ents WHERE folder_id = 'f0'),
 e0 AS (SELECT c.*, NOT (s.canonical_id IS NOT NULL AND d.canonical_id IS NOT NULL) AS dangling FROM cedges c LEFT JOIN n0 s ON s.canonical_id = src_canonical_id LEFT JOIN n0 d ON d.canonical_id = dst_canonical_id WHERE s.canonical_id IS NOT NULL OR d.canonical_id IS NOT NULL)
 """
+_WORDED = inp.CHUNKS + "," + inp.scan("two", inp.TWO_WORDS) + f", worded_forms AS (SELECT *, {_FORM} AS form, (doc_id, line_no, match_idx) AS ord FROM two)"
 _EDGE_COLUMNS = "src_canonical_id, relation_type, dst_canonical_id, support_count, confidence, evidence_text"
 _PRF = """
 SELECT round(p, 4) AS precision, round(r, 4) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 4) AS f1, tp, fp, fn
@@ -294,13 +328,15 @@ ORACLE_SQL = {
     "normalize_surface": "WITH" + _MENTIONS + " SELECT entity_uid, form AS normalized_form FROM mentions",
     "block_keys": "WITH" + _MENTIONS + " SELECT 'tok:' || split_part(form, ' ', 1) AS block, count(*) AS n_mentions, count(DISTINCT form) AS n_forms FROM mentions GROUP BY 1",
     "exact_clusters": "WITH" + _MENTIONS + " SELECT form AS normalized_form, count(*) AS n_mentions, min(ord) AS first_ord FROM mentions GROUP BY form",
-    "reconcile_type": _R + inp.pack_values() + "," + _MENTIONS + "," + _types("b", "true") + " SELECT form AS normalized_form, entity_type, canonical_key, n_mentions FROM b",
+    "reconcile_type": _R + inp.pack_values() + "," + _MENTIONS + ", own AS (SELECT *, form AS cluster FROM mentions)," + _types("b", "own") + " SELECT form AS normalized_form, entity_type, canonical_key, n_mentions FROM b",
+    "fuzzy_pairs": _R + _WORDED + "," + _scored("w", "worded_forms", canon.FLOOR) + f" SELECT 'tok:' || block AS block, form_a, form_b, score, CASE WHEN score >= {canon.CEILING} THEN 'accept' ELSE 'ambiguous' END AS verdict FROM w_scored",
+    "fuzzy_clusters": _R + _WORDED + "," + _fuzzy("w", "worded_forms", canon.FLOOR, f"score >= {canon.CEILING} OR (length(form_a) + length(form_b)) % 2 = 0") + " SELECT arg_min(form, ord) AS normalized_form, count(*) AS n_mentions, count(DISTINCT form) AS n_forms FROM w_own GROUP BY cluster",
     "resolve_or_mint": _BATCHES + f"SELECT canonical_key, {_ID.format('canonical_key')} AS canonical_id, entity_type, form AS normalized_form, 1 AS batch FROM b1 UNION ALL SELECT canonical_key, {_ID.format('canonical_key')}, entity_type, form, 2 FROM b2 WHERE canonical_key NOT IN (SELECT canonical_key FROM b1)",
     "canonicalize_batch": _BATCHES + "SELECT entity_uid, canonical_id, form AS normalized_form, 'canonicalized' AS stage FROM ents",
     "batch_counts": _BATCHES + "SELECT (SELECT count(*) FROM b1) AS minted_count, 0 AS merged_count, 1 AS batch UNION ALL SELECT count(*) FILTER (canonical_key NOT IN (SELECT canonical_key FROM b1)), count(*) FILTER (canonical_key IN (SELECT canonical_key FROM b1)), 2 FROM b2",
     "canonical_edges": _BATCHES + f"SELECT {_EDGE_COLUMNS} FROM cedges",
     "incremental_edges": _BATCHES + f"SELECT {_EDGE_COLUMNS} FROM cedges",
-    "partition_replace": "WITH" + _MENTIONS + " SELECT folder_id, entity_uid, surface_form FROM mentions WHERE folder_id <> 'f1' OR entity_uid < '8'",
+    "partition_replace": "WITH" + _MENTIONS + " SELECT folder_id, entity_uid, surface_form FROM mentions WHERE folder_id <> 'f2' AND (folder_id <> 'f1' OR entity_uid < '8')",
     "upsert_rows": "WITH" + _MENTIONS + " SELECT entity_uid, CASE WHEN ord % 3 = 0 THEN upper(surface_form) ELSE surface_form END AS surface_form, CASE WHEN ord % 3 = 0 THEN ord + 2 ELSE ord END AS ord FROM mentions",
     "resolved_edges": "WITH" + _MENTIONS + "," + _EDGES + ", w AS (SELECT entity_uid FROM mentions WHERE folder_id IN ('f0', 'f1')) SELECT folder_id, count(*) AS n_edges FROM medges WHERE src_uid IN (FROM w) AND dst_uid IN (FROM w) GROUP BY folder_id",
     "export_nodes": _BATCHES + "SELECT * FROM nodes",
@@ -332,9 +368,7 @@ llm AS (
 candidates AS (
   SELECT folder_id, chunk_id, 0 AS o1, pattern_idx AS o2, doc_id AS o3, line_no AS o4, match_idx AS o5, surface_form, entity_type, 'regex' AS layer, span_start, span_start + length(surface_form) AS span_end FROM regex
   UNION ALL SELECT folder_id, chunk_id, 1, 0, doc_id, line_no, item, surface_form, entity_type, 'llm', span_start, span_start + length(surface_form) FROM llm)""" + inp.greedy("candidates") + f""",
-formed AS (SELECT *, {_FORM} AS form FROM mentions),
-typed AS (SELECT form, arg_min(entity_type, decl_idx) AS canonical_type FROM (SELECT DISTINCT form, entity_type FROM formed) f JOIN types t ON t.type = f.entity_type
-          WHERE NOT EXISTS (SELECT 1 FROM formed o JOIN up u ON u.type = o.entity_type WHERE o.form = f.form AND u.ancestor = f.entity_type) GROUP BY form)
-SELECT {_ID.format("(canonical_type || '|' || form)")} AS canonical_id, canonical_type AS entity_type, form AS normalized_form, string_agg(DISTINCT folder_id, ',' ORDER BY folder_id) AS folder_ids, count(*) AS mention_count
-FROM formed JOIN typed USING (form) GROUP BY form, canonical_type"""
+formed AS (SELECT *, {_FORM} AS form, row_number() OVER (ORDER BY o1, o2, o3, o4, o5) AS ord FROM mentions),""" + _fuzzy("g", "formed", canon.CEILING) + "," + _types("b", "g_own") + f"""
+SELECT {_ID.format("canonical_key")} AS canonical_id, b.entity_type, b.form AS normalized_form, string_agg(DISTINCT folder_id, ',' ORDER BY folder_id) AS folder_ids, count(*) AS mention_count
+FROM g_own JOIN b USING (cluster) GROUP BY b.form, b.entity_type, canonical_key"""
 ORACLE_SQL["graph_build"] = _R + _WHOLE

@@ -11,6 +11,7 @@ from ..operators import pairs as prs
 from ..operators import relations as rel
 from ..plans.extraction import preview_entities, preview_relations
 from ..sources.chunks import folder_status
+from ..sources.scratch import materialize
 from ..sources.sinks import folder_payloads
 from . import inputs as inp
 from .inputs import chunks, table
@@ -87,37 +88,62 @@ def top_entities(spark, sf_dir):
     return ent.top_entities(inp.entities(spark, sf_dir), 10)
 
 
+def _answers(spark, sf_dir):
+    return rel.first_valid(inp.responses(spark, sf_dir))
+
+
 def _relations(spark, sf_dir):
-    return rel.parse_relations(rel.first_valid(inp.responses(spark, sf_dir)))
+    return rel.parse_relations(_answers(spark, sf_dir))
+
+
+def _plain(df):
+    """``ord`` of a model's relations as a number."""
+    return df.withColumn("ord", F.col("ord")[0])
+
+
+def _parsed(spark, sf_dir):
+    """(mentions that the model listed itself, voted relations of all runs, validated); answers are read once."""
+    lines, pack = chunks(spark, sf_dir), load_pack(PACK)
+    answers = materialize(_answers(spark, sf_dir), "answers")
+    entities = ent.entity_records(ent.merge_layers(rel.parse_entities(answers, lines)), pack, "made-up")
+    return entities, rel.validate(rel.vote(rel.parse_relations(answers), inp.RUNS), lines, pack)
 
 
 def _edge_rows(spark, sf_dir):
-    """Grounded relations of the first run between mentions that the model listed itself."""
-    lines = chunks(spark, sf_dir)
-    valid = rel.validate(_relations(spark, sf_dir).where("run_idx = 1"), lines, load_pack(PACK)).where("grounded")
-    return rel.build_edges(valid, _llm_entities(spark, sf_dir))
+    """Grounded relations that two of three runs agree on, between mentions that the model listed itself."""
+    entities, valid = _parsed(spark, sf_dir)
+    return rel.build_edges(valid.where("grounded"), entities)
 
 
 def _llm_entities(spark, sf_dir):
-    found = rel.parse_entities(rel.first_valid(inp.responses(spark, sf_dir)), chunks(spark, sf_dir))
-    return ent.entity_records(ent.merge_layers(ent.occurrence_index(found)), load_pack(PACK), "made-up")
+    return ent.entity_records(ent.merge_layers(rel.parse_entities(_answers(spark, sf_dir), chunks(spark, sf_dir))), load_pack(PACK), "made-up")
 
 
-def folder_summary(spark, sf_dir):
-    entities = _llm_entities(spark, sf_dir)
-    lines = chunks(spark, sf_dir)
-    valid = rel.validate(_relations(spark, sf_dir).where("run_idx = 1"), lines, load_pack(PACK))
+def _folders(spark, sf_dir):
+    """States of all folders, of one in whose only chunk nothing is found, and of one without chunks."""
+    quiet = spark.createDataFrame([("quiet", "quiet#0", -1, 0, "nothing notable here")], "folder_id string, chunk_id string, doc_id long, line_no int, text string")
+    lines = chunks(spark, sf_dir).unionByName(quiet)
+    return folder_status(lines.select("folder_id").union(spark.createDataFrame([("nothing here",)], "folder_id string")), lines)
+
+
+def _summary(spark, sf_dir, status):
+    entities, valid = _parsed(spark, sf_dir)
+    entities, valid = materialize(entities, "entities"), materialize(valid, "relations")
     edges = rel.merge_edges(rel.build_edges(valid.where("grounded"), entities))
-    out = ent.folder_summary(entities, edges, [rel.ungrounded_counts(valid)], 5)
+    out = ent.folder_summary(status, entities, edges, [rel.ungrounded_counts(valid)], 5, load_pack(PACK), inp.RUNS)
     top = F.array_join(F.transform("top_entities", lambda x: F.concat_ws(":", x["entity_type"], x["surface_form"], x["mention_count"].cast("string"))), ";")
     return out.withColumn("top_entities", top)
 
 
+def folder_summary(spark, sf_dir):
+    """Every folder that did not fail, the empty one too."""
+    return _summary(spark, sf_dir, _folders(spark, sf_dir))
+
+
 def folder_state(spark, sf_dir):
-    """What callers are told: every folder and one that has no chunks."""
-    lines = chunks(spark, sf_dir)
-    folders = lines.select("folder_id").union(spark.createDataFrame([("nothing here",)], "folder_id string"))
-    return folder_payloads(folder_status(folders, lines), folder_summary(spark, sf_dir))
+    """What callers are told of every folder."""
+    status = _folders(spark, sf_dir)
+    return folder_payloads(status, _summary(spark, sf_dir, status))
 
 
 def llm_parse_entities(spark, sf_dir):
@@ -126,14 +152,14 @@ def llm_parse_entities(spark, sf_dir):
 
 
 def llm_parse_relations(spark, sf_dir):
-    return _relations(spark, sf_dir)
+    return _plain(_relations(spark, sf_dir))
 
 
 def entity_scoped_parse(spark, sf_dir):
     """Calls for chunks with two mentions or more, and what they answered."""
     scoped = rel.scoped_requests(_llm_entities(spark, sf_dir)).select("chunk_id", "n_entities")
-    found = rel.parse_relations(rel.first_valid(inp.responses(spark, sf_dir)).where("run_idx = 1"), "llm-entity-scoped")
-    return found.join(scoped, "chunk_id").select("chunk_id", "ord", "relation_type", "src_surface", "dst_surface", "confidence", "extractor", "n_entities")
+    found = _plain(rel.parse_relations(_answers(spark, sf_dir), "llm-entity-scoped"))
+    return found.join(scoped, "chunk_id").select("chunk_id", "run_idx", "ord", "relation_type", "src_surface", "dst_surface", "confidence", "extractor", "n_entities")
 
 
 def _sentences(lines):
@@ -145,7 +171,7 @@ def _sentences(lines):
 
 def _pairs(spark, sf_dir):
     lines = chunks(spark, sf_dir)
-    found = ent.map_labels(inp.annotations(lines), lines, load_pack(PACK)).where("ord.match < 8")
+    found = ent.map_labels(inp.annotations(lines), lines, load_pack(PACK))
     return prs.candidate_pairs(found, _sentences(lines), load_pack(PACK))
 
 
@@ -161,7 +187,7 @@ def classify_parse(spark, sf_dir):
     item = F.concat(F.lit('{"pair_index":'), F.col("pair_index").cast("string"), F.lit(',"relation_type":"'), label, F.lit('","evidence":"'), F.col("src_surface"), F.lit('"}'))
     bodies = pairs.groupBy("chunk_id", "batch_no").agg(F.concat(F.lit('{"labels":['), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pair_index", item.alias("x")))), lambda s: s["x"]), ","), F.lit("]}")).alias("body"))
     answers = bodies.select("chunk_id", F.lit("classify").alias("mode"), F.lit(1).alias("run_idx"), "batch_no", "body")
-    return rel.parse_labels(answers, pairs).drop("run_idx")
+    return rel.parse_labels(answers, pairs).drop("run_idx").withColumn("ord", F.col("ord")[0] * rel.BATCH + F.col("ord")[1])
 
 
 def coref_apply(spark, sf_dir):
@@ -171,8 +197,8 @@ def coref_apply(spark, sf_dir):
 
 
 def evidence_grounding(spark, sf_dir):
-    valid = rel.validate(_relations(spark, sf_dir).where("run_idx = 1"), chunks(spark, sf_dir), load_pack(PACK))
-    return valid.select("chunk_id", "ord", "relation_type", "evidence_text", "grounded")
+    valid = _plain(rel.validate(_relations(spark, sf_dir), chunks(spark, sf_dir), load_pack(PACK)))
+    return valid.select("chunk_id", "run_idx", "ord", "relation_type", "evidence_text", "grounded")
 
 
 def relation_validate(spark, sf_dir):
@@ -181,25 +207,25 @@ def relation_validate(spark, sf_dir):
 
 
 def edge_build(spark, sf_dir):
-    return _edge_rows(spark, sf_dir).select("folder_id", "chunk_id", "ord", "edge_uid", "relation_type", "src_entity_uid", "dst_entity_uid", "confidence", "evidence_text", "extractor")
+    return _edge_rows(spark, sf_dir).select("folder_id", "chunk_id", F.col("ord.run").alias("run_idx"), F.col("ord.item")[0].alias("ord"), "edge_uid", "relation_type", "src_entity_uid", "dst_entity_uid", "confidence", "evidence_text", "extractor")
 
 
 edge_uids = edge_build
 
 
 def edge_merge(spark, sf_dir):
-    """Edges of the model and of rules between surfaces of a folder, merged."""
+    """Edges of the model, of rules and of a second model between groups of mentions of a folder, merged."""
     rows = _edge_rows(spark, sf_dir)
-    keyed = rows.withColumn("src_entity_uid", F.substring("src_entity_uid", 1, 1)).withColumn("dst_entity_uid", F.substring("dst_entity_uid", 1, 1))
-    rules = keyed.where("ord = 0").withColumn("extractor", F.lit("rules")).withColumn("confidence", F.lit(1.0)).withColumn("evidence_text", F.col("relation_type"))
-    other = keyed.where("ord = 1").withColumn("extractor", F.lit("llm-classify"))
-    both = keyed.withColumn("part", F.lit(0)).unionByName(rules.withColumn("part", F.lit(1))).unionByName(other.withColumn("part", F.lit(2)))
-    merged = rel.merge_edges(both, ["chunk_id", "ord", "part"])
-    return merged.select("folder_id", "relation_type", "src_entity_uid", "dst_entity_uid", "confidence", F.sha2("evidence_text", 256).alias("evidence_digest"), "extractor", F.col("ord.chunk_id").alias("first_chunk"))
+    keyed = materialize(rows.withColumn("src_entity_uid", F.substring("src_entity_uid", 1, 1)).withColumn("dst_entity_uid", F.substring("dst_entity_uid", 1, 1)), "keyed")
+    item = F.col("ord.item")
+    rules = keyed.where(item[0] == 0).withColumn("extractor", F.lit("rules")).withColumn("confidence", F.lit(1.0)).withColumn("evidence_text", F.col("relation_type")).withColumn("ord", F.col("ord").withField("layer", F.lit(0)))
+    other = keyed.where(item[0] == 1).withColumn("extractor", F.lit("llm-classify")).withColumn("ord", F.col("ord").withField("item", F.array(item[0], F.lit(2))))
+    merged = rel.merge_edges(keyed.unionByName(rules).unionByName(other))
+    return merged.select("folder_id", "relation_type", "src_entity_uid", "dst_entity_uid", "confidence", F.sha2("evidence_text", 256).alias("evidence_digest"), "extractor", F.concat_ws("#", "ord.doc", "ord.line").alias("first_chunk"))
 
 
 def self_consistency_vote(spark, sf_dir):
-    return rel.vote(_relations(spark, sf_dir), inp.RUNS)
+    return _plain(rel.vote(_relations(spark, sf_dir), inp.RUNS))
 
 
 def _tokens(spark, sf_dir):
@@ -306,24 +332,28 @@ llm_kept AS (
         AND o.span_start < e.span_end AND e.span_start < o.span_end AND o.span_start < e.span_start))"""
 _VALID = "," + inp.pack_values() + rf""",
 legal AS (
-  SELECT r.*, c.text, contains(trim(regexp_replace(c.text, '{_SPACES}', ' ', 'g')), trim(regexp_replace(r.evidence_text, '{_SPACES}', ' ', 'g'))) AS grounded
-  FROM relations r JOIN allowed USING (relation_type, src_type, dst_type) JOIN chunks c USING (chunk_id))"""
+  SELECT r.*, c.doc_id, c.line_no, c.text, contains(trim(regexp_replace(c.text, '{_SPACES}', ' ', 'g')), trim(regexp_replace(r.evidence_text, '{_SPACES}', ' ', 'g'))) AS grounded
+  FROM relations r JOIN allowed USING (relation_type, src_type, dst_type) JOIN chunks c USING (chunk_id)),
+voted AS (
+  SELECT chunk_id, folder_id, doc_id, line_no, relation_type, src_surface, src_type, dst_surface, dst_type, min((run_idx, ord))[1] AS run_idx, min((run_idx, ord))[2] AS ord,
+         count(DISTINCT run_idx) / 3::DOUBLE AS confidence, arg_min(evidence_text, (run_idx, ord)) AS evidence_text, arg_min(grounded, (run_idx, ord)) AS grounded, 'llm' AS extractor
+  FROM legal GROUP BY chunk_id, folder_id, doc_id, line_no, relation_type, src_surface, src_type, dst_surface, dst_type HAVING count(DISTINCT run_idx) >= 2)"""
 _EDGES = _LLM_ENTITIES + _VALID + """,
 firsts AS (SELECT chunk_id, entity_type, surface_form, arg_min(entity_uid, item) AS entity_uid FROM llm_kept GROUP BY ALL),
 edge_rows AS (
-  SELECT l.folder_id, l.chunk_id, l.ord, l.relation_type, s.entity_uid AS src_entity_uid, d.entity_uid AS dst_entity_uid, l.confidence, l.evidence_text, l.extractor,
+  SELECT l.folder_id, l.chunk_id, l.doc_id, l.line_no, l.run_idx, l.ord, l.relation_type, s.entity_uid AS src_entity_uid, d.entity_uid AS dst_entity_uid, l.confidence, l.evidence_text, l.extractor,
          sha256(l.folder_id || '|' || l.relation_type || '|' || s.entity_uid || '|' || d.entity_uid) AS edge_uid
-  FROM legal l JOIN firsts s ON s.chunk_id = l.chunk_id AND s.entity_type = l.src_type AND s.surface_form = l.src_surface
+  FROM voted l JOIN firsts s ON s.chunk_id = l.chunk_id AND s.entity_type = l.src_type AND s.surface_form = l.src_surface
                JOIN firsts d ON d.chunk_id = l.chunk_id AND d.entity_type = l.dst_type AND d.surface_form = l.dst_surface
-  WHERE l.run_idx = 1 AND l.grounded)"""
+  WHERE l.grounded)"""
 _R = "WITH RECURSIVE "
-_EDGE_SQL = _R + inp.RESPONSES + _EDGES + " SELECT folder_id, chunk_id, ord, edge_uid, relation_type, src_entity_uid, dst_entity_uid, confidence, evidence_text, extractor FROM edge_rows"
+_EDGE_SQL = _R + inp.RESPONSES + _EDGES + " SELECT folder_id, chunk_id, run_idx, ord, edge_uid, relation_type, src_entity_uid, dst_entity_uid, confidence, evidence_text, extractor FROM edge_rows"
 _PAIRS = r""",
 cut AS (SELECT chunk_id, string_split(replace(text, '.', '.' || chr(1)), chr(1)) AS parts FROM chunks),
 sents AS (
   SELECT chunk_id, i - 1 AS sent_idx, length(array_to_string(parts[1:i - 1], '')) AS s, length(array_to_string(parts[1:i], '')) AS e
   FROM (SELECT chunk_id, parts, unnest(generate_series(1, len(parts))) AS i FROM cut)),
-held AS (SELECT m.chunk_id, m.match_idx, m.surface_form, m.entity_type, s.sent_idx, s.s, s.e FROM mapped m JOIN sents s ON s.chunk_id = m.chunk_id AND s.s <= m.span_start AND m.span_start < s.e WHERE m.match_idx < 8),
+held AS (SELECT m.chunk_id, m.match_idx, m.surface_form, m.entity_type, s.sent_idx, s.s, s.e FROM mapped m JOIN sents s ON s.chunk_id = m.chunk_id AND s.s <= m.span_start AND m.span_start < s.e),
 choices AS (SELECT src_type, dst_type, array_to_string(list_sort(list(relation_type)), ',') AS allowed FROM allowed GROUP BY ALL),
 pairs AS (
   SELECT a.chunk_id, a.sent_idx, a.match_idx AS src, b.match_idx AS dst, a.surface_form AS src_surface, a.entity_type AS src_type, b.surface_form AS dst_surface, b.entity_type AS dst_type, allowed, a.s AS sentence_start, a.e AS sentence_end
@@ -355,27 +385,29 @@ ORACLE_SQL = {
     "folder_summary": _R + inp.RESPONSES + _EDGES + f"""
 , c AS (SELECT folder_id, entity_type, surface_form, count(*) AS mention_count, min((doc_id, line_no, item)) AS first FROM llm_kept GROUP BY ALL),
 t AS (SELECT *, {_TOP} AS rank FROM c QUALIFY rank <= 5)
-SELECT e.folder_id, e.entity_count, e.distinct_types, coalesce(x.edge_count, 0) AS edge_count, t.top_entities, coalesce(u.n, 0) AS ungrounded_relation_count
-FROM (SELECT folder_id, count(*) AS entity_count, count(DISTINCT entity_type) AS distinct_types FROM llm_kept GROUP BY folder_id) e
+SELECT f.folder_id, coalesce(e.entity_count, 0) AS entity_count, coalesce(e.distinct_types, 0) AS distinct_types, coalesce(x.edge_count, 0) AS edge_count, coalesce(t.top_entities, '') AS top_entities, coalesce(u.n, 0) AS ungrounded_relation_count,
+       '{PACK}' AS ontology_pack, '{load_pack(PACK).version}' AS ontology_version, 3 AS self_consistency_votes
+FROM (SELECT DISTINCT folder_id FROM chunks UNION ALL SELECT 'quiet') f
+LEFT JOIN (SELECT folder_id, count(*) AS entity_count, count(DISTINCT entity_type) AS distinct_types FROM llm_kept GROUP BY folder_id) e USING (folder_id)
 LEFT JOIN (SELECT folder_id, count(DISTINCT (relation_type, src_entity_uid, dst_entity_uid)) AS edge_count FROM edge_rows GROUP BY folder_id) x USING (folder_id)
 LEFT JOIN (SELECT folder_id, string_agg(entity_type || ':' || surface_form || ':' || mention_count, ';' ORDER BY rank) AS top_entities FROM t GROUP BY folder_id) t USING (folder_id)
-LEFT JOIN (SELECT folder_id, count(*) FILTER (NOT grounded) AS n FROM legal WHERE run_idx = 1 GROUP BY folder_id) u USING (folder_id)""",
+LEFT JOIN (SELECT folder_id, count(*) FILTER (NOT grounded) AS n FROM voted GROUP BY folder_id) u USING (folder_id)""",
     "llm_parse_entities": "WITH" + inp.RESPONSES + _LLM_ENTITIES + " SELECT chunk_id, item, entity_type, surface_form, confidence, span_start, span_end FROM llm_all",
     "llm_parse_relations": "WITH" + inp.RESPONSES + " SELECT chunk_id, run_idx, ord, relation_type, src_surface, src_type, dst_surface, dst_type, confidence, evidence_text, extractor FROM relations",
-    "entity_scoped_parse": "WITH" + inp.RESPONSES + _LLM_ENTITIES + ", n AS (SELECT chunk_id, count(*) AS n_entities FROM llm_kept GROUP BY chunk_id HAVING count(*) >= 2) SELECT chunk_id, ord, relation_type, src_surface, dst_surface, confidence, 'llm-entity-scoped' AS extractor, n_entities FROM relations JOIN n USING (chunk_id) WHERE run_idx = 1",
+    "entity_scoped_parse": "WITH" + inp.RESPONSES + _LLM_ENTITIES + ", n AS (SELECT chunk_id, count(*) AS n_entities FROM llm_kept GROUP BY chunk_id HAVING count(*) >= 2) SELECT chunk_id, run_idx, ord, relation_type, src_surface, dst_surface, confidence, 'llm-entity-scoped' AS extractor, n_entities FROM relations JOIN n USING (chunk_id)",
     "classify_parse": _PAIRS_WITH + " SELECT chunk_id, (n // 20) * 20 + n % 20 AS ord, split_part(allowed, ',', 1) AS relation_type, src_surface, src_type, dst_surface, dst_type, 1.0::DOUBLE AS confidence, src_surface AS evidence_text, 'llm-classify' AS extractor FROM batched WHERE (n % 20) % 2 = 0",
     "coref_apply": "WITH" + inp.CHUNKS + r" SELECT chunk_id, CASE WHEN line_no % 3 = 1 THEN regexp_replace('They: ' || text, '[\s\x1c-\x1f]+$', '') ELSE text END AS text FROM chunks",
-    "evidence_grounding": _R + inp.RESPONSES + _VALID + " SELECT chunk_id, ord, relation_type, evidence_text, grounded FROM legal WHERE run_idx = 1",
+    "evidence_grounding": _R + inp.RESPONSES + _VALID + " SELECT chunk_id, run_idx, ord, relation_type, evidence_text, grounded FROM legal",
     "relation_validate": _R + inp.RESPONSES + _VALID + " SELECT folder_id, count(*) FILTER (NOT grounded) AS ungrounded_relation_count, nullif(count(*) FILTER (grounded), 0) AS n_valid FROM (SELECT l.folder_id, l.grounded FROM legal l) GROUP BY folder_id",
     "edge_build": _EDGE_SQL,
     "edge_merge": _R + inp.RESPONSES + _EDGES + """
-, k AS (SELECT folder_id, relation_type, substr(src_entity_uid, 1, 1) AS src_entity_uid, substr(dst_entity_uid, 1, 1) AS dst_entity_uid, confidence, evidence_text, extractor, chunk_id, ord FROM edge_rows),
-u AS (SELECT *, 0 AS part FROM k UNION ALL SELECT * REPLACE ('rules' AS extractor, 1.0 AS confidence, relation_type AS evidence_text), 1 FROM k WHERE ord = 0 UNION ALL SELECT * REPLACE ('llm-classify' AS extractor), 2 FROM k WHERE ord = 1),
-ev AS (SELECT folder_id, relation_type, src_entity_uid, dst_entity_uid, evidence_text, min((chunk_id, ord, part)) AS first FROM u WHERE evidence_text <> '' GROUP BY ALL),
+, k AS (SELECT folder_id, relation_type, substr(src_entity_uid, 1, 1) AS src_entity_uid, substr(dst_entity_uid, 1, 1) AS dst_entity_uid, confidence, evidence_text, extractor, doc_id, line_no, run_idx, ord, 1 AS layer, 0 AS part FROM edge_rows),
+u AS (SELECT * FROM k UNION ALL SELECT * REPLACE ('rules' AS extractor, 1.0 AS confidence, relation_type AS evidence_text, 0 AS layer) FROM k WHERE ord = 0 UNION ALL SELECT * REPLACE ('llm-classify' AS extractor, 2 AS part) FROM k WHERE ord = 1),
+ev AS (SELECT folder_id, relation_type, src_entity_uid, dst_entity_uid, evidence_text, min((layer, run_idx, doc_id, line_no, ord, part)) AS first FROM u WHERE evidence_text <> '' GROUP BY ALL),
 j AS (SELECT folder_id, relation_type, src_entity_uid, dst_entity_uid, string_agg(evidence_text, '; ' ORDER BY first) AS joined FROM ev GROUP BY ALL)
 SELECT folder_id, relation_type, src_entity_uid, dst_entity_uid, max(confidence) AS confidence, sha256(any_value(joined)) AS evidence_digest,
        array_to_string(list_sort(list(DISTINCT extractor), 'ASC').list_filter(lambda x: x = 'rules') || list_sort(list(DISTINCT extractor)).list_filter(lambda x: x = 'llm') || list_sort(list(DISTINCT extractor)).list_filter(lambda x: x NOT IN ('rules', 'llm')), '+') AS extractor,
-       min((chunk_id, ord, part))[1] AS first_chunk
+       arg_min(doc_id || '#' || line_no, (layer, run_idx, doc_id, line_no, ord, part)) AS first_chunk
 FROM u JOIN j USING (folder_id, relation_type, src_entity_uid, dst_entity_uid) GROUP BY folder_id, relation_type, src_entity_uid, dst_entity_uid""",
     "self_consistency_vote": "WITH" + inp.RESPONSES + " SELECT chunk_id, min((run_idx, ord))[1] AS run_idx, min((run_idx, ord))[2] AS ord, relation_type, src_surface, src_type, dst_surface, dst_type, count(DISTINCT run_idx) / 3::DOUBLE AS confidence, arg_min(evidence_text, (run_idx, ord)) AS evidence_text, 'llm' AS extractor FROM relations GROUP BY chunk_id, relation_type, src_surface, src_type, dst_surface, dst_type HAVING count(DISTINCT run_idx) >= 2",
     "candidate_pairs": _PAIRS_WITH + " SELECT * FROM pairs",
@@ -394,4 +426,4 @@ SELECT chunk_id, n_entities, sha256('{rel.DATA_ONLY}' || chr(10) || chr(10) || '
 
 ORACLE_SQL["folder_state"] = f"""
 SELECT f.folder_id, CASE WHEN f.folder_id = 'nothing here' THEN 'failed' ELSE 'ok' END AS status, CASE WHEN f.folder_id = 'nothing here' THEN 'no chunks in folder nothing here' END AS error_message, s.* EXCLUDE (folder_id)
-FROM (SELECT DISTINCT source AS folder_id FROM documents UNION ALL SELECT 'nothing here') f LEFT JOIN ({ORACLE_SQL["folder_summary"]}) s USING (folder_id)"""
+FROM (SELECT DISTINCT source AS folder_id FROM documents UNION ALL SELECT unnest(['nothing here', 'quiet'])) f LEFT JOIN ({ORACLE_SQL["folder_summary"]}) s USING (folder_id)"""

@@ -60,7 +60,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged candidates of known types with confidence of at least 0.6."""
-    return ent.merge_layers(ent.occurrence_index(ent.closed_vocabulary(candidates(spark, sf_dir), load_pack(PACK), threshold=0.6)))
+    return ent.merge_layers(ent.closed_vocabulary(candidates(spark, sf_dir), load_pack(PACK), threshold=0.6))
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ ANNOTATIONS = {
     "tokens": "chunk_id string, i int, text string, lemma string, dep string, head int, sent_id int, sent_text string",
     "responses": "chunk_id string, mode string, run_idx int, attempt int, batch_no int, body string, error_code string",
     "rewrites": "chunk_id string, rewritten string",
-    "verdicts": "ord long, allowed boolean",
+    "sentences": "chunk_id string, sent_idx int, start int, end int",
+    "verdicts": "folder_id string, ord struct<layer:int,pattern:int,doc:long,line:int,match:int>, allowed boolean",
     "adjudications": "a_uid string, b_uid string, answer string",
 }
 

@@ -9,11 +9,23 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from .scratch import discard, put
+
 log = logging.getLogger(__name__)
 
 
-def replace_folders(df: DataFrame, path: str, partition: str = "folder_id") -> None:
-    """Write df; of what is there only the folders in df are replaced (S06). Running it again changes nothing."""
+def replace_folders(df: DataFrame, path: str, folders: DataFrame | None = None, partition: str = "folder_id") -> None:
+    """Write df; of what is there only the processed folders are replaced (S06). Running it again changes nothing.
+
+    ``folders`` (None: those in df) has one row per processed folder: one that is not in df had nothing to be written,
+    and what it held before goes. Only such folders come to the driver, one by one.
+    """
+    spark = df.sparkSession
+    if folders is not None:
+        empty = folders.select(partition).distinct().join(df.select(partition).distinct(), partition, "left_anti")
+        name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        for (folder,) in empty.toLocalIterator():
+            discard(spark, f"{path}/{name(partition, folder)}")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
@@ -31,10 +43,17 @@ def resolve_written(edges: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def write_statements(statements: DataFrame, writer: Callable[[Iterator[Row]], None]) -> int:
-    """Hand the statements to a writer, all nodes before any edge (S13); returns how many there were."""
+    """Hand the statements to a writer, all nodes before any edge (S13); returns how many there were.
+
+    They are made once, and stay written until all are handed over.
+    """
+    spark, path = statements.sparkSession, put(statements, "statements")
+    made = spark.read.schema(statements.schema).parquet(path)
     for kind in (0, 1):
-        statements.where(F.col("kind") == kind).foreachPartition(writer)
-    return statements.count()
+        made.where(F.col("kind") == kind).foreachPartition(writer)
+    count = made.count()
+    discard(spark, path)
+    return count
 
 
 def folder_payloads(status: DataFrame, summary: DataFrame, usage: DataFrame | None = None) -> DataFrame:

@@ -17,14 +17,15 @@ from ..sources.sinks import replace_folders
 def extract_stream(chunks: DataFrame, out: str, checkpoint: str, settings: Settings | None = None, **trigger) -> StreamingQuery:
     """Write entities and edges of each folder of a stream of chunks below ``out``.
 
-    A folder must come whole in one micro-batch, as it does if its chunks are one file.
+    A folder must come whole in one micro-batch, as it does if its chunks are one file. A folder in which nothing is
+    found any more loses what it had.
     """
 
     def each(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
-        done = extract(batch, settings)
-        replace_folders(done.entities, f"{out}/entities")
-        replace_folders(done.edges, f"{out}/edges")
+        done, folders = extract(batch, settings), batch.select("folder_id").distinct()
+        replace_folders(done.entities, f"{out}/entities", folders)
+        replace_folders(done.edges, f"{out}/edges", folders)
 
     return chunks.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

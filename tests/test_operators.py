@@ -297,7 +297,7 @@ def test_validation(spark):
 
 def test_edges_attach_to_first_mention(spark):
     entities = spark.createDataFrame([("f", 2, "u2", "Person", "Ann", "c"), ("f", 1, "u1", "Person", "Ann", "c"), ("f", 3, "u3", "Organization", "Acme", "c")], "folder_id string, ord int, entity_uid string, entity_type string, surface_form string, source_chunk_id string")
-    rows = relation_rows(spark, [(0, 1, "works_for", "Ann", "Person", "Acme", "Organization", "c", 1.0, "e", "llm"), (1, 1, "works_for", "Bob", "Person", "Acme", "Organization", "c", 1.0, "e", "llm")]).withColumn("folder_id", F.lit("f"))
+    rows = relation_rows(spark, [(0, 1, "works_for", "Ann", "Person", "Acme", "Organization", "c", 1.0, "e", "llm"), (1, 1, "works_for", "Bob", "Person", "Acme", "Organization", "c", 1.0, "e", "llm")]).withColumn("folder_id", F.lit("f")).withColumn("place", F.col("ord"))
     got = rel.build_edges(rows, entities).collect()
     assert [(r.src_entity_uid, r.dst_entity_uid) for r in got] == [("u1", "u3")]
 
@@ -309,6 +309,18 @@ def test_edge_merge(spark):
     assert (got["u"].confidence, got["u"].evidence_text, got["u"].extractor) == (1.0, "one; two", "rules+llm+llm-classify")
     assert (got["v"].confidence, got["v"].evidence_text, got["v"].extractor) == (0.5, None, "llm")
     assert (got["w"].confidence, got["w"].evidence_text, got["w"].extractor) == (0.6, "e", "rules")
+    silent = [("f", "c", 1, "u", "r", "a", "b", 0.1, None, "llm"), ("f", "c", 0, "u", "r", "a", "b", 0.2, "", "llm")]
+    assert rel.merge_edges(spark.createDataFrame(silent, schema)).first()["evidence_text"] == ""  # that of the first row
+
+
+def test_evidence_comes_in_order_of_documents(spark):
+    """Rules first, then the model; by document as a number, not as text."""
+    lines = spark.createDataFrame([("f", f"{k}#0", k, 0, f"Ann Acme evidence {k}") for k in range(12)], "folder_id string, chunk_id string, doc_id long, line_no int, text string")
+    found = [([0], 1, "works_for", "Ann", "Person", "Acme", "Organization", f"{k}#0", 0.5, f"evidence {k}", "llm") for k in (2, 10, 11)] + [([0, 1, 0], 1, "works_for", "Ann", "Person", "Acme", "Organization", "9#0", 1.0, "by a rule", "rules")]
+    schema = "ord array<int>, run_idx int, relation_type string, src_surface string, src_type string, dst_surface string, dst_type string, chunk_id string, confidence double, evidence_text string, extractor string"
+    valid = rel.validate(spark.createDataFrame(found, schema), lines, commerce()).where("grounded")
+    edges = valid.select("folder_id", F.col("place").alias("ord"), F.lit("e").alias("edge_uid"), "relation_type", F.lit("a").alias("src_entity_uid"), F.lit("b").alias("dst_entity_uid"), "confidence", "evidence_text", "extractor")
+    assert rel.merge_edges(edges).first()["evidence_text"] == "by a rule; evidence 2; evidence 10; evidence 11"
 
 
 def test_rewrites(spark):
@@ -316,6 +328,7 @@ def test_rewrites(spark):
     given = spark.createDataFrame([("c0", "   "), ("c1", "TWO")], "chunk_id string, rewritten string")
     assert {r.chunk_id: r.text for r in rel.apply_rewrites(lines, given).collect()} == {"c0": "one", "c1": "TWO", "c2": "three"}
     assert {r.chunk_id: r.context for r in rel.prior_text(lines).collect()} == {"c0": "", "c1": "one", "c2": "one\ntwo"}
+    assert {r.chunk_id: r.context for r in rel.prior_text(lines, 1).collect()} == {"c0": "", "c1": "one", "c2": "two"}
 
 
 def test_prompts(spark):
@@ -391,6 +404,23 @@ def test_extraction_end_to_end(spark):
     assert told["f"].entity_count == 3 and told["f"].usage[0].input_tokens == 10 and told["g"].entity_count is None and set(told) == {"f", "g", "h"}
     with pytest.raises(src.MissingAnnotations):
         extract(lines, Settings(engine="llm", pack="commerce"))
+    with pytest.raises(src.MissingAnnotations, match="sentences"):
+        extract(lines, Settings(engine="llm", pack="commerce", relation_strategy="classify"), {"responses": responses})
+
+
+def test_folders_without_finds_are_told(spark):
+    lines = spark.createDataFrame([("f", "c0", 0, 0, "mail a@b.co"), ("g", "c1", 1, 0, "nothing notable here")], "folder_id string, chunk_id string, doc_id long, line_no int, text string")
+    told = {r.folder_id: r for r in extract(lines, Settings(engine="rules", pack="commerce")).payloads().collect()}
+    assert (told["g"].status, told["g"].entity_count, told["g"].edge_count, told["g"].distinct_types, told["g"].top_entities) == ("ok", 0, 0, 0, [])
+    assert (told["f"].entity_count, told["f"].ontology_pack, told["f"].ontology_version, told["f"].self_consistency_votes) == (1, "commerce", commerce().version, 1)
+
+
+def test_documented_verdicts_screen(spark):
+    lines = chunk_rows(spark, ["mail a@b.co and 12345"])
+    found = ent.regex_entities(lines, commerce())
+    rows = [(r.folder_id, tuple(r.ord), r.entity_type != "Email") for r in found.collect()]
+    out = extract(lines, Settings(engine="rules", pack="commerce"), {"verdicts": spark.createDataFrame(rows, src.ANNOTATIONS["verdicts"])})
+    assert [r.surface_form for r in out.entities.collect()] == ["12345"]
 
 
 def test_preview(spark):
@@ -409,7 +439,7 @@ def mention_rows(spark, rows):
 
 def test_reconciled_types(spark):
     rows = [("Agent", 0, 0), ("Organization", 0, 1), ("Supplier", 0, 2), ("Place", 1, 3), ("Person", 1, 4), ("Zzz", 2, 5), ("Yyy", 2, 6), ("Zzz", 3, 7), ("Place", 3, 8)]
-    df = spark.createDataFrame(rows, "entity_type string, cluster_id long, ord long")
+    df = spark.createDataFrame(rows, "entity_type string, cluster_id long, ord long")  # any type will do for an id
     assert {r.cluster_id: r.entity_type for r in canon.reconciled_types(df, commerce()).collect()} == {0: "Supplier", 1: "Person", 2: "Zzz", 3: "Place"}
     assert {r.cluster_id: r.entity_type for r in canon.reconciled_types(df, None).collect()} == {0: "Agent", 1: "Place", 2: "Zzz", 3: "Zzz"}
 
@@ -464,6 +494,50 @@ def test_ambiguity_needs_answers(spark):
     with pytest.raises(canon.AdjudicationError):
         canon.adjudicated(pairs, found, none)
     assert canon.adjudicated(pairs, found, none, "reject").count() == 0
+    asked = canon.questions(pairs, found).select("a_uid", "b_uid").collect()
+    assert [tuple(r) for r in asked] == [("u0", "u1")]
+    given = spark.createDataFrame([("u0", "u1", " Yes")], "a_uid string, b_uid string, answer string")
+    assert [tuple(r) for r in canon.adjudicated(pairs, found, given).collect()] == [("acme north west", "acme north wast")]
+
+
+def test_forms_are_asked_once(spark):
+    """However many mentions two forms have, they are one question, and one answer settles it."""
+    found = canon.with_forms(mention_rows(spark, [("f", "Person", "acme north west")] * 5 + [("f", "Person", "acme north wast")] * 5))
+    pairs = canon.fuzzy_pairs(canon.distinct_forms(found))
+    assert [tuple(r) for r in canon.questions(pairs, found).select("a_uid", "b_uid").collect()] == [("u0", "u9")]
+    given = spark.createDataFrame([("u2", "u7", "y"), ("u7", "u2", "y"), ("u3", "gone", "y")], "a_uid string, b_uid string, answer string")
+    assert len({r.cluster_id for r in canon.clusters(found, canon.adjudicated(pairs, found, given)).collect()}) == 1
+
+
+def test_cluster_gives_its_form(spark):
+    """Every mention of a fuzzy cluster gets the form of the first, as it gets the id."""
+    entities = mention_rows(spark, [("f", "Organization", "Acme Northern Trading Partners"), ("f", "Supplier", "Acme Northern Tradin Partners")])
+    edges = spark.createDataFrame([], "folder_id string, ord long, edge_uid string, relation_type string, src_entity_uid string, dst_entity_uid string, confidence double, evidence_text string")
+    done = plan.canonicalize(entities, edges, plan.empty_index(spark), plan.empty_edges(spark), None)
+    assert {(r.normalized_form, r.stage) for r in done.entities.collect()} == {("acme northern trading partners", "canonicalized")}
+    assert [(r.entity_type, r.normalized_form) for r in done.index.collect()] == [("Supplier", "acme northern trading partners")]
+
+
+def test_history_is_narrowed_before_it_is_joined(spark):
+    """Edges and entities of history meet the batch in semi-joins first."""
+    entities = spark.createDataFrame([("u", "c")], "entity_uid string, canonical_id string")
+    edges = spark.createDataFrame([("f", 0, "r", "u", "u", 0.5, "e")], "folder_id string, ord long, relation_type string, src_entity_uid string, dst_entity_uid string, confidence double, evidence_text string")
+    triples = graph.affected_triples(edges, entities, spark.createDataFrame([("u",)], "entity_uid string"))
+    rows = graph.history(edges, entities, triples)
+    assert [r.src_canonical_id for r in rows.collect()] == ["c"]
+    # In the plan, the nearest join above every scan of entities is a semi-join.
+    plan_lines = rows._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    scans = [k for k, line in enumerate(plan_lines) if "LogicalRDD [entity_uid" in line]
+    assert scans
+    for k in scans:
+        above, at = [], depth(plan_lines[k])
+        for line in reversed(plan_lines[:k]):
+            if depth(line) < at:
+                at = depth(line)
+                above.append(line)
+        assert "LeftSemi" in next(line for line in above if "Join" in line)
+    assert graph.affected_triples(edges, entities, spark.createDataFrame([("v",)], "entity_uid string")).count() == 0
 
 
 def test_batches(spark):
@@ -511,6 +585,11 @@ def test_folder_replacement(spark, tmp_path):
         sinks.replace_folders(rows, str(tmp_path / "t"))
     sinks.replace_folders(rows.where("x = 1"), str(tmp_path / "t"))
     assert sorted(r.x for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 3]
+    odd = spark.createDataFrame([("a=b/c: d%", 4), (None, 5)], rows.schema)
+    sinks.replace_folders(odd, str(tmp_path / "t"))
+    folders = spark.createDataFrame([("f",), ("a=b/c: d%",), (None,), ("never there",)], "folder_id string")
+    sinks.replace_folders(rows.where("x = 2"), str(tmp_path / "t"), folders)
+    assert sorted(r.x for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [2, 3]
 
 
 def test_summary_and_statements(spark, tmp_path):
