@@ -1,16 +1,16 @@
-"""Shared pieces of the corpus operators: scratch tables, word rules, hashing helpers."""
+"""Shared pieces of the corpus operators: tables, word rules, hashing helpers."""
 
 from __future__ import annotations
 
 import contextlib
-import tempfile
-import uuid
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import cleanup, discard, materialize, put  # noqa: F401
+
 #: A word is a maximal run of anything but ASCII white space; ``bytes.split()`` splits on exactly these bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -20,44 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of this application, under the one the cluster names in spark.checkpoint.dir.
-
-    Only where the setting is absent (tests, a laptop) a temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = found.get() if found.isDefined() else None
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="graphloom-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/graphloom-{spark.sparkContext.applicationId}"
-
-
-#: A written table of known size gets a file for so many rows at least.
-FILE_ROWS = 500_000
-
-
-def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
-    """Write df to the shared scratch folder and read it back: lineage ends here, lost executors cost nothing.
-
-    ``rows``, a bound of the number of rows where one is known, spares small tables many small files.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def cleanup(spark: SparkSession) -> None:
-    """Delete this application's scratch tables, once no DataFrame that reads them is needed any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Total bytes of the text column; the number of partitions is derived from it."""
     return docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
@@ -113,11 +75,12 @@ def powers(base: int, n: int) -> np.ndarray:
         return out[:n]
 
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so invertible modulo 2**64
-_POW = {"up": powers(_BASE, 4096), "down": powers(pow(_BASE, -1, 2**64), 4096)}
+#: Odd, so invertible modulo 2**64.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_POW = {base: (powers(base, 4096), powers(pow(base, -1, 2**64), 4096)) for base in _BASES}
 
 
-def rolling(words: np.ndarray, width: int) -> np.ndarray:
+def rolling(words: np.ndarray, width: int, base: int = _BASES[0]) -> np.ndarray:
     """Rabin-Karp hash of each window of ``width`` consecutive word hashes (none if there are fewer words).
 
     Sum of word * base**position over prefixes; a difference of prefixes, moved back by the inverse power, is
@@ -126,10 +89,16 @@ def rolling(words: np.ndarray, width: int) -> np.ndarray:
     n = len(words)
     if n < width:
         return np.empty(0, dtype=np.uint64)
-    if len(_POW["up"]) < n:
+    if len(_POW[base][0]) < n:
         size = 1 << int(n - 1).bit_length()
-        _POW["up"], _POW["down"] = powers(_BASE, size), powers(pow(_BASE, -1, 2**64), size)
+        _POW[base] = powers(base, size), powers(pow(base, -1, 2**64), size)
+    up, down = _POW[base]
     with wrapping():
         sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(words * _POW["up"][:n], out=sums[1:])
-        return mix((sums[width:] - sums[: n - width + 1]) * _POW["down"][: n - width + 1])
+        np.cumsum(words * up[:n], out=sums[1:])
+        return mix((sums[width:] - sums[: n - width + 1]) * down[: n - width + 1])
+
+
+def second(words: np.ndarray, width: int) -> np.ndarray:
+    """32 more bits for each window, of other word hashes and another base."""
+    return (rolling(mix(words ^ np.uint64(_BASES[1])), width, _BASES[1]) >> np.uint64(32)).astype(np.uint32)

@@ -3,11 +3,14 @@
 Terms are word shingles, weighted by how often they come. For sample k a term of weight w draws r, c ~ Gamma(2, 1) and
 b ~ U(0, 1), fixed by term and k; t = floor(ln w / r + b) and ln a = ln c - r (t - b) - r. The term of least a is the
 sample; two documents have the same (term, t) with a probability equal to their generalised Jaccard similarity.
+
+The draws are made backwards. At weight 1, t is 0 and a = c exp(-r (1 - b)) is Exp(1). Given a, exp(r (1 - b)) - 1 is
+Exp(1) / a, and r b is Exp(1) on its own. So a is drawn first, and for a term that comes once nothing else is
+needed: the least a is the least of the uniform numbers behind it. Only repeated terms draw the rest.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 import numpy as np
@@ -21,33 +24,51 @@ from .common import WordHashes, mix, rolling, text_bytes, wrapping
 
 SHINGLE = 5
 SAMPLES = 64
-#: Terms draw from so many rows of random numbers, and ties of a row go by the whole hash; a worker keeps 4 * SAMPLES bytes for each.
-ROWS = 1 << 18
 #: Bytes of text in a range of documents, on average, and ranges at most.
 RANGE = 8 << 20
 RANGES = 100_000
-_BLOCK = 1 << 13
+#: Terms that are drawn for at once.
+_BLOCK = 1024
+_TURN, _SPREAD = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
+with wrapping():
+    _SEEDS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * _SPREAD)[:, None]
 
 
-def draws(rows: np.ndarray, samples: int = SAMPLES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(r, ln c, b) of each row and sample."""
+def singles(hashes: np.ndarray) -> np.ndarray:
+    """[SAMPLES, terms] 64 random bits of each sample and term, from the whole hash of the term."""
     with wrapping():
-        seed = (rows.astype(np.uint64)[:, None] * np.uint64(samples) + np.arange(samples, dtype=np.uint64)) * np.uint64(5)
-        u = [((mix(mix(seed + np.uint64(j + 1)) + np.uint64(0x1B873593)) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53 for j in range(5)]
-    return -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3])), u[4]
+        x = hashes[None, :] ^ _SEEDS
+        x *= _TURN
+        x ^= x >> np.uint64(32)
+        x *= _TURN
+        x ^= x >> np.uint64(29)
+        return x
+
+
+def _uniform(bits: np.ndarray) -> np.ndarray:
+    return ((bits >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
-def _values(rows: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
-    """ln a of each row and sample."""
-    r, ln_c, b = draws(rows, samples)
-    t = np.floor(np.log(weights)[:, None] / r + b)
-    return (ln_c - r * (t - b) - r).astype(np.float32)
+def _exponential(bits: np.ndarray) -> np.ndarray:
+    return -np.log1p(-_uniform(bits))
 
 
-@functools.cache
-def _once() -> np.ndarray:
-    """The values of terms that come once, by row."""
-    return np.concatenate([_values(np.arange(at, at + _BLOCK), np.ones(_BLOCK)) for at in range(0, ROWS, _BLOCK)])
+def draws(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(a at weight 1, r, ln c, b), each [SAMPLES, terms]."""
+    bits = singles(hashes)
+    with wrapping():
+        second, third = mix(bits + _SPREAD), mix(bits + _SPREAD * np.uint64(2))
+    a, rest = _exponential(bits), _exponential(third)
+    grown = 1 + _exponential(second) / a
+    r = np.log(grown) + rest
+    return a, r, np.log(a * grown), rest / r
+
+
+def weighted(hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ln a, t) of each sample and term."""
+    _, r, ln_c, b = draws(hashes)
+    t = np.floor(np.log(weights) / r + b)
+    return ln_c - r * (t - b) - r, t.astype(np.int64)
 
 
 def terms(text: bytes, known: WordHashes, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -61,36 +82,38 @@ def terms(text: bytes, known: WordHashes, width: int = SHINGLE) -> tuple[np.ndar
     return hashes[at], np.diff(np.append(at, len(hashes)))
 
 
-def _rows(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - ROWS.bit_length() + 1)).astype(np.int64)
+def shortened(hashes: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """16 bits of each sample (term, t)."""
+    with wrapping():
+        return (mix(hashes ^ mix(t.astype(np.uint64))) >> np.uint64(48)).astype(np.uint16)
 
 
 def signature(text: bytes, known: WordHashes) -> np.ndarray:
-    """SAMPLES values that identify the samples; none for a text without words.
-
-    Terms are in order of value, then row, then a hash of term and sample: those that share a row share its draws, but
-    one of them is the sample, each as likely as the other, and its whole hash goes into the signature.
-    """
+    """SAMPLES numbers that stand for the samples; none for a text without words."""
     hashes, weights = terms(text, known)
     if not len(hashes):
-        return np.empty(0, np.uint64)
-    rows, table, each = _rows(hashes), _once(), np.arange(SAMPLES)
-    least, won = np.full(SAMPLES, np.inf, dtype=np.float32), np.zeros(SAMPLES, np.int64)
-    for own, step in ((np.flatnonzero(weights == 1), _BLOCK), (np.flatnonzero(weights > 1), 1024)):
-        for at in range(0, len(own), step):
-            part = own[at : at + step]
-            values = table[rows[part]] if step == _BLOCK else _values(rows[part], weights[part])
-            best = values.argmin(axis=0)
-            found, index = values[best, each], part[best]
-            less = (found < least) | ((found == least) & (rows[index] < rows[won]))
-            least, won = np.where(less, found, least), np.where(less, index, won)
-    low, high = np.searchsorted(rows, rows[won]), np.searchsorted(rows, rows[won], side="right")
-    for k in np.flatnonzero(high - low > 1):
-        tied = np.arange(low[k], high[k])
-        tied = tied[_values(rows[tied], weights[tied])[:, k] == least[k]]
-        with wrapping():
-            won[k] = tied[mix(hashes[tied] + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15)).argmin()]
-    return mix(hashes[won] ^ mix(least.view(np.uint32).astype(np.uint64)))
+        return np.empty(0, np.uint16)
+    each = np.arange(SAMPLES)
+    least, won, steps = np.full(SAMPLES, np.inf), np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.int64)
+    once, more = hashes[weights == 1], np.flatnonzero(weights > 1)
+    if len(once):
+        bits = np.full(SAMPLES, 2**64 - 1, dtype=np.uint64)
+        for at in range(0, len(once), _BLOCK):
+            part = once[at : at + _BLOCK]
+            drawn = singles(part)
+            best = drawn.argmin(axis=1)
+            found = drawn[each, best]
+            less = found <= bits
+            bits, won = np.where(less, found, bits), np.where(less, part[best], won)
+        least = np.log(_exponential(bits))
+    for at in range(0, len(more), _BLOCK):
+        part = more[at : at + _BLOCK]
+        values, t = weighted(hashes[part], weights[part])
+        best = values.argmin(axis=1)
+        found = values[each, best]
+        less = found < least
+        least, won, steps = np.where(less, found, least), np.where(less, hashes[part[best]], won), np.where(less, t[each, best], steps)
+    return shortened(won, steps)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -100,10 +123,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def digest(sig: np.ndarray) -> str:
-    """16 bits of each sample as hex; zeros for a text without words."""
-    if not len(sig):
-        return "0" * (4 * SAMPLES)
-    return "".join(f"{x:04x}" for x in (mix(sig.astype(np.uint64)) >> np.uint64(48)).tolist())
+    """The signature as hex, 4 digits a sample; zeros for a text without words."""
+    return sig.astype(">u2").tobytes().hex() if len(sig) else "0" * (4 * SAMPLES)
 
 
 def edited(text: str, following: str) -> str:
