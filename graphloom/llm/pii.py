@@ -1,15 +1,17 @@
 """Personal data: patterns with checks, and a character tagger that also finds what patterns miss.
 
 The tagger is a bidirectional LSTM over characters whose scores go through a CRF with learned transitions. It is trained
-here, in numpy, from generated text with labelled spans. Texts are cut into overlapping windows; each window is decoded
-by Viterbi, and the spans of all windows of a text are reconciled: a span at the inner edge of a window gives way to the
-neighbour that sees it whole, and of overlapping spans the one nearest the middle of its window stays.
+here, in numpy, from generated text with labelled spans. Texts are cut into overlapping windows, each read by the LSTM;
+every character takes its scores from the window that holds it nearest its middle, and one Viterbi path runs over all
+joined windows, so spans of different windows are reconciled before there are any, and a span may cross as many as it
+likes. Windows without an anchor are only read where a span runs into them.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import random
 import re
 import string
 
@@ -60,7 +62,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     found = [(a, b, "email") for a, b in emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+            if all(len(x := part.lstrip("0")) <= 3 and int(x or 0) <= 255 for part in m[0].split(".")):
                 found.append((m.start(), m.end(), "ip"))
         for m in _CARD.finditer(text):
             number = _NOT_DIGIT.sub("", m[0])
@@ -79,15 +81,15 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 HIDDEN = 16
 WINDOW = 192
 STRIDE = 128
-#: No span is longer than the overlap, so each lies whole in some window.
-LONGEST = WINDOW - STRIDE
+#: In the overlap of two windows the first half belongs to the first.
+EDGE = (WINDOW - STRIDE) // 2
 #: Label 0 is outside; kind k begins with 1 + 2 k and goes on with 2 + 2 k.
 LABELS = 1 + 2 * len(KINDS)
-#: Every span holds one of these, so a window without any has none and need not be decoded.
-ANCHOR = re.compile(r"[0-9@]|[(\[{] ?(?:at|AT) ?[)\]}]")
+#: A rule beside the tagger: what it finds must hold one of these, and only windows near one are read.
+ANCHOR = re.compile(r"(?i)[0-9@]|[(\[{] ?at ?[)\]}]|\bdot\b")
 ASCII = 95
 CLASSES = ASCII + 4
-TRAIN = {"steps": 320, "batch": 48, "length": 96, "rate": 0.02, "seed": 11}
+TRAIN = {"steps": 400, "batch": 48, "length": 96, "rate": 0.02, "seed": 11}
 
 
 def classes(text: str) -> np.ndarray:
@@ -103,38 +105,38 @@ _SYLLABLES = "an er on th in re he ti ou st ha ing ed nd le de que ent es la en
 
 
 def _word(rng) -> str:
-    return "".join(rng.choice(_SYLLABLES, size=rng.integers(1, 5)))
+    return "".join(rng.choices(_SYLLABLES, k=rng.randrange(1, 5)))
 
 
 def _number(rng, n: int) -> str:
-    return "".join(map(str, rng.integers(0, 10, size=n)))
+    return "".join(rng.choices("0123456789", k=n))
 
 
 def _card(rng) -> str:
-    body = _number(rng, int(rng.choice([12, 13, 14, 15, 15, 15, 15])))
+    body = _number(rng, rng.choice([12, 13, 14, 15, 15, 15, 15]))
     whole = next(body + str(d) for d in range(10) if luhn(body + str(d)))
-    sep = str(rng.choice(["", "", " ", "-", ".", "/"]))
+    sep = rng.choice(["", "", " ", "-", ".", "/"])
     return sep.join(whole[i : i + 4] for i in range(0, len(whole), 4)) if sep else whole
 
 
 def _email(rng) -> str:
-    name = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), size=rng.integers(2, 9)))
-    local = [name, f"{name}.{rng.integers(1, 99)}", f"{name}_{_number(rng, 2)}", f"{name}+{name[:2]}"][rng.integers(4)]
-    host = ["example", "mail", "post", "host", f"mail{rng.integers(10)}.example"][rng.integers(5)]
-    top = str(rng.choice(["com", "org", "net", "de", "fr", "es", "io"]))
-    at, dot = [("@", "."), ("@", "."), ("@", "."), (" (at) ", "."), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" @ ", ".")][rng.integers(7)]
-    return f"{local}{at}{host}{dot}{top}"
+    name = "".join(rng.choices(string.ascii_lowercase, k=rng.randrange(2, 9)))
+    local = [name, f"{name}.{rng.randrange(1, 99)}", f"{name}_{_number(rng, 2)}", f"{name}+{name[:2]}"][rng.randrange(4)]
+    host = ["example", "mail", "post", "host", f"mail{rng.randrange(10)}.example"][rng.randrange(5)]
+    top = rng.choice(["com", "org", "net", "de", "fr", "es", "io"])
+    at, dot = [("@", "."), ("@", "."), ("@", "."), ("@", "."), (" (at) ", "."), ("(at)", "(dot)"), (" [At] ", " [dot] "), (" @ ", "."), (" at ", " dot ")][rng.randrange(9)]
+    return f"{local.replace('.', dot) if dot == ' dot ' else local}{at}{host.replace('.', dot)}{dot}{top}"
 
 
 def _phone(rng) -> str:
     a, b, c = _number(rng, 3), _number(rng, 3), _number(rng, 4)
-    forms = [f"+1 ({a}) {b}-{c}", f"+{rng.integers(1, 99)} {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{rng.integers(20, 60)} {a} {b}{c}", f"+{rng.integers(20, 60)}{a}{b}{c}", f"0{a[:2]} {b}{c[:3]} {c}"]
-    return forms[rng.integers(len(forms))]
+    forms = [f"+1 ({a}) {b}-{c}", f"+{rng.randrange(1, 99)} {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{rng.randrange(20, 60)} {a} {b}{c}", f"+{rng.randrange(20, 60)}{a}{b}{c}", f"0{a[:2]} {b}{c[:3]} {c}"]
+    return forms[rng.randrange(len(forms))]
 
 
 def _ip(rng) -> str:
-    parts = list(map(str, rng.integers(0, 256, size=4)))
-    return [".".join(parts), ".".join(parts), "[.]".join(parts), " . ".join(parts)][rng.integers(4)]
+    parts = [str(rng.randrange(256)) for _ in range(4)]
+    return [".".join(parts), ".".join(parts), "[.]".join(parts), " . ".join(parts)][rng.randrange(4)]
 
 
 _MAKE = {"email": _email, "ip": _ip, "card": _card, "phone": _phone}
@@ -142,24 +144,24 @@ _MAKE = {"email": _email, "ip": _ip, "card": _card, "phone": _phone}
 
 def _harmless(rng) -> str:
     """What looks alike and is none: years, dates, prices, versions, measures, digests, keys."""
-    hexes = "".join(rng.choice(list("0123456789abcdef"), size=rng.integers(16, 64)))
+    hexes = "".join(rng.choices("0123456789abcdef", k=rng.randrange(16, 64)))
     forms = [
-        str(rng.integers(1, 3000)), f"{rng.integers(1900, 2100)}-{rng.integers(1, 13):02}-{rng.integers(1, 29):02}", f"{rng.integers(1, 29)}.{rng.integers(1, 13)}.{rng.integers(1990, 2030)}",
-        f"{rng.integers(1, 99)}.{_number(rng, 2)}", f"v{rng.integers(10)}.{rng.integers(20)}.{rng.integers(20)}", f"{rng.integers(1, 999)},{_number(rng, 3)}", f'token = "{hexes}"', hexes,
-        f"{rng.integers(1, 100)}%", f"({rng.integers(1, 50)})", f"Version {rng.integers(1, 9)}.0", _number(rng, int(rng.integers(5, 8))), f"@{_word(rng)}", f"#{rng.integers(1, 9999)}", f"{rng.integers(24)}:{_number(rng, 2)}",
-        _number(rng, int(rng.integers(20, 40))), f"AKIA{hexes[:16].upper()}", f"[{rng.integers(1, 99)}]", f"{_word(rng)}{rng.integers(100)}",
+        str(rng.randrange(1, 3000)), f"{rng.randrange(1900, 2100)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}", f"{rng.randrange(1, 29)}.{rng.randrange(1, 13)}.{rng.randrange(1990, 2030)}",
+        f"{rng.randrange(1, 99)}.{_number(rng, 2)}", f"v{rng.randrange(10)}.{rng.randrange(20)}.{rng.randrange(20)}", f"{rng.randrange(1, 999)},{_number(rng, 3)}", f'token = "{hexes}"', hexes,
+        f"{rng.randrange(1, 100)}%", f"({rng.randrange(1, 50)})", f"Version {rng.randrange(1, 9)}.0", _number(rng, rng.randrange(5, 8)), f"@{_word(rng)}", f"#{rng.randrange(1, 9999)}", f"{rng.randrange(24)}:{_number(rng, 2)}",
+        _number(rng, rng.randrange(20, 40)), f"AKIA{hexes[:16].upper()}", f"[{rng.randrange(1, 99)}]", f"{_word(rng)}{rng.randrange(100)}",
     ]
-    return forms[rng.integers(len(forms))]
+    return forms[rng.randrange(len(forms))]
 
 
 def labelled(rng, length: int) -> tuple[str, list[tuple[int, int, str]]]:
     """Generated text of ``length`` characters with the spans of its personal data."""
     text, spans = "", []
-    style = rng.integers(4)
+    style = rng.randrange(4)
     while len(text) < length + 40:
         pick = rng.random()
         if pick < 0.13:
-            kind = KINDS[rng.integers(len(KINDS))]
+            kind = KINDS[rng.randrange(len(KINDS))]
             made = _MAKE[kind](rng)
             spans.append((len(text), len(text) + len(made), kind))
             text += made
@@ -167,9 +169,9 @@ def labelled(rng, length: int) -> tuple[str, list[tuple[int, int, str]]]:
             text += _harmless(rng)
         else:
             word = _word(rng)
-            text += [word, word.capitalize(), word, word.upper()][rng.integers(4) if style == 3 else (rng.random() < 0.1) * 1]
-        text += str(rng.choice([" ", " ", " ", " ", ", ", ". ", "\n", " | ", "### "]))
-    start = int(rng.integers(0, 40))
+            text += [word, word.capitalize(), word, word.upper()][rng.randrange(4) if style == 3 else (rng.random() < 0.1) * 1]
+        text += rng.choice([" ", " ", " ", " ", ", ", ". ", "\n", " | ", "### "])
+    start = rng.randrange(40)
     cut = text[start : start + length]
     return cut, [(a - start, b - start, k) for a, b, k in spans if a >= start and b <= start + length]
 
@@ -219,57 +221,66 @@ def scores(x: np.ndarray, p: dict, keep: bool = False) -> tuple[np.ndarray, np.n
     return joined @ p["out"] + p["bias"], joined, kept
 
 
-def _logsumexp(x, axis):
-    top = x.max(axis=axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
-
-
 def _crf(e: np.ndarray, y: np.ndarray, p: dict) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-    """Mean negative log-likelihood of labels y [T, B] and its gradients by scores, transitions and start."""
+    """Mean negative log-likelihood of labels y [T, B] and its gradients by scores, transitions and start.
+
+    Forward and backward sums are kept as probabilities, scaled at each step; the scales give the likelihood.
+    """
     t_n, b_n, n = e.shape
-    alpha, beta = np.empty_like(e), np.zeros_like(e)
-    alpha[0] = e[0] + p["start"]
-    for t in range(1, t_n):
-        alpha[t] = e[t] + _logsumexp(alpha[t - 1][:, :, None] + p["trans"], 1)
+    top = e.max(axis=2, keepdims=True)
+    score, trans = np.exp((e - top).astype(np.float64)), np.exp(p["trans"].astype(np.float64))
+    alpha, beta, scale = np.empty_like(score), np.ones_like(score), np.empty((t_n, b_n, 1))
+    for t in range(t_n):
+        a = score[t] * (alpha[t - 1] @ trans if t else np.exp(p["start"].astype(np.float64)))
+        scale[t] = a.sum(axis=1, keepdims=True)
+        alpha[t] = a / scale[t]
     for t in range(t_n - 2, -1, -1):
-        beta[t] = _logsumexp(p["trans"] + (e[t + 1] + beta[t + 1])[:, None, :], 2)
-    z = _logsumexp(alpha[-1], 1)
-    grad = np.exp(alpha + beta - z[:, None])
-    pairs = alpha[:-1, :, :, None] + p["trans"] + (e[1:] + beta[1:])[:, :, None, :] - z[:, None, None]
-    trans = np.exp(pairs).sum(axis=(0, 1))
-    np.add.at(trans, (y[:-1].ravel(), y[1:].ravel()), -1)
+        beta[t] = (score[t + 1] * beta[t + 1]) @ trans.T / scale[t + 1]
+    z = (np.log(scale) + top).sum(axis=(0, 2))
+    grad = alpha * beta
+    later = (score[1:] * beta[1:] / scale[1:]).reshape(-1, n)
+    pairs = trans * (alpha[:-1].reshape(-1, n).T @ later)
+    np.add.at(pairs, (y[:-1].ravel(), y[1:].ravel()), -1)
     t, b = np.indices(y.shape)
     gold = e[t, b, y].sum(0) + p["trans"][y[:-1], y[1:]].sum(0) + p["start"][y[0]]
     grad[t, b, y] -= 1
-    return float((z - gold).mean()), grad / b_n, trans / b_n, grad[0].sum(axis=0) / b_n
+    first = grad[0].sum(axis=0)
+    return float((z - gold).mean()), (grad / b_n).astype(np.float32), (pairs / b_n).astype(np.float32), (first / b_n).astype(np.float32)
 
 
 def _gradients(x, y, p) -> tuple[float, dict]:
     e, joined, kept = scores(x, p, keep=True)
     loss, ge, gt, gs = _crf(e, y.T, p)
-    grads = {"trans": gt, "start": gs, "bias": ge.sum(axis=(0, 1)), "out": np.einsum("tbh,tbl->hl", joined, ge)}
+    grads = {"trans": gt, "start": gs, "bias": ge.sum(axis=(0, 1)), "out": joined.reshape(-1, 2 * HIDDEN).T @ ge.reshape(-1, LABELS)}
     gj = ge @ p["out"].T
     gh_all = np.stack([gj[..., :HIDDEN], gj[::-1, :, HIDDEN:]])
     both = np.stack([x.T, x.T[::-1]])
-    grads["emb"], grads["rec"] = np.zeros_like(p["emb"]), np.zeros_like(p["rec"])
+    t_n, b_n = x.shape[1], x.shape[0]
+    gz, before = np.empty((2, t_n, b_n, 4 * HIDDEN), dtype=np.float32), np.empty((2, t_n, b_n, HIDDEN), dtype=np.float32)
     gh = gc = np.zeros_like(gh_all[:, 0])
-    for t in range(x.shape[1] - 1, -1, -1):
+    back = p["rec"].transpose(0, 2, 1)
+    for t in range(t_n - 1, -1, -1):
         h, old, i, f, o, g, s = kept[t]
         gh = gh + gh_all[:, t]
         gc = gc + gh * o * (1 - s * s)
-        gz = np.concatenate([gc * g * i * (1 - i), gc * old * f * (1 - f), gh * s * o * (1 - o), gc * i * (1 - g * g)], axis=2)
-        grads["rec"] += h.transpose(0, 2, 1) @ gz
-        for d in range(2):
-            np.add.at(grads["emb"][d], both[d, t], gz[d])
-        gh = gz @ p["rec"].transpose(0, 2, 1)
+        now = gz[:, t]
+        now[..., :HIDDEN] = gc * g * i * (1 - i)
+        now[..., HIDDEN : 2 * HIDDEN] = gc * old * f * (1 - f)
+        now[..., 2 * HIDDEN : 3 * HIDDEN] = gh * s * o * (1 - o)
+        now[..., 3 * HIDDEN :] = gc * i * (1 - g * g)
+        before[:, t] = h
+        gh = now @ back
         gc = gc * f
+    grads["rec"] = np.stack([before[d].reshape(-1, HIDDEN).T @ gz[d].reshape(-1, 4 * HIDDEN) for d in range(2)])
+    seen = np.arange(CLASSES)[:, None]
+    grads["emb"] = np.stack([(both[d].ravel() == seen).astype(np.float32) @ gz[d].reshape(-1, 4 * HIDDEN) for d in range(2)])
     return loss, grads
 
 
 @functools.cache
 def train(steps: int = TRAIN["steps"], batch: int = TRAIN["batch"], length: int = TRAIN["length"], rate: float = TRAIN["rate"], seed: int = TRAIN["seed"]) -> dict:
     """Parameters fitted by Adam to generated text; the same ones every time, whatever the corpus."""
-    rng = np.random.default_rng(seed)
+    rng, text = np.random.default_rng(seed), random.Random(seed)
     p = {
         "emb": rng.normal(0, 0.3, (2, CLASSES, 4 * HIDDEN)), "rec": rng.normal(0, 0.25, (2, HIDDEN, 4 * HIDDEN)), "out": rng.normal(0, 0.3, (2 * HIDDEN, LABELS)),
         "bias": np.zeros(LABELS), "trans": np.zeros((LABELS, LABELS)), "start": np.zeros(LABELS),
@@ -278,7 +289,7 @@ def train(steps: int = TRAIN["steps"], batch: int = TRAIN["batch"], length: int
     p = {k: v.astype(np.float32) for k, v in p.items()}
     first, second = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
     for step in range(1, steps + 1):
-        made = [labelled(rng, length) for _ in range(batch)]
+        made = [labelled(text, length) for _ in range(batch)]
         x, y = np.stack([classes(t) for t, _ in made]), np.stack([tags(s, length) for _, s in made])
         _, grads = _gradients(x, y, p)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
@@ -295,69 +306,124 @@ def train(steps: int = TRAIN["steps"], batch: int = TRAIN["batch"], length: int
     return p
 
 
-def viterbi(e: np.ndarray, p: dict) -> np.ndarray:
-    """Best labels [B, T] of scores [T, B, LABELS]."""
-    t_n, b_n, _ = e.shape
-    back = np.empty((t_n, b_n, LABELS), dtype=np.int8)
-    best = e[0] + p["start"]
-    for t in range(1, t_n):
-        ways = best[:, :, None] + p["trans"]
-        back[t] = ways.argmax(axis=1)
-        best = np.take_along_axis(ways, back[t][:, None, :].astype(np.int64), axis=1)[:, 0] + e[t]
-    out = np.empty((b_n, t_n), dtype=np.int64)
-    out[:, -1] = best.argmax(axis=1)
-    for t in range(t_n - 1, 0, -1):
-        out[:, t - 1] = back[t][np.arange(b_n), out[:, t]]
+def viterbi(scored: list[np.ndarray], p: dict) -> list[np.ndarray]:
+    """Best labels of each text piece, given its scores [T, LABELS]; pieces of any lengths go step by step together."""
+    order = sorted(range(len(scored)), key=lambda k: -len(scored[k]))
+    lengths = np.array([len(scored[k]) for k in order])
+    best = np.empty((0, LABELS), dtype=np.float32)
+    back, ends = [], [0] * len(order)
+    active = len(order)
+    for t in range(lengths[0] if len(order) else 0):
+        while active and lengths[active - 1] <= t:
+            active -= 1
+            ends[active] = int(best[active].argmax())
+        now = np.stack([scored[k][t] for k in order[:active]])
+        if t == 0:
+            best = now + p["start"]
+            continue
+        ways = best[:active, :, None] + p["trans"]
+        came = ways.argmax(axis=1)
+        back.append(came.astype(np.int8))
+        best = np.take_along_axis(ways, came[:, None, :], axis=1)[:, 0] + now
+    for k in range(active):
+        ends[k] = int(best[k].argmax())
+    out: list[np.ndarray] = [np.empty(0, np.int8)] * len(order)
+    label = np.array(ends, dtype=np.int64)
+    paths = [np.empty(n, dtype=np.int8) for n in lengths]
+    for t in range((lengths[0] if len(order) else 0) - 1, -1, -1):
+        here = int(np.searchsorted(-lengths, -t, side="left"))  # pieces longer than t
+        for k in range(here):
+            paths[k][t] = label[k]
+        if t:
+            label[:here] = back[t - 1][np.arange(here), label[:here]]
+    for k, n in enumerate(order):
+        out[n] = paths[k]
     return out
 
 
-def windows(text: str) -> list[int]:
-    """Starts of the windows that hold an anchor."""
+def anchored(text: str) -> list[int]:
+    """Numbers of the windows that hold an anchor; window k begins at k * STRIDE."""
     last = max(0, -(-(len(text) - WINDOW) // STRIDE))
     wanted = set()
     for m in ANCHOR.finditer(text):
         low, high = max(0, -(-(m.end() - WINDOW) // STRIDE)), m.start() // STRIDE
         wanted.update(range(low, min(high, last) + 1))
-    return [k * STRIDE for k in sorted(wanted)]
+    return sorted(wanted)
 
 
-#: What a span of each kind must hold to be believed.
-_NEED = {"email": lambda s: ("@" in s or "at" in s.lower()) and "." in s.replace("dot", ".").replace("DOT", "."), "ip": lambda s: 4 <= len(_NOT_DIGIT.sub("", s)) <= 12 and len(re.findall(r"[0-9]+", s)) == 4, "card": lambda s: 12 <= len(_NOT_DIGIT.sub("", s)) <= 19, "phone": lambda s: 7 <= len(_NOT_DIGIT.sub("", s)) <= 15}
+#: What a span of each kind must hold to be believed: the other rule beside the tagger.
+_NEED = {"email": lambda s: ("@" in s or "at" in s.lower()) and "." in s.lower().replace("dot", "."), "ip": lambda s: 4 <= len(_NOT_DIGIT.sub("", s)) <= 12 and len(re.findall(r"[0-9]+", s)) == 4, "card": lambda s: 12 <= len(_NOT_DIGIT.sub("", s)) <= 19, "phone": lambda s: 7 <= len(_NOT_DIGIT.sub("", s)) <= 15}
 
 
-def _runs(labels: np.ndarray) -> list[tuple[int, int, int, str]]:
-    """(window, start, end, kind) of each span of labels [B, T]."""
-    begin = np.argwhere(labels % 2 == 1)
+def spans_of(labels: np.ndarray) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of each span of a label sequence."""
     found = []
-    for w, a in begin.tolist():
-        inner, b = labels[w, a] + 1, a + 1
-        while b < labels.shape[1] and labels[w, b] == inner:
+    for a in np.flatnonzero(labels % 2 == 1).tolist():
+        inner, b = labels[a] + 1, a + 1
+        while b < len(labels) and labels[b] == inner:
             b += 1
-        found.append((w, a, b, KINDS[(inner - 2) // 2]))
+        found.append((a, b, KINDS[(int(inner) - 2) // 2]))
     return found
 
 
-def tag(texts: list[str], p: dict, held: int = 1024) -> list[list[tuple[int, int, str]]]:
-    """Spans of the tagger in each text, reconciled over its windows, at most ``held`` windows at a time."""
-    found: list[list] = [[] for _ in texts]
-    jobs = [(n, at) for n, x in enumerate(texts) for at in windows(x)]
-    for low in range(0, len(jobs), held):
-        part = jobs[low : low + held]
-        x = np.full((len(part), WINDOW), ASCII + 1, dtype=np.int64)  # white space after the end
-        for row, (n, at) in enumerate(part):
-            piece = classes(texts[n][at : at + WINDOW])
-            x[row, : len(piece)] = piece
-        for w, a, b, kind in _runs(viterbi(scores(x, p)[0], p)):
-            n, at = part[w]
-            size, start, end = len(texts[n]), at + a, min(at + b, len(texts[n]))
-            if (a == 0 and at > 0) or (b == WINDOW and at + WINDOW < size) or end - start > LONGEST:
-                continue  # a neighbour sees it whole
-            if end > start and ANCHOR.search(texts[n], start, end) and _NEED[kind](texts[n][start:end]):
-                found[n].append((abs(a + b - WINDOW) / 2, start, end, kind))
+class Reader:
+    """Scores of windows of some texts, each window read once."""
+
+    def __init__(self, texts: list[str], p: dict, held: int):
+        self.texts, self.p, self.held = texts, p, held
+        self.known: dict[tuple[int, int], np.ndarray] = {}
+
+    def read(self, windows: list[tuple[int, int]]) -> None:
+        missing = [w for w in windows if w not in self.known]
+        for low in range(0, len(missing), self.held):
+            part = missing[low : low + self.held]
+            x = np.full((len(part), WINDOW), ASCII + 1, dtype=np.int64)  # white space after the end
+            for row, (n, k) in enumerate(part):
+                piece = classes(self.texts[n][k * STRIDE : k * STRIDE + WINDOW])
+                x[row, : len(piece)] = piece
+            e = scores(x, self.p)[0]
+            for row, (n, k) in enumerate(part):
+                first = 0 if k == 0 else EDGE
+                end = WINDOW - EDGE if k * STRIDE + WINDOW < len(self.texts[n]) else len(self.texts[n]) - k * STRIDE
+                self.known[n, k] = e[first:end, row].copy()
+
+    def joined(self, n: int, first: int, last: int) -> np.ndarray:
+        return np.concatenate([self.known[n, k] for k in range(first, last + 1)])
+
+
+def tag(texts: list[str], p: dict, held: int = 1024, everything: bool = False) -> list[list[tuple[int, int, str]]]:
+    """Spans of the tagger in each text, in order; ``held`` windows are read at a time.
+
+    Neighbouring windows with anchors make a piece. A piece that a span begins or ends at the edge of, with text
+    beyond, is made longer on that side, each time by twice as much, until the span ends before. ``everything`` reads
+    all windows, and believes spans without an anchor too.
+    """
+    reader = Reader(texts, p, held)
+    last = [max(0, -(-(len(x) - WINDOW) // STRIDE)) for x in texts]
+    open_: list[tuple[int, int, int, int]] = []  # text, first and last window, windows to add next
+    for n, x in enumerate(texts):
+        for k in range(last[n] + 1) if everything and x else anchored(x):
+            if open_ and open_[-1][0] == n and open_[-1][2] == k - 1:
+                open_[-1] = (*open_[-1][:2], k, 1)
+            else:
+                open_.append((n, k, k, 1))
+    found: list[set] = [set() for _ in texts]
+    while open_:
+        reader.read([(n, k) for n, a, b, _ in open_ for k in range(a, b + 1)])
+        longer = []
+        for (n, a, b, more), labels in zip(open_, viterbi([reader.joined(n, a, b) for n, a, b, _ in open_], p), strict=True):
+            left, right = a > 0 and labels[0] > 0, b < last[n] and labels[-1] > 0
+            if left or right:
+                longer.append((n, max(0, a - more * left), min(last[n], b + more * right), 2 * more))
+                continue
+            at = a * STRIDE + (EDGE if a else 0)
+            found[n].update((at + s, at + e, kind) for s, e, kind in spans_of(labels))
+        open_ = longer
     out = []
-    for spans in found:
-        cover = Cover()
-        out.append(sorted((a, b, kind) for _, a, b, kind in sorted(spans) if cover.take(a, b)))
+    for text, spans in zip(texts, found, strict=True):
+        cover = Cover()  # pieces that grew may have met
+        believed = [x for x in sorted(spans) if (everything or ANCHOR.search(text, x[0], x[1])) and _NEED[x[2]](text[x[0] : x[1]])]
+        out.append([x for x in believed if cover.take(x[0], x[1])])
     return out
 
 
