@@ -40,9 +40,13 @@ PIECES = (
 
 @functools.cache
 def _exact(path: str) -> Tokenizer:
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
+
+
+@functools.cache
+def _special(path: str) -> tuple[str, ...]:
+    """Strings that the tokenizer takes for tokens of their own, wherever they stand."""
+    return tuple(x.content for x in _exact(path).get_added_tokens_decoder().values())
 
 
 @functools.cache
@@ -55,15 +59,17 @@ def _fast(ranks: str) -> tiktoken.Encoding:
 def encode(text: str, vocabulary: str = "byte_bpe_50k") -> np.ndarray:
     """Token ids of ``byte_bpe_50k.json``; its merges as ranks give the same ids four times as fast.
 
-    Where the fast library gives up on a text (its recursion has a limit), the other one takes over.
+    Texts that hold one of its special tokens, and those on which the fast library gives up (its recursion has a
+    limit), go to the tokenizer itself.
     """
-    try:
-        return np.array(_fast(public_tokenizers.path(f"{vocabulary}.tiktoken")).encode_ordinary(text), dtype="<u4")
-    except BaseException as error:
-        if not isinstance(error, Exception) and type(error).__name__ != "PanicException":  # a Rust panic is no Exception
-            raise
-        ids = _exact(public_tokenizers.path(f"{vocabulary}.json")).encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4")
+    path = public_tokenizers.path(f"{vocabulary}.json")
+    if not any(x in text for x in _special(path)):
+        try:
+            return np.array(_fast(public_tokenizers.path(f"{vocabulary}.tiktoken")).encode_ordinary(text), dtype="<u4")
+        except BaseException as error:
+            if not isinstance(error, Exception) and type(error).__name__ != "PanicException":  # a Rust panic is no Exception
+                raise
+    return np.array(_exact(path).encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 def cut(length: int, capacity: int = CAPACITY, cuts: int = CUTS) -> list[int]:
