@@ -1,8 +1,8 @@
 """Removal of passages that repeat anywhere in the corpus.
 
-Every window of ``WIDTH`` words gets a 64-bit Rabin-Karp hash. Documents are dealt to chunks; a chunk sorts the hashes
-of its windows and sends each distinct one once, packed by hash range, with a bit telling whether it already met it
-twice. A range counts how often each hash comes and answers every chunk with one bit per hash, in the chunk's own sorted
+Every window of ``WIDTH`` words gets two Rabin-Karp hashes, 96 bits in all: among the 10^13 windows of 100 TB of text one
+pair in a thousand such corpora collides. Documents are dealt to chunks; a chunk sorts the hashes of its windows and
+sends each distinct one once, packed by hash range, with a bit telling whether it already met it twice. A range counts how often each hash comes and answers every chunk with one bit per hash, in the chunk's own sorted
 order, so no position or document number ever travels. The chunk then reads the bits back onto its windows and merges
 repeated windows into maximal intervals.
 """
@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, rolling, text_bytes
+from .common import WordHashes, rolling, second, text_bytes
 
 WIDTH = 35
 #: Bytes of text in a chunk, on average, at least.
@@ -39,15 +39,51 @@ def _squeeze(batches):
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["chunk", "doc_id", "packed"])
 
 
-def window_hashes(packed: list[bytes], width: int) -> tuple[list[int], np.ndarray]:
-    """Number of words of each text, and the window hashes of all texts one after another. Words are not kept."""
+def window_hashes(packed: list[bytes], width: int) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Number of words of each text, and the window hashes of all texts one after another, 64 bits and 32 bits of
+    each. Words are not kept."""
     unpack = zstandard.ZstdDecompressor().decompress
-    known, counts, hashes = WordHashes(), [], [np.empty(0, np.uint64)]
+    known, counts, high, low = WordHashes(), [], [np.empty(0, np.uint64)], [np.empty(0, np.uint32)]
     for x in packed:
         words = known.of(unpack(x).split())
         counts.append(len(words))
-        hashes.append(rolling(words, width))
-    return counts, np.concatenate(hashes)
+        high.append(rolling(words, width))
+        low.append(second(words, width))
+    return counts, np.concatenate(high), np.concatenate(low)
+
+
+def _order(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, first): an order by both hashes, and where in it a new pair begins.
+
+    Sorting by the first is enough unless windows agree in it and not in the second.
+    """
+    order = np.argsort(high)
+    a, b = high[order], low[order]
+    same = a[1:] == a[:-1]
+    if (b[1:][same] != b[:-1][same]).any():
+        order = np.lexsort((low, high))
+        a, b = high[order], low[order]
+        same = a[1:] == a[:-1]
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = ~(same & (b[1:] == b[:-1]))
+    return order, first
+
+
+def squeeze_hashes(high: np.ndarray, low: np.ndarray) -> bytes:
+    """Ascending hashes as the first, the steps between them in as few bytes as the largest needs, and the second hashes."""
+    steps = np.diff(high)
+    size = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    body = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size])
+    return b"".join((bytes([size]), high[:1].astype("<u8").tobytes(), body.tobytes(), low.astype("<u4").tobytes()))
+
+
+def stretch_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    size = blob[0]
+    n = (len(blob) - 9 - 4) // (size + 4) + 1
+    steps = np.zeros((n, 8), dtype=np.uint8)
+    steps[1:, :size] = np.frombuffer(blob, np.uint8, (n - 1) * size, 9).reshape(-1, size)
+    steps[0] = np.frombuffer(blob, np.uint8, 8, 1)
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64), np.frombuffer(blob, "<u4", n, 9 + (n - 1) * size)
 
 
 @functools.lru_cache(maxsize=2)
@@ -71,13 +107,14 @@ _SENT = pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("hashes", pa.b
 def _send(width: int, n: int):
     def run(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
-        _, hashes = window_hashes(table.column("packed").to_pylist(), width)
-        distinct, counts = np.unique(hashes, return_counts=True)
-        twice = counts > 1
+        _, high, low = window_hashes(table.column("packed").to_pylist(), width)
+        order, first = _order(high, low)
+        twice = np.diff(np.append(np.flatnonzero(first), len(order))) > 1
+        high, low = high[order][first], low[order][first]
         rows, start = [], 0
-        for k, end in enumerate(_ranges(distinct, n).tolist()):
+        for k, end in enumerate(_ranges(high, n).tolist()):
             if end > start:
-                rows.append((k, chunk, distinct[start:end].tobytes(), np.packbits(twice[start:end]).tobytes()))
+                rows.append((k, chunk, squeeze_hashes(high[start:end], low[start:end]), np.packbits(twice[start:end]).tobytes()))
             start = end
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, _SENT.types, strict=True)], schema=_SENT)
 
@@ -87,18 +124,31 @@ def _send(width: int, n: int):
 _REPLY = pa.schema([("chunk", pa.int64()), ("range", pa.int64()), ("n", pa.int64()), ("repeated", pa.binary())])
 
 
+def repeats(blobs: list[tuple[np.ndarray, np.ndarray]], twice: list[np.ndarray]) -> list[np.ndarray]:
+    """For each sorted list of distinct hashes, which of them another list holds too, or came twice in some list."""
+    high, low = (np.concatenate(x) for x in zip(*blobs, strict=True))
+    order, first = _order(high, low)
+    starts = np.flatnonzero(first)
+    many = np.diff(np.append(starts, len(order))) > 1
+    many |= np.logical_or.reduceat(np.concatenate(twice)[order], starts)
+    high, low = high[order][starts][many], low[order][starts][many]
+    # Almost never do two repeated windows agree in the first hash alone.
+    runs = np.diff(np.flatnonzero(np.concatenate(([True], high[1:] != high[:-1], [True])))).max() if len(high) else 0
+    out = []
+    for a, b in blobs:
+        hit, at = np.zeros(len(a), dtype=bool), np.searchsorted(high, a)
+        for step in range(runs):
+            place = np.minimum(at + step, len(high) - 1)
+            hit |= (high[place] == a) & (low[place] == b)
+        out.append(hit)
+    return out
+
+
 def _count(table: pa.Table) -> pa.Table:
-    blobs = [np.frombuffer(x, dtype=np.uint64) for x in table.column("hashes").to_pylist()]
-    bits = [np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=len(b)).astype(bool) for x, b in zip(table.column("twice").to_pylist(), blobs, strict=True)]
-    every = np.concatenate(blobs)
-    order = np.sort(every)
-    repeated = np.unique(np.concatenate([order[1:][order[1:] == order[:-1]], every[np.concatenate(bits)]]))
-    replies = []
-    for blob in blobs:
-        at = np.searchsorted(repeated, blob)
-        at[at == len(repeated)] = 0
-        replies.append(np.packbits(repeated[at] == blob if len(repeated) else np.zeros(len(blob), bool)).tobytes())
-    return pa.table([table.column("chunk"), table.column("range"), pa.array([len(b) for b in blobs], pa.int64()), pa.array(replies, pa.binary())], schema=_REPLY)
+    blobs = [stretch_hashes(x) for x in table.column("hashes").to_pylist()]
+    bits = [np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=len(b)).astype(bool) for x, (b, _) in zip(table.column("twice").to_pylist(), blobs, strict=True)]
+    replies = [np.packbits(x).tobytes() for x in repeats(blobs, bits)]
+    return pa.table([table.column("chunk"), table.column("range"), pa.array([len(b) for b, _ in blobs], pa.int64()), pa.array(replies, pa.binary())], schema=_REPLY)
 
 
 def intervals(repeated: np.ndarray, n_words: int, width: int) -> np.ndarray:
@@ -115,16 +165,19 @@ _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed"
 def _apply(width: int, digest: bool):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         packed = docs.column("packed").to_pylist()
-        counts, hashes = window_hashes(packed, width)
+        counts, high, low = window_hashes(packed, width)
         unpack = zstandard.ZstdDecompressor().decompress
         flags = np.empty(0, bool)
         if replies.num_rows:
             parts = sorted(zip(*(replies.column(c).to_pylist() for c in ("range", "n", "repeated")), strict=True))
             flags = np.concatenate([np.unpackbits(np.frombuffer(b, dtype=np.uint8), count=n).astype(bool) for _, n, b in parts])
-        distinct, where = np.unique(hashes, return_inverse=True)
-        if len(distinct) != len(flags):
-            raise ValueError(f"{len(flags)} answers to {len(distinct)} hashes")
-        flags = flags[where] if len(flags) else flags
+        order, first = _order(high, low)
+        del high, low
+        if np.count_nonzero(first) != len(flags):
+            raise ValueError(f"{len(flags)} answers to {np.count_nonzero(first)} hashes")
+        told = np.empty(len(order), dtype=bool)
+        told[order] = flags[np.cumsum(first) - 1] if len(order) else False
+        flags = told
         out, start = [], 0
         for doc_id, data, size in zip(docs.column("doc_id").to_pylist(), packed, counts, strict=True):
             n, w = max(0, size - width + 1), unpack(data).split()
@@ -152,11 +205,12 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, chunk: int = CHUNK, dige
     shorter than a window lose nothing; repeated rows are each other's copies and lose all windows; a null doc_id
     is kept; an empty table gives no rows; columns beyond doc_id and text are ignored.
 
-    Two different windows count as equal if their 64-bit hashes collide: at n windows each has a chance of n / 2**64.
+    Two different windows count as equal if all 96 bits of their hashes agree. Rows are dealt to chunks by their place in
+    the input, not by what they hold, so however many rows repeat, chunks are of one size.
     """
     n = chunk_count(text_bytes(docs), chunk)
     parts = min(n, PARTITIONS)
-    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("chunk"), F.col("doc_id").cast("long"), "text")
+    dealt = docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).alias("chunk"), F.col("doc_id").cast("long"), "text")
     packed = dealt.mapInArrow(_squeeze, "chunk long, doc_id long, packed binary").repartition(parts, "chunk")
     sent = packed.groupBy("chunk").applyInArrow(_send(width, n), "range long, chunk long, hashes binary, twice binary").repartition(parts, "range")
     replies = sent.groupBy("range").applyInArrow(_count, "chunk long, range long, n long, repeated binary")
