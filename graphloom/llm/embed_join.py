@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.components import components
 from .common import materialize, mix
-from .components import components
 
 COSINE = 0.95
 #: Residents of a cell on average; a cell of more is compared in chunks of as many.
-CELL = 4096
+CELL = 16_384
 #: Pivots at most; they are drawn from the vectors of least digest, so any order of rows gives the same ones.
 PIVOTS = 1024
 #: Members that one unit of work compares its residents with, on average at most.
@@ -28,6 +28,8 @@ VISITORS = 32_768
 BLOCK = 1024
 #: Rows that go to the JVM at once.
 SENT = 16_384
+#: Cosines are first taken in single precision; so much below the threshold they are taken again in double.
+NEAR = 1e-3
 #: Bounds are widened by this much, so that rounding never loses a link that the exact test would make.
 SLACK = 1e-6
 
@@ -133,9 +135,10 @@ def _compare(cosine: float, kind: str):
         copies = all_.column("copies").to_numpy()
         x, y = unit(_matrix(mine.column("packed").combine_chunks(), kind)), unit(_matrix(all_.column("packed").combine_chunks(), kind))
         links, root = np.zeros(len(x), dtype=np.int64), np.arange(len(ids))
+        rough, roughly = x.astype(np.float32), y.astype(np.float32)
         for i in range(0, len(x), BLOCK):
             for j in range(0, len(y), BLOCK):
-                a, b = np.nonzero(x[i : i + BLOCK] @ y[j : j + BLOCK].T >= cosine)
+                a, b = _alike(x[i : i + BLOCK], y[j : j + BLOCK], rough[i : i + BLOCK], roughly[j : j + BLOCK], cosine)
                 a, b = a + i, b + j
                 apart = mine_at[a] != all_at[b]
                 a, b = a[apart], b[apart]
@@ -150,6 +153,15 @@ def _compare(cosine: float, kind: str):
     return run
 
 
+def _alike(x: np.ndarray, y: np.ndarray, rough: np.ndarray, roughly: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows whose cosine in double precision is at least ``cosine``; single precision rules most of them out."""
+    a, b = np.nonzero(rough @ roughly.T >= np.float32(cosine - NEAR))
+    if 20 * len(a) > len(x) * len(y):
+        return np.nonzero(x @ y.T >= cosine)
+    sure = np.einsum("ij,ij->i", x[a], y[b]) >= cosine
+    return a[sure], b[sure]
+
+
 def _hook(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     while len(a):
         ra, rb = root[a], root[b]
@@ -163,32 +175,46 @@ def _hook(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+def _joined(classes: DataFrame, n: int, cosine: float, cell: int, pivots: int, kind: str) -> DataFrame:
+    """(key, links, least) of n classes (key, packed, copies) of vectors of one length, once for each unit of work."""
+    radius = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
+    chosen = classes.orderBy(F.xxhash64("packed"), "key").limit(min(pivots, max(1, -(-n // cell)))).select("packed").collect()
+    centres = unit(_matrix(pa.array([bytes(r[0]) for r in chosen], pa.binary()), kind))
+    sizes = classes.select("key", "packed").mapInArrow(_sizes(centres, radius, kind), "cell int, residents long, members long").groupBy("cell").sum("residents", "members").collect()
+    left, right = np.ones(len(centres), dtype=np.int64), np.ones(len(centres), dtype=np.int64)
+    for k, residents, members in sizes:
+        left[k], right[k] = max(1, -(-residents // cell)), max(1, -(-members // VISITORS))
+    units = classes.select("key", "packed", "copies").mapInArrow(_units(centres, radius, left, right, kind), "cell int, i int, j int, resident boolean, id long, packed binary, copies long")
+    return units.groupBy("cell", "i", "j").applyInArrow(_compare(cosine, kind), "id long, links long, least long")
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL, pivots: int = PIVOTS) -> DataFrame:
     """One row per row of (vec_id, embedding): vec_id, n_links, component_id, kept.
 
-    Null, zero and non-finite vectors link with nothing, whatever they equal. Equal vectors are compared once, as a
-    class, and count each other as links. vec_id must be unique and not null; vectors of another length than most
-    raise an error; an empty table gives no rows; columns beyond vec_id and embedding are ignored.
+    Null, zero and non-finite vectors link with nothing, whatever they equal, nor do rows without a vec_id; such a row
+    is a component of its own. Vectors of different lengths do not link. Equal vectors are compared once, as a class,
+    and count each other as links; rows that repeat, or share an id, count one by one. An empty table gives no rows;
+    columns beyond vec_id and embedding are ignored.
     """
-    radius = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     kind = "<f4" if vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType(), vectors.schema["embedding"].dataType.containsNull) else "<f8"
     rows = materialize(vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(_pack(kind), "vec_id long, packed binary"), "vectors")
-    classes = materialize(rows.where("packed is not null").groupBy("packed").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")).select("id", "packed", "copies"), "classes")
-    n = classes.count()
-    if not n:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    chosen = classes.orderBy(F.xxhash64("packed"), "id").limit(min(pivots, max(1, -(-n // cell)))).select("packed").collect()
-    centres = unit(_matrix(pa.array([bytes(r[0]) for r in chosen], pa.binary()), kind))
-    sizes = classes.select("id", "packed").mapInArrow(_sizes(centres, radius, kind), "cell int, residents long, members long").groupBy("cell").sum("residents", "members").collect()
-    left, right = np.ones(len(centres), dtype=np.int64), np.ones(len(centres), dtype=np.int64)
-    for k, residents, members in sizes:
-        left[k], right[k] = max(1, -(-residents // cell)), max(1, -(-members // VISITORS))
-    units = classes.select("id", "packed", "copies").mapInArrow(_units(centres, radius, left, right, kind), "cell int, i int, j int, resident boolean, id long, packed binary, copies long")
-    found = materialize(units.groupBy("cell", "i", "j").applyInArrow(_compare(cosine, kind), "id long, links long, least long"), "found")
-    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    roots = components(found.where("id <> least"), "id", "least")
-    classes = classes.join(counts, "id", "left").join(roots, F.col("id") == F.col("node"), "left")
-    classes = classes.select("packed", (F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "id").alias("component_id"))
-    out = rows.join(classes, "packed", "left")
-    component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), (component == F.col("vec_id")).alias("kept"))
+    usable = F.col("packed").isNotNull() & F.col("vec_id").isNotNull()
+    classes = rows.where(usable).groupBy("packed").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("key"), "id", "packed", "copies"), "classes")
+    alone = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    size = F.octet_length("packed").alias("size")
+    lengths = classes.groupBy(size).count().orderBy("size").collect()  # as many rows as lengths of vectors
+    if not lengths:
+        return alone
+    found = None
+    for length, n in lengths:
+        one = _joined(classes.where(size == length) if len(lengths) > 1 else classes, n, cosine, cell, pivots, kind)
+        found = one if found is None else found.union(one)
+    found = materialize(found, "found")
+    counts = found.groupBy("id").agg(F.sum("links").alias("links")).withColumnRenamed("id", "key")
+    roots = components(found.where("id <> least"), "id", "least").withColumnRenamed("node", "key")
+    classes = classes.join(counts, "key", "left").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    named = classes.groupBy("root").agg(F.min("id").alias("component_id"))
+    classes = classes.join(named, "root").select("packed", (F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1).alias("n_links"), "component_id")
+    linked = rows.where(usable).join(classes, "packed")
+    return linked.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept")).union(alone)

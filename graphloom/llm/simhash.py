@@ -16,8 +16,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import digits, materialize
-from .components import components
 
 SHINGLE = 3
 RADIUS = 2
