@@ -86,7 +86,8 @@ EDGE = (WINDOW - STRIDE) // 2
 #: Label 0 is outside; kind k begins with 1 + 2 k and goes on with 2 + 2 k.
 LABELS = 1 + 2 * len(KINDS)
 #: A rule beside the tagger: what it finds must hold one of these, and only windows near one are read.
-ANCHOR = re.compile(r"(?i)[0-9@]|[(\[{] ?at ?[)\]}]|\bdot\b")
+ANCHOR = re.compile(r"[0-9@]|[(\[{] ?[aA][tT] ?[)\]}]")
+SPELLED = re.compile(r"\b[dD][oO][tT]\b")
 ASCII = 95
 CLASSES = ASCII + 4
 TRAIN = {"steps": 400, "batch": 48, "length": 96, "rate": 0.02, "seed": 11}
@@ -124,8 +125,10 @@ def _email(rng) -> str:
     local = [name, f"{name}.{rng.randrange(1, 99)}", f"{name}_{_number(rng, 2)}", f"{name}+{name[:2]}"][rng.randrange(4)]
     host = ["example", "mail", "post", "host", f"mail{rng.randrange(10)}.example"][rng.randrange(5)]
     top = rng.choice(["com", "org", "net", "de", "fr", "es", "io"])
-    at, dot = [("@", "."), ("@", "."), ("@", "."), ("@", "."), (" (at) ", "."), ("(at)", "(dot)"), (" [At] ", " [dot] "), (" @ ", "."), (" at ", " dot ")][rng.randrange(9)]
-    return f"{local.replace('.', dot) if dot == ' dot ' else local}{at}{host.replace('.', dot)}{dot}{top}"
+    at, dot = [("@", "."), ("@", "."), ("@", "."), (" (at) ", "."), ("(at)", "(dot)"), (" [At] ", " [dot] "), (" @ ", "."), (" at ", " dot "), (" at ", " dot "), (" AT ", " DOT ")][rng.randrange(10)]
+    if at.strip().lower() == "at":
+        local, host = local.replace(".", dot), host.replace(".", dot)
+    return f"{local}{at}{host}{dot}{top}"
 
 
 def _phone(rng) -> str:
@@ -341,12 +344,18 @@ def viterbi(scored: list[np.ndarray], p: dict) -> list[np.ndarray]:
     return out
 
 
+def anchors(text: str) -> list[tuple[int, int]]:
+    """Start and end of each anchor, in no order."""
+    found = [m.span() for m in ANCHOR.finditer(text)]
+    return found + [m.span() for m in SPELLED.finditer(text)] if "dot" in text.lower() else found
+
+
 def anchored(text: str) -> list[int]:
     """Numbers of the windows that hold an anchor; window k begins at k * STRIDE."""
     last = max(0, -(-(len(text) - WINDOW) // STRIDE))
     wanted = set()
-    for m in ANCHOR.finditer(text):
-        low, high = max(0, -(-(m.end() - WINDOW) // STRIDE)), m.start() // STRIDE
+    for start, end in anchors(text):
+        low, high = max(0, -(-(end - WINDOW) // STRIDE)), start // STRIDE
         wanted.update(range(low, min(high, last) + 1))
     return sorted(wanted)
 
@@ -422,7 +431,7 @@ def tag(texts: list[str], p: dict, held: int = 1024, everything: bool = False) -
     out = []
     for text, spans in zip(texts, found, strict=True):
         cover = Cover()  # pieces that grew may have met
-        believed = [x for x in sorted(spans) if (everything or ANCHOR.search(text, x[0], x[1])) and _NEED[x[2]](text[x[0] : x[1]])]
+        believed = [x for x in sorted(spans) if (everything or anchors(text[x[0] : x[1]])) and _NEED[x[2]](text[x[0] : x[1]])]
         out.append([x for x in believed if cover.take(x[0], x[1])])
     return out
 

@@ -118,7 +118,7 @@ def test_tagger_on_held_out_text():
     quiet = [words(random.Random(k), 200) for k in range(20)]
     assert sum(map(len, pii.tag([re.sub("[0-9]", "", t) for t in quiet], p))) == 0
     names = [pii._word(rng) for _ in range(60)]
-    spelled = [f"write to {a} at example dot com soon" for a in names] + [f"or {a} (At) mail.example.org" for a in names]
+    spelled = [f"write to {a}{a} dot {a} at host dot net soon" for a in names] + [f"or {a} (At) mail.example.org" for a in names]
     assert sum([k for _, _, k in own] == ["email"] for own in pii.tag(spelled, p)) / len(spelled) > 0.6
 
 
@@ -206,7 +206,7 @@ class Labeller:
 
 @pytest.mark.parametrize("length", [1, 63, 64, 65, 128, 700])
 def test_spans_of_any_length_and_place(monkeypatch, length):
-    """Spans over as many windows as they like, wherever they begin, also where only one window has an anchor."""
+    """Spans over as many windows as they like, wherever they begin, also where only one character is an anchor."""
     Labeller(monkeypatch, None)
     monkeypatch.setitem(pii._NEED, "card", lambda s: True)
     p = {"trans": np.zeros((pii.LABELS, pii.LABELS), dtype=np.float32), "start": np.zeros(pii.LABELS, dtype=np.float32)}
@@ -215,7 +215,7 @@ def test_spans_of_any_length_and_place(monkeypatch, length):
             marked = ["\u0200"] * length
             marked[0] = "\u0100"
             text = "x" * start + "".join(marked) + "y" * 300
-            monkeypatch.setattr(pii, "ANCHOR", re.compile(f"(?<=^.{{{start + anchor}}})."))
+            monkeypatch.setattr(pii, "anchors", lambda t, at=start + anchor: [(at, at + 1)] if len(t) > 300 else [(0, 1)][: len(t) == length])
             assert pii.tag([text, "", "quiet"], p, held=3) == [[(start, start + length, "card")], [], []]
 
 
@@ -224,7 +224,7 @@ def test_anchored_windows_are_those_that_hold_an_anchor():
     for _ in range(200):
         text = "".join(rng.choice("aaaaaaaaaaaaaaaaaaaaaaaa1@") for _ in range(rng.randrange(900)))
         last = max(0, -(-(len(text) - pii.WINDOW) // pii.STRIDE))
-        want = [k for k in range(last + 1) if pii.ANCHOR.search(text[k * pii.STRIDE : k * pii.STRIDE + pii.WINDOW])]
+        want = [k for k in range(last + 1) if pii.anchors(text[k * pii.STRIDE : k * pii.STRIDE + pii.WINDOW])]
         assert pii.anchored(text) == want
         if text:
             reader = pii.Reader([text], pii.train(steps=1), 5)
@@ -518,6 +518,53 @@ def test_op5_held_out(spark):
     assert right / len(got) > 0.93
 
 
+def test_op5_against_a_plain_version(spark):
+    frame, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    rows, told = frame.collect(), {r.doc_id: r.quality for r in labels.collect()}
+    known = quality.WordClasses()
+    x = {r.doc_id: quality.features(r.text or "", known).astype(float) for r in rows}
+    own = [r.doc_id for r in rows if r.doc_id in told]
+    w, centre, scale = quality.fit(np.array([x[k] for k in own]), np.array([told[k] for k in own], dtype=float))
+    z = (np.array([x[k] for k in own]) - centre) / scale
+    slope = z.T @ (1 / (1 + np.exp(-z @ w)) - np.array([told[k] for k in own])) / len(own) + 3e-3 * w
+    assert np.abs(slope).max() < 1e-4  # nothing fits better
+
+    def shrunk(groups, prior):
+        """Rates of {group: labels} toward prior(group), by the spread of their means beyond that of sampling."""
+        mean = {g: sum(v) / len(v) for g, v in groups.items()}
+        noise = np.mean([prior(g) * (1 - prior(g)) / len(v) for g, v in groups.items()])
+        spread = max(np.mean([(mean[g] - prior(g)) ** 2 for g in groups]) - noise, 1e-4)
+        k = min(max(np.mean([prior(g) * (1 - prior(g)) for g in groups]) / spread - 1, 1), 1000)
+        return {g: (sum(v) + k * prior(g)) / (len(v) + k) for g, v in groups.items()}
+
+    by_host, by_path = defaultdict(list), defaultdict(list)
+    for r in rows:
+        if r.doc_id in told:
+            by_host[r.source].append(told[r.doc_id])
+            by_path[r.source, r.lang].append(told[r.doc_id])
+    total = sum(map(sum, by_host.values())) / len(own)
+    hosts = shrunk(by_host, lambda g: total)
+    paths = shrunk(by_path, lambda g: hosts[g[0]])
+    assert min(map(len, by_path.values())) == 1  # some sites are sparse
+    got = {r.doc_id: r for r in quality.score_quality(frame, labels).collect()}
+    odds = lambda p: np.log(p / (1 - p))
+    for r in rows:
+        host = hosts.get(r.source, total)
+        path = paths.get((r.source, r.lang), host)
+        evidence = float(np.clip((x[r.doc_id] - centre) / scale @ w, -12, 12))
+        g = got[r.doc_id]
+        assert (g.host_rate, g.path_rate) == (pytest.approx(host), pytest.approx(path)) and g.evidence == pytest.approx(evidence, abs=1e-3)
+        safe = min(max(path, 1e-6), 1 - 1e-6)
+        assert g.quality == pytest.approx(1 / (1 + np.exp(-(evidence + odds(safe) - odds(total)))), abs=1e-3) and g.keep == (g.quality >= 0.5)
+
+
+def test_op5_long_and_odd_texts():
+    known = quality.WordClasses()
+    for text in ("", " \n", "x" * 2_000_000, "a b " * 300_000, "é%% Ab12\n" * 5, "\ud800"):
+        assert np.isfinite(quality.features(text, known)).all()
+    assert np.array_equal(quality.features("Abc ab12", known)[quality.STATISTICS + quality.HASHED :], quality.features("Xyyy q7", known)[quality.STATISTICS + quality.HASHED :])
+
+
 def test_op5_shrinks(spark):
     rows = [(k, "good words in a row " * 5, "big", "a") for k in range(60)] + [(100 + k, "@@## $$%% !!", "bad", "a") for k in range(60)] + [(300, "good words in a row " * 5, "lone", None)]
     labels = spark.createDataFrame([(k, 1) for k in range(60)] + [(100 + k, 0) for k in range(60)], "doc_id long, quality int")
@@ -708,6 +755,21 @@ def test_op8(docs):
     assert {r.doc_id for r in simhash.drop_near_copies(docs).collect()} == {rows[k][0] for k in set(roots)}
 
 
+def test_repeated_rows_stay_once(spark):
+    text = [words(random.Random(k), 60) for k in range(5)]
+    rows = [(1, text[0]), (1, text[0]), (2, text[0]), (3, text[1]), (3, text[1]), (3, text[1]), (4, text[2]), (5, None), (6, ""), (None, text[3]), (None, text[3]), (None, text[2]), (7, text[4]), (7, text[4].upper()), (8, text[1] + " x" * 9), (8, text[3])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    roots = plain_components([plain_fingerprint(t or "") for _, t in rows])
+    kept = simhash.drop_near_copies(docs).collect()
+    assert len(kept) == len(set(roots))
+    groups = {(i, t): roots[k] for k, (i, t) in enumerate(rows)}
+    assert sorted(groups[r.doc_id, r.text] for r in kept) == sorted(set(roots))
+    for r in kept:
+        ids = [i for k, (i, _) in enumerate(rows) if roots[k] == groups[r.doc_id, r.text] and i is not None]
+        assert r.doc_id == (min(ids) if ids else None)
+    assert kept[0].__fields__ == docs.columns
+
+
 @pytest.mark.parametrize("file", [16_384, 40])
 def test_bit_sliced_links(spark, file):
     rng = random.Random(6)
@@ -748,20 +810,75 @@ def test_op9_held_out(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def plain_vector(text, known):
+    """Trigram by trigram: the first two letters rolled by their place, bound by multiplication, then added up."""
+    clean = re.sub(r"[^\W\d_]|[^\w]|[\d_]", lambda m: m[0] if m[0].isalpha() else " ", text.lower())
+    clean = " " + " ".join(clean.split(" ")).strip() + " "
+    clean = re.sub(" +", " ", clean)
+    total = np.zeros(langid.DIM)
+    for gram, n in Counter(clean[i : i + 3] for i in range(len(clean) - 2)).items():
+        if gram not in known:
+            a, b, c = (langid._items()[langid._letters()[ord(x)] if x != " " else 0].astype(np.int64) for x in gram)
+            known[gram] = np.roll(a, 2) * np.roll(b, 1) * c
+        total += n * known[gram]
+    return total if clean.strip() else np.zeros(langid.DIM)
+
+
+def plain_prototypes(rows, known):
+    """(doc_id, text, lang) rows that are not held out, each of length one, added up by language."""
+    sums = {}
+    for doc_id, text, lang in rows:
+        if lang is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            v = plain_vector(text or "", known)
+            sums[lang] = sums.get(lang, 0) + v / (np.linalg.norm(v) or 1)
+    langs = sorted(k for k, v in sums.items() if np.any(v))
+    return langs, [sums[k] / np.linalg.norm(sums[k]) for k in langs]
+
+
+def test_op9_against_a_plain_version(spark):
+    frame = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(r.doc_id, r.text, r.lang) for r in frame.collect()]
+    known = {}
+    langs, prototypes = plain_prototypes(rows, known)
+    got = {r.doc_id: r for r in langid.identify(frame).collect()}
+    assert len(langs) == 4 and len(got) == len(rows)
+    for doc_id, text, _ in rows:
+        v = plain_vector(text or "", known)
+        cosines = [float(v @ p) / (np.linalg.norm(v) or 1) for p in prototypes]
+        assert got[doc_id].lang_pred == (langs[int(np.argmax(cosines))] if np.any(v) else "und")
+        assert got[doc_id].score == pytest.approx(min(1, max(0, *cosines)) if np.any(v) else 0, abs=1e-6)
+
+
+def test_other_languages_go(spark):
+    """Learned from the documents of a table: what is none of its languages goes, however short its own texts are."""
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(16)
+    other = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan.",
+        "Všichni lidé rodí se svobodní a sobě rovní co do důstojnosti a práv. Jsou nadáni rozumem a svědomím a mají spolu jednat v duchu bratrství.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга.",
+        *("".join(rng.choice("abcdefghijklmnopqrstuvwxyz      ") for _ in range(400)) for _ in range(5)), "12345 67.89", None,
+    ]
+    more = spark.createDataFrame([(10**9 + k, t, None, "s", 1) for k, t in enumerate(other)], frame.schema)
+    kept = {r.doc_id for r in langid.keep_identified(frame.union(more)).collect()}
+    assert not any(k >= 10**9 for k in kept)
+    assert len(kept) >= 0.999 * frame.where("text rlike '[A-Za-z]'").count()
+
+
 def test_op9_cases(docs):
     got = {r.doc_id: r for r in langid.identify(docs).collect()}
     for x in corpus():
         letters = any(c.isalpha() for c in x[1] or "")
         assert (got[x[0]].lang_pred == "und") == (not letters)
-    kept = {r.doc_id for r in langid.keep_identified(docs, threshold=-1).collect()}
+    kept = {r.doc_id for r in langid.keep_identified(docs, threshold=-9).collect()}
     assert kept == {k for k, r in got.items() if r.lang_pred != "und"}
 
 
-def test_trigram_counts_do_not_depend_on_slices():
-    text = "".join(random.Random(8).choice("abc d.é") for _ in range(500))
-    whole = langid.trigrams(text)
-    lower, grams = text.lower(), Counter()
-    clean = " " + " ".join(re.findall(r"[^\W\d_]+", lower)) + " "
-    for i in range(len(clean) - 2):
-        grams[clean[i : i + 3]] += 1
-    assert sorted(whole[1].tolist()) == sorted(grams.values())
+@pytest.mark.parametrize("size", [langid.SLICE, 7, 1])
+def test_trigram_counts_do_not_depend_on_slices(monkeypatch, size):
+    monkeypatch.setattr(langid, "SLICE", size)
+    rng = random.Random(8)
+    for text in ["".join(rng.choice("abc d.é") for _ in range(n)) for n in (0, 1, 2, 3, 20, 500)] + ["...", "a", ". a b ."]:
+        clean = " " + " ".join(re.findall(r"[^\W\d_]+", text.lower())) + " "
+        grams = Counter(clean[i : i + 3] for i in range(len(clean) - 2)) if clean.strip() else Counter()
+        assert sorted(langid.trigrams(text)[1].tolist()) == sorted(grams.values()), text

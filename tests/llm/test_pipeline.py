@@ -4,28 +4,25 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-from test_llm import SMALL, plain_components, plain_fingerprint, poured
+from test_llm import SMALL, plain_components, plain_fingerprint, plain_prototypes, plain_vector, poured
 
 import corpus_pipeline
 from graphloom.llm import langid, packing, secrets
 
 
 def plain_languages(rows):
-    """Prototypes from all that are not held out (fewer than the bound), then cosines, one text at a time."""
-    vectors, sums = langid.Vectors(), {}
+    """Cosines with the prototypes, one text at a time."""
+    known, kept = {}, []
+    _, prototypes = plain_prototypes([(r["doc_id"], r["text"], r["lang"]) for r in rows], known)
     for r in rows:
-        if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2:
-            v = langid.bundles([r["text"] or ""], vectors)[0]
-            sums[r["lang"]] = sums.get(r["lang"], 0) + v / (np.linalg.norm(v) or 1)
-    prototypes = np.array([sums[k] / np.linalg.norm(sums[k]) for k in sorted(sums)])
-    kept = []
-    for r in rows:
-        v = langid.bundles([r["text"] or ""], vectors)[0]
-        if np.any(v) and (prototypes @ v).max() >= 0.05 * np.linalg.norm(v):
+        v = plain_vector(r["text"] or "", known)
+        n = langid.trigrams(r["text"] or "")[1].sum()
+        if np.any(v) and max(float(v @ p) for p in prototypes) >= 0.18 * min(1, n / 100) * np.linalg.norm(v):
             kept.append(r)
     return kept
 
@@ -103,6 +100,28 @@ def test_pipeline(spark):
         assert at <= 1024
 
 
+def test_stages_take_what_they_are_for(spark):
+    """Documents with planted gibberish, copies, repeated rows and keys: each stage drops or changes just those."""
+    rng = random.Random(31)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    clean = docs.where("length(text) > 800").orderBy("doc_id").limit(40).collect()
+    noise = [(10**9 + k, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(600)), None, "src1", 600) for k in range(10)]
+    copies = [(2 * 10**9 + k, r.text, r.lang, r.source, r.n_chars) for k, r in enumerate(clean[:20])]
+    key = "qZxW9vJkPf2GhTrB7nMcXqLdKs4YwE"
+    keys = [(3 * 10**9 + k, r.text[::-1][:300] + f" use {key} now " + r.text, r.lang, r.source, 1) for k, r in enumerate(clean[20:30])]
+    given = docs.union(spark.createDataFrame(noise + copies + keys, docs.schema)).union(spark.createDataFrame(clean[:5], docs.schema))
+    stage = dict(corpus_pipeline.STAGES)
+    one = stage["language"](spark, given, SMALL)
+    gone = {r.doc_id for r in given.join(one, "doc_id", "left_anti").collect()}
+    assert {k for k, *_ in noise} <= gone and len(gone) - len(noise) <= 2
+    two = stage["near_copies"](spark, one, SMALL).collect()
+    ids = [r.doc_id for r in two]
+    assert len(ids) == len(set(ids)) and not {k for k, *_ in copies} & set(ids) and {k for k, *_ in keys} <= set(ids)
+    three = {r.doc_id: r.text for r in stage["secrets"](spark, one, SMALL).collect()}
+    assert all(key not in three[k] and "[random]" in three[k] for k, *_ in keys)
+    assert sum(r.text == three[r.doc_id] for r in clean) >= 30
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "secrets", "mixing", "packing"]
