@@ -1,69 +1,82 @@
 """Document quality by hierarchical empirical Bayes.
 
-A logistic classifier on text statistics gives each document a probability of being good. Hosts and paths below them
-have rates of their own: a host's posterior is the mean of its documents shrunk toward the global rate, a path's is
-shrunk toward its host, the stronger the fewer documents there are and the less the groups of that level differ (the
-prior strength is the method-of-moments estimate of a beta distribution). A document's posterior odds are its own
-evidence times the odds of its path against the global rate, damped so that text outweighs origin.
+A logistic classifier on the words of a text and its make-up gives each document log odds of being good. Hosts and the
+paths below them have rates of their own, from labelled documents: a host's posterior is shrunk toward the global rate,
+a path's toward its host, the stronger the fewer labels there are and the less the groups of that level differ (the
+prior strength is the method-of-moments estimate of a beta distribution); sites without labels have the rate of the
+level above. Text and site are separate evidence, each counted once: the posterior odds are those of the text times
+those of the path against the global rate.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import WordHashes, materialize
 
 #: Labelled documents used for fitting, at most about so many (each kept by a digest of its id).
 FIT = 6000
 KEEP = 0.5
-#: Weight of the site's log odds in the posterior.
-SITE = 0.5
-FEATURES = 20
+#: Words and their shapes fall into so many classes each.
+HASHED = 256
+STATISTICS = 11
+FEATURES = STATISTICS + 2 * HASHED
+#: Letters, digits and the rest by class; white space never occurs in a word.
+_SHAPES = bytes(65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 or c >= 128 else 48 if 48 <= c <= 57 else c for c in range(256))
+_RUNS = re.compile(rb"(.)\1+", re.DOTALL)
+
+
+class WordClasses(WordHashes):
+    """The class of a word and that of its shape (what kinds of characters follow each other), as one number."""
 
+    def __missing__(self, word: bytes) -> int:
+        own = super().__missing__(word)
+        shape = xxhash.xxh64_intdigest(_RUNS.sub(rb"\1", word.translate(_SHAPES)))
+        value = self[word] = own % HASHED * HASHED + shape % HASHED
+        return value
 
-def features(text: str) -> list[float]:
-    """Statistics of a whole text; each is bounded, so extreme documents stay comparable."""
+
+def features(text: str, known: WordClasses) -> np.ndarray:
+    """Statistics of a whole text, each bounded, then the shares of its words in each class and each class of shapes."""
     data = text.encode("utf-8", "surrogatepass")
-    raw = np.frombuffer(data, dtype=np.uint8)
-    n = max(1, len(raw))
-    counts = np.bincount(raw, minlength=256)
-    words = data.split()
+    counts = np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256)
+    n, words, lines = max(1, len(data)), data.split(), data.split(b"\n")
     m = max(1, len(words))
-    lines = data.split(b"\n")
-    upper = counts[65:91].sum()
-    lower = counts[97:123].sum()
-    high = counts[128:].sum()
-    letters = upper + lower + high
-    digits = counts[48:58].sum()
+    upper, lower, digits = counts[65:91].sum(), counts[97:123].sum() + counts[128:].sum(), counts[48:58].sum()
     space = counts[9:14].sum() + counts[32]
-    marks = n - letters - digits - space if len(raw) else 0
-    repeats = sum(a == b for a, b in zip(words, words[1:]))
-    common = counts[list(b".,;:'\"()?-")].sum()
-    distinct = len(set(words)) / m
-    return [
-        1.0, min(np.log1p(m) / 10, 2), letters / n, upper / max(1, upper + lower), digits / n, space / n, marks / n, counts[33] / m, counts[124] / m,
-        counts[list(b"#$%&*")].sum() / m, common / m, (marks - common) / n, repeats / m, distinct, distinct * np.sqrt(m) / 50, min(len(data) / m, 30) / 10,
-        min(len(lines) / m, 1), (len(lines) - len(set(lines))) / len(lines), high / n, min(counts[64] + counts[34] + counts[61], 20) / 20,
-    ]
+    out = np.zeros(FEATURES, dtype=np.float32)
+    out[:STATISTICS] = (
+        1.0, min(np.log1p(m) / 10, 2), upper / max(1, upper + lower), digits / n, space / n, (len(data) - upper - lower - digits - space) / n, len(set(words)) / m, sum(a == b for a, b in zip(words, words[1:])) / m,
+        min(len(data) / m, 30) / 10, min(len(lines) / m, 1), (len(lines) - len(set(lines))) / len(lines),
+    )
+    if words:
+        classes = known.of(words).astype(np.int64)
+        out[STATISTICS : STATISTICS + HASHED] = np.bincount(classes // HASHED, minlength=HASHED) / m
+        out[STATISTICS + HASHED :] = np.bincount(classes % HASHED, minlength=HASHED) / m
+    return out
 
 
 def _measure(batches):
+    known = WordClasses()
     for batch in batches:
-        rows = [features(x or "") for x in batch.column(1).to_pylist()]
-        yield pa.record_batch([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "features"])
+        rows = [features(x or "", known).tobytes() for x in batch.column(1).to_pylist()]
+        yield pa.record_batch([batch.column(0), pa.array(rows, pa.binary())], names=["doc_id", "features"])
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = 3e-3, steps: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(weights, centre, scale) of a ridge logistic regression by Newton's method; all zero without both classes."""
     if not len(y) or y.min() == y.max():
         weights = np.zeros(FEATURES)
         if len(y):
             weights[0] = 4.0 if y[0] else -4.0
         return weights, np.zeros(FEATURES), np.ones(FEATURES)
-    centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)
     centre[0], scale[0] = 0, 1
     z = (x - centre) / scale
     w = np.zeros(FEATURES)
@@ -81,9 +94,13 @@ def _score(model):
     weights, centre, scale = model
 
     def run(batches):
+        known = WordClasses()
         for batch in batches:
-            x = np.array([features(t or "") for t in batch.column(3).to_pylist()]).reshape(-1, FEATURES)
-            logit = np.clip((x - centre) / scale @ weights, -12, 12)
+            texts, parts = batch.column(3).to_pylist(), [np.empty(0)]
+            for at in range(0, len(texts), 256):
+                x = np.array([features(t or "", known) for t in texts[at : at + 256]]).reshape(-1, FEATURES)
+                parts.append(np.clip((x - centre) / scale @ weights, -12, 12))
+            logit = np.concatenate(parts)
             yield pa.record_batch([*(batch.column(k) for k in range(3)), pa.array(logit)], names=["doc_id", "host", "path", "evidence"])
 
     return run
@@ -101,6 +118,23 @@ def _logit(p: Column) -> Column:
     return F.ln(safe / (1 - safe))
 
 
+def site_rates(sites: DataFrame) -> tuple[float, DataFrame, DataFrame]:
+    """(global rate, (host, host_rate), (host, path, path_rate)) of (host, path, quality), one row per labelled document.
+
+    One half where nothing is labelled.
+    """
+    paths = materialize(sites.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("quality").alias("good")), "paths")
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
+    total = hosts.agg((F.sum("host_good") / F.sum("host_n")).alias("rate")).first()["rate"]
+    total = 0.5 if total is None else float(total)
+    one = F.lit(total)
+    host_k = hosts.agg(strength(one, F.col("host_n"), F.col("host_good") / F.col("host_n")).alias("k")).first()["k"] or 1.0
+    hosts = hosts.withColumn("host_rate", (F.col("host_good") + host_k * one) / (F.col("host_n") + host_k)).select("host", "host_rate")
+    paths = paths.alias("p").join(hosts.alias("h"), F.col("p.host").eqNullSafe(F.col("h.host"))).select("p.host", "path", "n", "good", "host_rate")
+    path_k = paths.agg(strength(F.col("host_rate"), F.col("n"), F.col("good") / F.col("n")).alias("k")).first()["k"] or 1.0
+    return total, hosts, paths.select("host", "path", ((F.col("good") + path_k * F.col("host_rate")) / (F.col("n") + path_k)).alias("path_rate"))
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", keep: float = KEEP, fit_rows: int = FIT) -> DataFrame:
     """One row per document: doc_id, evidence (log odds of its text), host_rate, path_rate, quality, keep.
 
@@ -109,31 +143,23 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path
     labels of both classes the text says nothing or always the same; an empty table gives no rows. Columns beyond
     doc_id, text, host and path are ignored.
 
-    Only a bounded sample of labelled feature rows reaches the driver; every document is scored and every group
-    counted. Groups meet documents in joins on host and path after partial aggregation, never in one task.
+    The classifier is fitted to a bounded sample of labelled rows; site rates come from all labels, and every document
+    is scored. Groups meet documents in joins on host and path after partial aggregation, never in one task.
     """
-    known = labels.where("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
+    known = materialize(labels.where("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("int").alias("quality")).distinct(), "labels")
     share = min(1.0, fit_rows / max(1, known.count()))
-    known = materialize(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share), "labelled")
+    some = materialize(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share), "labelled")
     # Counted, the sample is known to be small, and texts need not be shuffled to meet it.
-    chosen = F.broadcast(known) if known.count() <= 4 * fit_rows else known
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id", "left_semi").mapInArrow(_measure, "doc_id long, features array<double>").join(chosen, "doc_id").select("features", "quality").collect()
-    model = fit(np.array([r[0] for r in rows]).reshape(-1, FEATURES), np.array([r[1] for r in rows], dtype=np.float64))
-
-    scored = docs.select(F.col("doc_id").cast("long"), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), "text")
-    scored = materialize(scored.mapInArrow(_score(model), "doc_id long, host string, path string, evidence double"), "quality")
-    good = 1 / (1 + F.exp(-F.col("evidence")))
-    paths = materialize(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(good).alias("good")), "paths")
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
-    total = hosts.agg((F.sum("host_good") / F.sum("host_n")).alias("rate")).first()["rate"]
-    total = 0.5 if total is None else total
-    one = F.lit(float(total))
-    host_k = hosts.agg(strength(one, F.col("host_n"), F.col("host_good") / F.col("host_n")).alias("k")).first()["k"] or 1.0
-    hosts = hosts.withColumn("host_rate", (F.col("host_good") + host_k * one) / (F.col("host_n") + host_k)).select("host", "host_rate")
-    paths = paths.alias("p").join(hosts.alias("h"), F.col("p.host").eqNullSafe(F.col("h.host"))).select("p.host", "path", "n", "good", "host_rate")
-    path_k = paths.agg(strength(F.col("host_rate"), F.col("n"), F.col("good") / F.col("n")).alias("k")).first()["k"] or 1.0
-    paths = paths.withColumn("path_rate", (F.col("good") + path_k * F.col("host_rate")) / (F.col("n") + path_k))
-    same = F.col("d.host").eqNullSafe(F.col("p.host")) & F.col("d.path").eqNullSafe(F.col("p.path"))
-    odds = F.col("evidence") + F.lit(SITE) * (_logit(F.col("path_rate")) - _logit(one))
-    quality = 1 / (1 + F.exp(-odds))
-    return scored.alias("d").join(paths.alias("p"), same).select("doc_id", "evidence", "host_rate", "path_rate", quality.alias("quality"), (quality >= keep).alias("keep"))
+    chosen = F.broadcast(some) if some.count() <= 4 * fit_rows else some
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id", "left_semi").mapInArrow(_measure, "doc_id long, features binary").join(chosen, "doc_id").select("features", "quality").collect()
+    model = fit(np.array([np.frombuffer(r[0], np.float32) for r in rows], dtype=np.float64).reshape(-1, FEATURES), np.array([r[1] for r in rows], dtype=np.float64))
+
+    site = [F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path")]
+    total, hosts, paths = site_rates(docs.select("doc_id", *site).join(known, "doc_id").select("host", "path", "quality"))
+    scored = docs.select(F.col("doc_id").cast("long"), *site, "text").mapInArrow(_score(model), "doc_id long, host string, path string, evidence double")
+    scored = scored.alias("d").join(hosts.alias("h"), F.col("d.host").eqNullSafe(F.col("h.host")), "left")
+    scored = scored.join(paths.alias("p"), F.col("d.host").eqNullSafe(F.col("p.host")) & F.col("d.path").eqNullSafe(F.col("p.path")), "left")
+    host_rate = F.coalesce("host_rate", F.lit(total))
+    path_rate = F.coalesce("path_rate", host_rate)
+    quality = 1 / (1 + F.exp(-(F.col("evidence") + _logit(path_rate) - _logit(F.lit(total)))))
+    return scored.select("doc_id", "evidence", host_rate.alias("host_rate"), path_rate.alias("path_rate"), quality.alias("quality"), (quality >= keep).alias("keep"))
