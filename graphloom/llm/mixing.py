@@ -19,7 +19,9 @@ from .common import WORD, materialize
 WEIGHTS = (5, 2, 1)
 #: A target stops at so many times the size of its source.
 EPOCHS = 3
+#: Buckets of keys at least, and rows of a bucket of one source on average at most.
 BUCKETS = 4096
+BUCKET_ROWS = 20_000
 #: A typical word has so many characters; documents far from it weigh less.
 WORD_CHARS = 6.0
 
@@ -34,9 +36,10 @@ def quality_weight(size: Column, chars: Column) -> Column:
     return F.greatest(F.lit(0.05), F.when(mean > 1, 1 / mean).otherwise(mean))
 
 
-def uniform(doc_id: Column, seed: int) -> Column:
-    """In (0, 1), from the first 48 bits of a digest of the id."""
-    digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit(""))), 256)
+def uniform(doc_id: Column, text: Column, seed: int) -> Column:
+    """In (0, 1), from the first 48 bits of a digest of the id, or of the text where there is no id."""
+    name = F.coalesce(doc_id.cast("string"), F.sha2(F.coalesce(text, F.lit("")), 256))
+    digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), name), 256)
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
 
 
@@ -69,12 +72,14 @@ def draw(docs: DataFrame, seed: int) -> DataFrame:
     """docs with ``__size`` and ``__key``; the size is a column of its own, so that texts are scanned once."""
     sized = docs.withColumn("__size", word_count(F.col("text")))
     weight = quality_weight(F.col("__size"), F.coalesce(F.char_length("text"), F.lit(0)))
-    return sized.withColumn("__key", -F.ln(uniform(F.col("doc_id"), seed)) / weight)
+    return sized.withColumn("__key", -F.ln(uniform(F.col("doc_id"), F.col("text"), seed)) / weight)
 
 
-def _shares(docs: DataFrame, weights: tuple[int, ...], epochs: int, seed: int, buckets: int) -> DataFrame:
-    slim = draw(docs, seed).select("doc_id", "source", F.col("__size").alias("size"), F.col("__key").alias("key"))
-    slim = materialize(slim.withColumn("bucket", F.floor((1 - F.exp(-F.col("key") / 4)) * buckets).cast("int")), "mix")
+def _shares(docs: DataFrame, weights: tuple[int, ...], epochs: int, seed: int, buckets: int | None) -> DataFrame:
+    slim = materialize(draw(docs, seed).select("doc_id", "source", F.col("__size").alias("size"), F.col("__key").alias("key")), "mix")
+    if buckets is None:
+        buckets = max(BUCKETS, slim.count() // BUCKET_ROWS)
+    slim = slim.withColumn("bucket", F.floor((1 - F.exp(-F.col("key") / 4)) * buckets).cast("int"))
     plans = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs)
     plans = plans.withColumn("whole", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(epochs).cast("long"))).otherwise(F.lit(0).cast("long")))
     plans = plans.withColumn("budget", F.round("target").cast("long") - F.col("whole") * F.col("source_size"))
@@ -89,22 +94,25 @@ def _shares(docs: DataFrame, weights: tuple[int, ...], epochs: int, seed: int, b
     return joined.select("doc_id", F.col("d.source").alias("source"), "key", "size", "source_size", "target", "whole", part.alias("part"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = 7, buckets: int = BUCKETS) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = 7, buckets: int | None = None) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken.
 
     ``taken`` counts words with repeats; the sum over a source is its target rounded to a whole number. Null text
-    has size 0, a null source is a source (the last), a null doc_id draws one key for all such rows, equal keys go
-    by id and size. An empty table gives no rows; columns beyond doc_id, source and text are ignored.
+    has size 0, a null source is a source (the last), rows without a doc_id draw by their text, repeated rows draw one
+    key, equal keys go by id and size. An empty table gives no rows; columns beyond doc_id, source and text are ignored.
+
+    There is one row per source in one task to share out the total; documents are sorted within a bucket of a source.
     """
     shares = _shares(docs, weights, epochs, seed, buckets)
     return shares.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).alias("taken"))
 
 
-def apply_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = 7, buckets: int = BUCKETS) -> DataFrame:
+def apply_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = 7, buckets: int | None = None) -> DataFrame:
     """The documents of the mix, in the columns of docs: one row for each complete time a document is taken.
 
     A document of which only the first m words are taken comes once more with just those words, joined by single
-    spaces; documents that the mix leaves out go. doc_id must be unique.
+    spaces; documents that the mix leaves out go. doc_id must be unique and not null; null and blank texts are never
+    taken; an empty table gives no rows.
 
     What a source takes beyond its complete epochs ends at one document, the cut. One row per source (its epochs
     and its cut) therefore settles every document, and texts meet those rows by source, without a shuffle where

@@ -69,12 +69,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: op7 again in DuckDB: the same keys, but the plain prefix sum over each whole source in place of buckets.
 OP7_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, length(text) AS chars,
+  SELECT doc_id, source, text, length(text) AS chars,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
 k AS (
   SELECT doc_id, source, size,
-         -ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0)
+         -ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, sha256(coalesce(text, '')))), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0)
          / greatest(0.05, CASE WHEN coalesce(chars, 0) / greatest(size, 1) / 6.0 > 1
              THEN 1 / (coalesce(chars, 0) / greatest(size, 1) / 6.0) ELSE coalesce(chars, 0) / greatest(size, 1) / 6.0 END) AS key
   FROM d),
