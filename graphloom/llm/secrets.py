@@ -63,9 +63,17 @@ def is_spelled(run: str, encode) -> bool:
     return sum(map(len, words)) >= SPELLED_RATIO * sum(len(encode(w.lower())) for w in words)
 
 
-@functools.lru_cache(maxsize=20_000)
+#: Answers for runs of up to so many characters are remembered.
+REMEMBERED = 128
+
+
 def is_random(run: str, ratio: float, vocabulary: str) -> bool:
     """Few characters per token, and not a form that is known to be harmless."""
+    return (_judged if len(run) <= REMEMBERED else _judged.__wrapped__)(run, ratio, vocabulary)
+
+
+@functools.lru_cache(maxsize=20_000)
+def _judged(run: str, ratio: float, vocabulary: str) -> bool:
     if NUMBER.match(run) or DIGEST.match(run) or UUID.match(run):
         return False
     encode = _fast(public_tokenizers.path(f"{vocabulary}.tiktoken")).encode_ordinary
@@ -139,6 +147,11 @@ def _redact(text_at: int, chars_at: int | None, ratio: float, vocabulary: str):
 
 
 def redact_secrets(docs: DataFrame, ratio: float = RATIO, vocabulary: str = "byte_bpe_50k") -> DataFrame:
-    """The documents with every secret replaced by its kind in brackets; n_chars follows the new text."""
+    """The documents with every secret replaced by its kind in brackets; n_chars follows the new text.
+
+    No row goes and none is added: null and empty texts, null ids and repeated rows stay as they come, an empty table
+    gives no rows, and columns beyond text and n_chars are not touched. A secret that begins inside another is part of
+    what that one hides.
+    """
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     return docs.mapInArrow(_redact(docs.columns.index("text"), chars, ratio, vocabulary), docs.schema)

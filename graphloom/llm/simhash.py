@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.components import components
 from .common import digits, materialize
@@ -224,6 +225,13 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, file: int = FIL
     return units.repartition("key", "unit").sortWithinPartitions("key", "unit").select("key", "unit", "side", "fp").mapInArrow(_compare(radius), "a long, b long").distinct()
 
 
+def _classes(marked: DataFrame, radius: int) -> DataFrame:
+    """(fp, first, root) of each distinct fingerprint of (doc_id, fp): its least doc_id and the component it is in."""
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    roots = components(fingerprint_links(least.select("fp"), radius), "a", "b")
+    return least.join(roots, least["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (the least doc_id reachable).
 
@@ -233,18 +241,45 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     doc_id and text are ignored.
     """
     marked = materialize(fingerprints(docs), "simhash")
-    least = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(fingerprint_links(least.select("fp"), radius), "a", "b")
-    joined = least.join(roots, least["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = joined.join(joined.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id")
+    classes = _classes(marked, radius)
+    named = classes.join(classes.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _with_fingerprint(text_at: int):
+    def run(batches):
+        for batch in batches:
+            values = [fingerprint(x or "") for x in batch.column(text_at).to_pylist()]
+            yield pa.record_batch([*batch.columns, pa.array(values, pa.int64())], names=[*batch.schema.names, "__fp"])
+
+    return run
+
+
 def drop_near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Keep the document of each group that names it; the columns of docs stay as they are, and so do documents
-    without an id.
+    """One row of each group of documents: the one of the least doc_id that is not null, and of the least fingerprint
+    where several texts share it. The columns of docs stay as they are.
+
+    Null and blank texts are one group; a row that repeats stays once; of a group without any id one row stays. An
+    empty table yields no rows; columns beyond doc_id and text are carried along and decide between rows that agree
+    in both.
 
-    What goes is a written table of known size: where it is small enough to broadcast, texts need no shuffle.
+    What goes is a written table of known size: where it is small enough to broadcast, texts need no shuffle. Only
+    rows whose id is null or repeats are looked at again, text by text.
     """
-    gone = materialize(simhash_groups(docs, radius).where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    marked = materialize(fingerprints(docs), "simhash")
+    classes = _classes(marked, radius)
+    place = F.struct(F.col("first").isNull().alias("none"), "first", "fp")
+    keepers = classes.groupBy("root").agg(F.min(place).alias("keeper")).select(F.col("keeper.first").alias("keeper_id"), F.col("keeper.fp").alias("keeper_fp"))
+    keepers = materialize(keepers, "keepers")
+    again = materialize(marked.groupBy("doc_id").count().where("doc_id is null or count > 1").select("doc_id"), "again")
+    stays = F.col("doc_id").eqNullSafe(F.col("keeper_id")) & (F.col("fp") == F.col("keeper_fp"))
+    gone = marked.join(keepers, stays, "left_anti").select("doc_id").union(again).distinct()
+    own = docs.where("doc_id is not null").join(materialize(gone, "copies"), "doc_id", "left_anti").select(*docs.columns)
+    if again.isEmpty():
+        return own
+    schema = T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])
+    same = F.col("d.doc_id").eqNullSafe(F.col("a.doc_id"))
+    twice = docs.alias("d").join(again.alias("a"), same, "left_semi").mapInArrow(_with_fingerprint(docs.columns.index("text")), schema)
+    twice = twice.join(keepers, F.col("doc_id").eqNullSafe(F.col("keeper_id")) & (F.col("__fp") == F.col("keeper_fp")), "left_semi")
+    one = twice.groupBy("doc_id", "__fp").agg(F.min(F.struct(*docs.columns)).alias("__row"))
+    return own.union(one.select(*[F.col("__row")[c].alias(c) for c in docs.columns]))
