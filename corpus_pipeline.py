@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm.common import materialize, table
+from graphloom.llm.common import discard, put, table
 from graphloom.llm.langid import keep_identified
 from graphloom.llm.mixing import apply_mix
 from graphloom.llm.packing import pack
@@ -13,12 +13,12 @@ from graphloom.llm.simhash import drop_near_copies
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a recognised language; the others go."""
+    """Documents in a language that the table itself teaches; the others go."""
     return keep_identified(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, and one row of each document."""
     return drop_near_copies(docs)
 
 
@@ -44,8 +44,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The pieces of all sequences; a stage's table goes as soon as the next one's is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        out = stage(spark, docs, sf_dir)
+        path = put(out, name)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     name, stage = STAGES[-1]
     return stage(spark, docs, sf_dir)
