@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import block_key, canonical_key, normalize_surface
 from ..functions.udfs import ratio
-from ..ontology import Pack, small
+from ..ontology import Pack
 from ..sources.scratch import materialize
 from .components import components
 
@@ -125,25 +125,31 @@ def exact_clusters(mentions: DataFrame) -> DataFrame:
     return mentions.withColumn("cluster_id", F.col("normalized_form"))
 
 
-def reconciled_types(clustered: DataFrame, pack: Pack | None) -> DataFrame:
-    """(cluster_id, entity_type): the most specific known type, the first declared of several, else the first seen."""
-    seen = clustered.groupBy("cluster_id", "entity_type").agg(F.min("ord").alias("first"))
-    fallback = seen.groupBy("cluster_id").agg(F.min_by("entity_type", "first").alias("__first_type"))
+def _most_specific(pack: Pack | None, types: str, first: str) -> Column:
+    """Of an array of types the most specific known one, the first declared of several, else the first seen."""
     if pack is None:
-        return fallback.withColumnRenamed("__first_type", "entity_type")
-    spark = clustered.sparkSession
-    types = small(pack.type_table(spark).select(F.col("type").alias("entity_type"), "decl_idx"), len(pack.parents))
-    known = seen.join(types, "entity_type")
-    closure = small(pack.closure_table(spark), len(pack.parents) ** 2)
-    general = seen.join(closure, F.col("entity_type") == F.col("type")).select("cluster_id", F.col("ancestor").alias("entity_type")).distinct()
-    best = known.join(general, ["cluster_id", "entity_type"], "left_anti").groupBy("cluster_id").agg(F.min_by("entity_type", "decl_idx").alias("__best"))
-    return fallback.join(best, "cluster_id", "left").select("cluster_id", F.coalesce("__best", "__first_type").alias("entity_type"))
+        return F.col(first)
+    declared = F.create_map(*[F.lit(x) for i, t in enumerate(pack.entity_types) for x in (t["type"], i)])
+    above = F.create_map(*[x for t in pack.parents for x in (F.lit(t), F.array(*map(F.lit, pack.ancestors(t))).cast("array<string>"))])
+    general = F.flatten(F.transform(types, lambda t: F.coalesce(F.element_at(above, t), F.array().cast("array<string>"))))
+    ranked = F.transform(F.filter(types, lambda t: F.element_at(declared, t).isNotNull() & ~F.array_contains(general, t)), lambda t: F.struct(F.element_at(declared, t), t.alias("type")))
+    return F.coalesce(F.array_min(ranked)["type"], F.col(first))
+
+
+def _typed(clustered: DataFrame, pack: Pack | None, *more: Column) -> DataFrame:
+    """One aggregate per cluster: a cluster has as many types as a vocabulary at most, so they are looked at together."""
+    found = clustered.groupBy("cluster_id").agg(F.collect_set("entity_type").alias("__types"), F.min_by("entity_type", "ord").alias("__first"), *more)
+    return found.withColumn("entity_type", _most_specific(pack, "__types", "__first")).drop("__types", "__first")
+
+
+def reconciled_types(clustered: DataFrame, pack: Pack | None) -> DataFrame:
+    """(cluster_id, entity_type)."""
+    return _typed(clustered, pack)
 
 
 def canonical_clusters(clustered: DataFrame, pack: Pack | None) -> DataFrame:
-    """(cluster_id, entity_type, normalized_form, canonical_key): the form is that of the first mention."""
-    forms = clustered.groupBy("cluster_id").agg(F.min_by("normalized_form", "ord").alias("normalized_form"), F.count("*").alias("n_mentions"))
-    out = forms.join(reconciled_types(clustered, pack), "cluster_id")
+    """(cluster_id, entity_type, normalized_form, n_mentions, canonical_key): the form is that of the first mention."""
+    out = _typed(clustered, pack, F.min_by("normalized_form", "ord").alias("normalized_form"), F.count("*").alias("n_mentions"))
     return out.withColumn("canonical_key", canonical_key(F.col("entity_type"), F.col("normalized_form")))
 
 
