@@ -36,11 +36,31 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789 "
 DEPTH = 3
 
 
+#: Signatures of a form at most; a block that would need more is compared as it is.
+SIGNATURES = 6
+
+
 def with_masks(forms: DataFrame) -> DataFrame:
-    """Forms with ``masks``: bit c of mask k tells whether character c comes more than k times."""
-    times = f"char_length(normalized_form) - char_length(replace(normalized_form, substring('{ALPHABET}', c + 1, 1), ''))"
-    mask = f"aggregate(sequence(0, {len(ALPHABET) - 1}), 0L, (m, c) -> m | if({times} > k, shiftleft(1L, c), 0L))"
-    return forms.withColumn("masks", F.expr(f"transform(sequence(0, {DEPTH - 1}), k -> {mask})"))
+    """Forms with ``counts`` of each character and ``masks``: bit c of mask k tells whether character c comes more than k
+    times."""
+    last = len(ALPHABET) - 1
+    counts = f"transform(sequence(0, {last}), c -> char_length(normalized_form) - char_length(replace(normalized_form, substring('{ALPHABET}', c + 1, 1), '')))"
+    mask = f"aggregate(sequence(0, {last}), 0L, (m, c) -> m | if(counts[c] > k, shiftleft(1L, c), 0L))"
+    return forms.withColumn("counts", F.expr(counts)).withColumn("masks", F.expr(f"transform(sequence(0, {DEPTH - 1}), k -> {mask})"))
+
+
+def _keyed(forms: DataFrame, floor: float) -> DataFrame:
+    """Forms with ``key``, once for each key: similar forms of a block have one in common.
+
+    Of two strings of n characters in all at most n (1 - floor) are unmatched. If the alphabet falls into more groups
+    than that, then in one of them both strings have the same characters, as often. A block whose longest form would
+    need more than ``SIGNATURES`` groups has one key for all.
+    """
+    named = with_masks(forms.where("normalized_form <> ''"))
+    longest = named.groupBy("block").agg((F.floor(F.max(F.char_length("normalized_form")) * (2 * (1 - floor)) + 1e-9) + 1).cast("int").alias("__groups"))
+    signature = "transform(sequence(0, __groups - 1), g -> xxhash64(g, filter(counts, (x, c) -> c % __groups = g)))"
+    keys = F.expr(f"if(__groups > {SIGNATURES}, array(0L), {signature})")
+    return named.join(longest, "block").withColumn("key", F.explode(keys)).drop("counts", "__groups")
 
 
 def _missing(a: str, b: str):
@@ -49,25 +69,26 @@ def _missing(a: str, b: str):
 
 
 def fuzzy_pairs(forms: DataFrame, floor: float = FLOOR, ceiling: float = CEILING) -> DataFrame:
-    """(form_a, form_b, score, verdict) of different forms of a block that are not certain to be apart.
+    """(block, form_a, form_b, score, verdict) of different forms of a block that are not certain to be apart.
 
     The similarity depends on the order of its arguments, and a pair is compared in the order of its mentions; if
     mentions of both forms come in either order, both are computed and either may accept.
 
     The similarity is twice the matched characters over all characters, and no more match than both strings have,
-    nor any without a partner. Pairs that this keeps below the floor never reach Python.
+    nor any without a partner. Pairs that this keeps below the floor never reach Python, and where the floor is high
+    most are not even made.
     """
-    named = with_masks(forms.where("normalized_form <> ''"))
-    sizes = named.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_CHUNK).cast("int").alias("__chunks"))
-    chunked = named.join(sizes, "block").withColumn("__own", F.pmod(F.xxhash64("normalized_form"), F.col("__chunks")).cast("int"))
-    a = chunked.select("block", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__to"), F.col("__own").alias("__from"), F.col("normalized_form").alias("form_a"), F.col("min_ord").alias("a_min"), F.col("masks").alias("a_masks"))
-    b = chunked.select("block", F.col("__own").alias("__to"), F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__from"), F.col("normalized_form").alias("form_b"), F.col("max_ord").alias("b_max"), F.col("masks").alias("b_masks"))
+    named = _keyed(forms, floor)
+    sizes = named.groupBy("block", "key").agg(F.ceil(F.count("*") / BLOCK_CHUNK).cast("int").alias("__chunks"))
+    chunked = named.join(sizes, ["block", "key"]).withColumn("__own", F.pmod(F.xxhash64("normalized_form"), F.col("__chunks")).cast("int"))
+    a = chunked.select("block", "key", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__to"), F.col("__own").alias("__from"), F.col("normalized_form").alias("form_a"), F.col("min_ord").alias("a_min"), F.col("masks").alias("a_masks"))
+    b = chunked.select("block", "key", F.col("__own").alias("__to"), F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__from"), F.col("normalized_form").alias("form_b"), F.col("max_ord").alias("b_max"), F.col("masks").alias("b_masks"))
     # Direction (a, b) occurs if some mention of a comes before some mention of b.
-    pairs = a.join(b, ["block", "__from", "__to"]).where((F.col("form_a") != F.col("form_b")) & (F.col("a_min") < F.col("b_max")))
+    pairs = a.join(b, ["block", "key", "__from", "__to"]).where((F.col("form_a") != F.col("form_b")) & (F.col("a_min") < F.col("b_max")))
     la, lb = F.char_length("form_a"), F.char_length("form_b")
     most = F.least(la - _missing("a_masks", "b_masks"), lb - _missing("b_masks", "a_masks"))
     pairs = pairs.where(2 * most / (la + lb) >= floor)
-    scored = pairs.select("block", "form_a", "form_b", ratio(F.col("form_a"), F.col("form_b")).alias("score")).where(F.col("score") >= floor)
+    scored = pairs.select("block", "form_a", "form_b", ratio(F.col("form_a"), F.col("form_b")).alias("score")).where(F.col("score") >= floor).distinct()
     return scored.withColumn("verdict", F.when(F.col("score") >= ceiling, "accept").otherwise("ambiguous"))
 
 

@@ -674,6 +674,19 @@ def test_masks_bound_the_similarity(spark):
         assert ratio_of(r.x, r.y) <= 2 * most / (len(r.x) + len(r.y)) + 1e-12
 
 
+def test_keys_lose_no_pair(spark):
+    rng = random.Random(8)
+    forms = {"".join(rng.choice("ab1 2") for _ in range(rng.randrange(1, 30))).strip() or "a" for _ in range(60)}
+    for form in list(forms)[:30]:
+        at = rng.randrange(len(form))
+        forms |= {form[:at] + form[at + 1 :] or "b", form[:at] + "z" + form[at:], form[::-1]}
+    forms = sorted(f for f in forms if f == f.strip())
+    frame = spark.createDataFrame([("tok:x", f, k, k, 1) for k, f in enumerate(forms)], "block string, normalized_form string, min_ord int, max_ord int, n_mentions int")
+    for floor in (0.8, 0.93, 0.95, 0.97):
+        got = {(r.form_a, r.form_b): r.score for r in canon.fuzzy_pairs(frame, floor).collect()}
+        assert got == {(a, b): ratio_of(a, b) for i, a in enumerate(forms) for b in forms[i + 1 :] if ratio_of(a, b) >= floor}
+
+
 def test_upsert_and_resolve(spark):
     old = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x")], "k string, n int, v string")
     new = spark.createDataFrame([("a", 1, "y"), ("a", 2, "z"), ("c", 0, "w")], "k string, n int, v string")
