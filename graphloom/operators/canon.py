@@ -78,7 +78,7 @@ def fuzzy_pairs(forms: DataFrame, floor: float = FLOOR, ceiling: float = CEILING
     nor any without a partner. Pairs that this keeps below the floor never reach Python, and where the floor is high
     most are not even made.
     """
-    named = _keyed(forms, floor)
+    named = materialize(_keyed(forms, floor), "keyed")
     sizes = named.groupBy("block", "key").agg(F.ceil(F.count("*") / BLOCK_CHUNK).cast("int").alias("__chunks"))
     chunked = named.join(sizes, ["block", "key"]).withColumn("__own", F.pmod(F.xxhash64("normalized_form"), F.col("__chunks")).cast("int"))
     a = chunked.select("block", "key", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__to"), F.col("__own").alias("__from"), F.col("normalized_form").alias("form_a"), F.col("min_ord").alias("a_min"), F.col("masks").alias("a_masks"))

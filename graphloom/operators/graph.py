@@ -30,10 +30,11 @@ def affected_triples(edges: DataFrame, entities: DataFrame, batch: DataFrame) ->
 
     Edges are narrowed to those of the batch before anything else is joined, and entities to the ends of those.
     """
-    own = batch.select(F.col("entity_uid").alias("__uid")).distinct()
-    out = edges.join(own, F.col("src_entity_uid") == F.col("__uid"), "left_semi")
-    into = edges.join(own, F.col("dst_entity_uid") == F.col("__uid"), "left_semi")
-    near = materialize(out.union(into).select("src_entity_uid", "relation_type", "dst_entity_uid").distinct(), "near")
+    own = batch.select("entity_uid").distinct()
+    near = edges.select("src_entity_uid", "relation_type", "dst_entity_uid")
+    for end in ("src", "dst"):
+        near = near.join(own.select(F.col("entity_uid").alias(f"{end}_entity_uid"), F.lit(True).alias(f"__{end}")), f"{end}_entity_uid", "left")
+    near = materialize(near.where("__src or __dst").drop("__src", "__dst"), "near")
     known = entities.where("canonical_id is not null").join(_ends(near, "entity_uid", "entity_uid"), "entity_uid", "left_semi")
     return contributing(near, known).select(*TRIPLE).distinct()
 

@@ -46,9 +46,9 @@ def first_valid(responses: DataFrame) -> DataFrame:
     """
     retried = F.col("error_code").isNull() | F.col("error_code").isin(*TOOL_ERRORS)
     usable = F.col("body").isNotNull() & F.col("error_code").isNull() & F.try_parse_json("body").isNotNull() & (F.col("attempt") <= 2)
-    best = F.min_by(F.when(usable, F.col("body")), F.when(usable, F.col("attempt")))
+    best = F.min_by(F.when(F.col("__usable"), F.col("body")), F.when(F.col("__usable"), F.col("attempt")))
     hard = F.coalesce(F.bool_or((F.col("attempt") == 1) & ~retried), F.lit(False))
-    found = responses.groupBy("chunk_id", "mode", "run_idx", "batch_no").agg(best.alias("body"), hard.alias("__hard"))
+    found = responses.withColumn("__usable", usable).groupBy("chunk_id", "mode", "run_idx", "batch_no").agg(best.alias("body"), hard.alias("__hard"))
     return found.withColumn("body", F.when(~F.col("__hard"), F.col("body"))).drop("__hard").withColumn("failed", F.col("body").isNull())
 
 
