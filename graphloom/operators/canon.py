@@ -36,8 +36,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789 "
 DEPTH = 3
 
 
-#: Signatures of a form at most; a block that would need more is compared as it is.
-SIGNATURES = 6
+#: Signatures of a form at most; with more, pairs meet so often that a block is better compared as it is.
+SIGNATURES = 3
 
 
 def with_masks(forms: DataFrame) -> DataFrame:
