@@ -50,17 +50,26 @@ def with_masks(forms: DataFrame) -> DataFrame:
 
 
 def _keyed(forms: DataFrame, floor: float) -> DataFrame:
-    """Forms with ``key``, once for each key: similar forms of a block have one in common.
+    """Forms with ``key``, once for each key, and ``role``: similar forms of a block have a key in common, and roles of
+    0 both or of 1 and 2.
 
     Of two strings of n characters in all at most n (1 - floor) are unmatched. If the alphabet falls into more groups
     than that, then in one of them both strings have the same characters, as often. A block whose longest form would
     need more than ``SIGNATURES`` groups has one key for all.
+
+    In a block where only one character may be unmatched, a similar form is the other without one of its characters:
+    keys are the form itself (role 1) and what it is without each of them (role 2), as far as the block has forms of
+    such a length.
     """
     named = with_masks(forms.where("normalized_form <> ''"))
-    longest = named.groupBy("block").agg((F.floor(F.max(F.char_length("normalized_form")) * (2 * (1 - floor)) + 1e-9) + 1).cast("int").alias("__groups"))
+    most = F.max(F.char_length("normalized_form")) * (2 * (1 - floor)) + 1e-9
+    longest = named.groupBy("block").agg((F.floor(most) + 1).cast("int").alias("__groups"), F.collect_set(F.char_length("normalized_form")).alias("__lengths"))
     signature = "transform(sequence(0, __groups - 1), g -> xxhash64(g, filter(counts, (x, c) -> c % __groups = g)))"
-    keys = F.expr(f"if(__groups > {SIGNATURES}, array(0L), {signature})")
-    return named.join(longest, "block").withColumn("key", F.explode(keys)).drop("counts", "__groups")
+    without = "array_distinct(transform(sequence(1, char_length(normalized_form)), i -> xxhash64(concat(substring(normalized_form, 1, i - 1), substring(normalized_form, i + 1)))))"
+    one = f"""concat(if(array_contains(__lengths, char_length(normalized_form) + 1), array(struct(xxhash64(normalized_form) as key, 1 as role)), array()),
+        if(array_contains(__lengths, char_length(normalized_form) - 1), transform({without}, k -> struct(k as key, 2 as role)), array()))"""
+    keys = F.expr(f"if(__groups <= 2, {one}, transform(if(__groups > {SIGNATURES}, array(0L), {signature}), k -> struct(k as key, 0 as role)))")
+    return named.join(longest, "block").withColumn("__key", F.explode(keys)).select("*", "__key.key", "__key.role").drop("counts", "__groups", "__lengths", "__key")
 
 
 def _missing(a: str, b: str):
@@ -79,12 +88,12 @@ def fuzzy_pairs(forms: DataFrame, floor: float = FLOOR, ceiling: float = CEILING
     most are not even made.
     """
     named = materialize(_keyed(forms, floor), "keyed")
-    sizes = named.groupBy("block", "key").agg(F.ceil(F.count("*") / BLOCK_CHUNK).cast("int").alias("__chunks"))
+    sizes = named.groupBy("block", "key").agg(F.ceil(F.count("*") / BLOCK_CHUNK).cast("int").alias("__chunks"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
     chunked = named.join(sizes, ["block", "key"]).withColumn("__own", F.pmod(F.xxhash64("normalized_form"), F.col("__chunks")).cast("int"))
-    a = chunked.select("block", "key", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__to"), F.col("__own").alias("__from"), F.col("normalized_form").alias("form_a"), F.col("min_ord").alias("a_min"), F.col("masks").alias("a_masks"))
-    b = chunked.select("block", "key", F.col("__own").alias("__to"), F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__from"), F.col("normalized_form").alias("form_b"), F.col("max_ord").alias("b_max"), F.col("masks").alias("b_masks"))
+    a = chunked.select("block", "key", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__to"), F.col("__own").alias("__from"), F.col("normalized_form").alias("form_a"), F.col("min_ord").alias("a_min"), F.col("role").alias("a_role"), F.col("masks").alias("a_masks"))
+    b = chunked.select("block", "key", F.col("__own").alias("__to"), F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("__from"), F.col("normalized_form").alias("form_b"), F.col("max_ord").alias("b_max"), F.col("role").alias("b_role"), F.col("masks").alias("b_masks"))
     # Direction (a, b) occurs if some mention of a comes before some mention of b.
-    pairs = a.join(b, ["block", "key", "__from", "__to"]).where((F.col("form_a") != F.col("form_b")) & (F.col("a_min") < F.col("b_max")))
+    pairs = a.join(b, ["block", "key", "__from", "__to"]).where((F.col("form_a") != F.col("form_b")) & (F.col("a_min") < F.col("b_max")) & ((F.col("a_role") != F.col("b_role")) | (F.col("a_role") == 0)))
     la, lb = F.char_length("form_a"), F.char_length("form_b")
     most = F.least(la - _missing("a_masks", "b_masks"), lb - _missing("b_masks", "a_masks"))
     pairs = pairs.where(2 * most / (la + lb) >= floor)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,16 +18,22 @@ from ..sources.scratch import materialize
 class Batch:
     entities: DataFrame
     index: DataFrame
-    edges: DataFrame
+    refresh: Callable[[], DataFrame]
     counts: DataFrame
 
+    @cached_property
+    def edges(self) -> DataFrame:
+        """The canonical edges, brought up to date when they are first asked for."""
+        return self.refresh()
 
-def canonicalize(entities: DataFrame, mention_edges: DataFrame, index: DataFrame, edges: DataFrame, folders: list[str] | None, adjudications: DataFrame | None = None, policy: str = "fail", fuzzy: bool = True, floor: float = canon.FLOOR, ceiling: float = canon.CEILING) -> Batch:
+
+def canonicalize(entities: DataFrame, mention_edges: DataFrame, index: DataFrame, edges: DataFrame | Callable[[], DataFrame], folders: list[str] | None, adjudications: DataFrame | None = None, policy: str = "fail", fuzzy: bool = True, floor: float = canon.FLOOR, ceiling: float = canon.CEILING) -> Batch:
     """All tables after the batch of folders (None: all). Only staged mentions of the folders are clustered; entities of earlier batches are
     met again by their exact key. Doing a batch over changes nothing: nothing of it is staged any more.
 
     Where nobody is asked (no adjudications, policy ``reject``), ambiguous pairs all come apart, and only pairs at the
-    ceiling are looked for.
+    ceiling are looked for. Edges are the last thing to be refreshed, and only if somebody wants them; those so far may
+    come as a function.
     """
     mentions = materialize(canon.with_forms(canon.staged(entities, folders).drop("normalized_form", "canonical_id")), "mentions")
     pack = load_pack(canon.batch_pack(mentions, None))
@@ -37,7 +45,11 @@ def canonicalize(entities: DataFrame, mention_edges: DataFrame, index: DataFrame
         clustered = canon.exact_clusters(mentions)
     resolved = materialize(canon.resolve_or_mint(canon.canonical_clusters(clustered, pack), index), "resolved")
     after = materialize(canon.promoted(entities, clustered, resolved), "entities")
-    return Batch(after, canon.extended_index(index, resolved), graph.refresh_edges(edges, mention_edges, after, clustered), canon.batch_counts(resolved))
+
+    def refresh() -> DataFrame:
+        return graph.refresh_edges(edges() if callable(edges) else edges, mention_edges, after, clustered)
+
+    return Batch(after, canon.extended_index(index, resolved), refresh, canon.batch_counts(resolved))
 
 
 def empty_index(spark) -> DataFrame:

@@ -518,6 +518,16 @@ def test_cluster_gives_its_form(spark):
     assert [(r.entity_type, r.normalized_form) for r in done.index.collect()] == [("Supplier", "acme northern trading partners")]
 
 
+def test_forms_of_one_length_that_must_be_equal_are_not_paired(spark):
+    """Numbered names are of one length: at the ceiling none has a partner, however many there are."""
+    names = [f"customer {k:09d}" for k in range(50)]
+    forms = spark.createDataFrame([(f, k, k) for k, f in enumerate(names)], "normalized_form string, min_ord long, max_ord long").withColumn("block", F.lit("tok:customer"))
+    assert canon._keyed(forms, canon.CEILING).count() == 0
+    more = forms.union(spark.createDataFrame([("customer 00000004", 60, 60, "tok:customer")], "normalized_form string, min_ord long, max_ord long, block string"))
+    pairs = canon.fuzzy_pairs(more, canon.CEILING).collect()
+    assert {(r.form_a, r.form_b) for r in pairs} == {(n, "customer 00000004") for n in names if any(n[:i] + n[i + 1 :] == "customer 00000004" for i in range(len(n)))}
+
+
 def test_history_is_narrowed_before_it_is_joined(spark):
     """Edges and entities of history meet the batch in semi-joins first."""
     entities = spark.createDataFrame([("u", "c")], "entity_uid string, canonical_id string")
@@ -563,6 +573,32 @@ def test_batches(spark):
     assert rows[-1].cypher.startswith("MATCH (a {canonical_id: $src}), (b {canonical_id: $dst}) MERGE (a)-[r:`r`]->(b)")
 
 
+def test_edges_are_refreshed_only_when_asked_for(spark, monkeypatch):
+    entities = mention_rows(spark, [("f", "Supplier", "Acme Ltd"), ("g", "Place", "Paris")])
+    calls = []
+    monkeypatch.setattr(graph, "refresh_edges", lambda *a: calls.append(a) or a[0])
+    batch = plan.canonicalize(entities, None, plan.empty_index(spark), lambda: "so far", None)
+    assert batch.counts.first().minted_count == 2 and not calls
+    assert batch.edges == batch.edges == "so far" and len(calls) == 1
+
+
+def test_edges_do_not_travel_with_their_uids(spark, monkeypatch):
+    """However ends are looked up, nulls and strangers find nothing, and no shuffle of edges holds a uid."""
+    rows = [("f", k, "r", s, d, 0.5, "e") for k, (s, d) in enumerate([("u", "v"), ("v", "w"), ("w", "w"), ("u", "z"), (None, "u"), ("w", None)])]
+    edges = spark.createDataFrame(rows, "folder_id string, ord long, relation_type string, src_entity_uid string, dst_entity_uid string, confidence double, evidence_text string")
+    entities = spark.createDataFrame([("u", "c1"), ("v", "c1"), ("w", "c2"), (None, "c3"), ("z", None)], "entity_uid string, canonical_id string")
+    for most in (500_000, 0):
+        monkeypatch.setattr(graph, "END_ROWS", most)
+        found = {(r.src_canonical_id, r.dst_canonical_id) for r in graph.canonical_edges(edges, entities).collect()}
+        assert found == {("c1", "c1"), ("c1", "c2"), ("c2", "c2")}
+        near = graph.canonical_edges(edges, entities, spark.createDataFrame([("v",)], "entity_uid string"))
+        assert {(r.src_canonical_id, r.dst_canonical_id) for r in near.collect()} == {("c1", "c1"), ("c1", "c2")}
+    kept = sinks.resolve_written(edges, entities.select("entity_uid"))
+    assert sorted(r.ord for r in kept.collect()) == [0, 1, 2, 3]
+    plan_lines = kept.groupBy("folder_id").count()._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not [x for x in plan_lines if "Join" in x and "entity_uid" in x]
+
+
 def test_edge_aggregation(spark):
     rows = [("f", k, "a", "r", "b", c, e) for k, (c, e) in enumerate([(0.1, "p"), (0.9, "q"), (None, "r"), (0.9, "s"), (0.5, "q"), (0.95, "")])] + [("", 9, "a", "r", "b", None, None), ("g", 10, "x", "r", "y", None, None)]
     got = {r.src_canonical_id: r for r in graph.aggregate_edges(spark.createDataFrame(rows, "folder_id string, ord long, src_canonical_id string, relation_type string, dst_canonical_id string, confidence double, evidence_text string")).collect()}
