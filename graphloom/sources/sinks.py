@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import digest
 from .scratch import discard, put
 
 log = logging.getLogger(__name__)
@@ -37,9 +38,17 @@ def upsert(current: DataFrame, new: DataFrame, key: list[str], order: str) -> Da
 
 
 def resolve_written(edges: DataFrame, entities: DataFrame) -> DataFrame:
-    """Edges both of whose ends were written."""
-    written = entities.select(F.col("entity_uid").alias("__uid")).distinct()
-    return edges.join(written, F.col("src_entity_uid") == F.col("__uid"), "left_semi").join(written, F.col("dst_entity_uid") == F.col("__uid"), "left_semi")
+    """Edges both of whose ends were written.
+
+    Rows meet by digests of the uids, so that of an edge only what is wanted of it is shuffled beside 16 bytes an end.
+    """
+    columns, known = edges.columns, entities.where("entity_uid is not null").select(*(c.alias(n) for c, n in zip(digest("entity_uid"), ("__h1", "__h2"), strict=True)))
+    for end in ("src", "dst"):
+        uid = f"{end}_entity_uid"
+        edges = edges.where(F.col(uid).isNotNull()).withColumns(dict(zip((f"__{end}1", f"__{end}2"), digest(uid), strict=True)))
+    for end in ("src", "dst"):
+        edges = edges.join(known.hint("shuffle_hash"), (F.col(f"__{end}1") == F.col("__h1")) & (F.col(f"__{end}2") == F.col("__h2")), "left_semi")
+    return edges.select(*columns)
 
 
 def write_statements(statements: DataFrame, writer: Callable[[Iterator[Row]], None]) -> int:
