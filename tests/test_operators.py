@@ -688,6 +688,36 @@ def test_stability(spark):
 # --- odds and ends ----------------------------------------------------------------------------------------------
 
 
+def test_relaxed_scores_take_chunks_as_they_come(spark):
+    """Chunks of a partition are scored one after the other, not as groups of their own; counts are those of the plain way."""
+    rng = random.Random(3)
+    words = ["Northern", "Norther", "northern", "Southern", "Southen", "East"]
+    rows = lambda n: [(f"c{rng.randrange(12)}", k, rng.choice("AB"), rng.choice(words)) for k in range(n)]
+    gold, found = rows(120), rows(100)
+    want = {}
+    left = list(gold)
+    for c, _, kind, surface in found:
+        hit = next((g for g in left if (g[0], g[2]) == (c, kind) and quality.surface_matches(g[3], surface)), None)
+        want.setdefault(kind, [0, 0, 0])[0 if hit else 1] += 1
+        if hit:
+            left.remove(hit)
+    for g in left:
+        want.setdefault(g[2], [0, 0, 0])[2] += 1
+    schema = "chunk_id string, ord int, entity_type string, surface_form string"
+    out = quality.relaxed_entity_f1(spark.createDataFrame(found, schema), spark.createDataFrame(gold, schema))
+    assert {r.kind: [r.tp, r.fp, r.fn] for r in out.collect() if r.kind != "(all)"} == want
+    assert "CoGroup" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_prompts_of_pairs_shuffle_no_text(spark):
+    lines = chunk_rows(spark, ["Ann is at Acme. x Acme"])
+    pairs = spark.createDataFrame([("c0", 0, k, "Ann", "Person", "Acme", "Supplier", (0, 0, 15), ["works_for"]) for k in range(3)], "chunk_id string, batch_no int, pair_index int, src_surface string, src_type string, dst_surface string, dst_type string, sentence struct<sent_idx:int,start:int,end:int>, allowed array<string>")
+    out = rel.pair_prompts(pairs, lines)
+    assert out.first()["user"].split("\n")[2:] == [f"{k}. Ann (Person) -> Acme (Supplier) in: Ann is at Acme.; one of: works_for, no_relation" for k in range(3)]
+    steps = out._jdf.queryExecution().optimizedPlan().toString()
+    assert steps.index("Join") < steps.index("Aggregate")
+
+
 def test_sources(spark):
     from graphloom.config import lookup
 
