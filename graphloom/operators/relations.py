@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import edge_uid, grounded, strip
 from ..ontology import Pack, small
+from ..sources.scratch import materialize
 from .entities import _columns, spans_of
 
 #: Confidence is read as text, so that a number in quotes survives.
@@ -232,13 +233,29 @@ def scoped_prompts(entities: DataFrame, chunks: DataFrame) -> DataFrame:
     return joined.select("folder_id", "chunk_id", "n_entities", _after(F.lit("ENTITIES:"), F.array_join(F.transform("__lines", lambda x: x["line"]), "\n"), F.lit(""), F.lit("TEXT:"), F.col("text")).alias("user"))
 
 
+#: Calls of a chunk whose prompts one task writes at most; a chunk of many pairs is written by many tasks.
+SLICE = 64
+
+
 def pair_prompts(batched: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Requests of the classify mode: numbered pairs with their sentence and choices."""
-    lines = batched.join(chunks.select("chunk_id", F.col("text").alias("__text")), "chunk_id")
-    sentence = F.substring(F.col("__text"), F.col("sentence.start") + 1, F.col("sentence.end") - F.col("sentence.start"))
-    line = F.format_string("%d. %s (%s) -> %s (%s) in: %s; one of: %s, no_relation", "pair_index", "src_surface", "src_type", "dst_surface", "dst_type", sentence, F.array_join("allowed", ", "))
-    ordered = F.array_sort(F.collect_list(F.struct("pair_index", line.alias("line"))))
-    return lines.groupBy("chunk_id", "batch_no").agg(_after(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")).alias("user"))
+    """Requests of the classify mode: numbered pairs with their sentence and choices.
+
+    The pairs of a call come together without any text; that of their chunk is joined last, once for each ``SLICE`` of
+    its calls, and cut where it is needed. So no sentence is shuffled once for each of its pairs.
+    """
+    pair = F.struct("pair_index", "src_surface", "src_type", "dst_surface", "dst_type", F.col("sentence.start").alias("start"), F.col("sentence.end").alias("end"), F.array_join("allowed", ", ").alias("choices"))
+    called = batched.groupBy("chunk_id", "batch_no").agg(F.array_sort(F.collect_list(pair)).alias("__pairs"))
+    called = materialize(called.withColumn("__slice", F.floor(F.col("batch_no") / SLICE).cast("int")), "calls")
+    slices = called.select("chunk_id", "__slice").distinct()
+    texts = chunks.select("chunk_id", F.col("text").alias("__text")).join(slices, "chunk_id")
+
+    def line(p: Column) -> Column:
+        sentence = F.substring(F.col("__text"), p["start"] + 1, p["end"] - p["start"])
+        parts = [p["pair_index"].cast("string"), F.lit(". "), p["src_surface"], F.lit(" ("), p["src_type"], F.lit(") -> "), p["dst_surface"], F.lit(" ("), p["dst_type"], F.lit(") in: "), sentence, F.lit("; one of: "), p["choices"], F.lit(", no_relation")]
+        return F.concat(*(F.coalesce(x, F.lit("null")) for x in parts))
+
+    # Both sides are small beside what is made of them: they are dealt out, never broadcast.
+    return called.join(texts.hint("merge"), ["chunk_id", "__slice"]).select("chunk_id", "batch_no", _after(F.array_join(F.transform("__pairs", line), "\n")).alias("user"))
 
 
 def usage_totals(usage: DataFrame) -> DataFrame:

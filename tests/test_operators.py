@@ -709,13 +709,17 @@ def test_relaxed_scores_take_chunks_as_they_come(spark):
     assert "CoGroup" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_prompts_of_pairs_shuffle_no_text(spark):
-    lines = chunk_rows(spark, ["Ann is at Acme. x Acme"])
-    pairs = spark.createDataFrame([("c0", 0, k, "Ann", "Person", "Acme", "Supplier", (0, 0, 15), ["works_for"]) for k in range(3)], "chunk_id string, batch_no int, pair_index int, src_surface string, src_type string, dst_surface string, dst_type string, sentence struct<sent_idx:int,start:int,end:int>, allowed array<string>")
+def test_prompts_of_a_chunk_are_written_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(rel, "SLICE", 1)
+    lines = chunk_rows(spark, ["Ann is at Acme. x Acme", "other"])
+    schema = "chunk_id string, batch_no int, pair_index int, src_surface string, src_type string, dst_surface string, dst_type string, sentence struct<sent_idx:int,start:int,end:int>, allowed array<string>"
+    pairs = spark.createDataFrame([("c0", n, k, "Ann", "Person", "Acme", "Supplier", (0, 0, 15), ["works_for"]) for n in range(3) for k in range(3)], schema)
     out = rel.pair_prompts(pairs, lines)
-    assert out.first()["user"].split("\n")[2:] == [f"{k}. Ann (Person) -> Acme (Supplier) in: Ann is at Acme.; one of: works_for, no_relation" for k in range(3)]
-    steps = out._jdf.queryExecution().optimizedPlan().toString()
-    assert steps.index("Join") < steps.index("Aggregate")
+    rows = out.collect()
+    assert sorted(r.batch_no for r in rows) == [0, 1, 2]
+    for r in rows:
+        assert r.user.split("\n")[2:] == [f"{k}. Ann (Person) -> Acme (Supplier) in: Ann is at Acme.; one of: works_for, no_relation" for k in range(3)]
+    assert "__slice" in next(x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x)
 
 
 def test_sources(spark):
