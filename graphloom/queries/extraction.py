@@ -69,7 +69,8 @@ def pronoun_filter(spark, sf_dir):
 
 
 def guardrail_screen(spark, sf_dir):
-    found = ent.closed_vocabulary(inp.candidates(spark, sf_dir), load_pack(PACK))
+    # Counts, verdicts and the rows themselves start from one scan of the texts.
+    found = materialize(ent.closed_vocabulary(inp.candidates(spark, sf_dir), load_pack(PACK)), "candidates")
     verdicts = found.where((F.col("folder_id") != "src3") | (F.col("ord.match") > 0)).select("folder_id", "ord", (F.col("ord.match") % 5 != 0).alias("allowed"))
     kept = ent.screened(found, verdicts)
     return kept.select("folder_id", "chunk_id", *_ordered(kept), "surface_form")
@@ -262,7 +263,9 @@ def preview(spark, sf_dir):
 
 
 def preview_edges(spark, sf_dir):
-    return preview_relations(rel.merge_edges(_edge_rows(spark, sf_dir)), _llm_entities(spark, sf_dir))
+    entities, valid = _parsed(spark, sf_dir)
+    entities = materialize(entities, "entities")
+    return preview_relations(rel.merge_edges(rel.build_edges(valid.where("grounded"), entities)), entities)
 
 
 def request_plan(spark, sf_dir):

@@ -722,6 +722,15 @@ def test_prompts_of_a_chunk_are_written_in_slices(spark, monkeypatch):
     assert "__slice" in next(x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x)
 
 
+def test_texts_are_scanned_once(spark):
+    """What is compared with itself further on starts from what was found, not from the texts again."""
+    from graphloom.queries import extraction
+
+    for query, step in ((extraction.guardrail_screen, "MapInArrow"), (extraction.preview_edges, "parse_json")):
+        out = query(spark, "/root/testdata/sf0.001")
+        assert step not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_sources(spark):
     from graphloom.config import lookup
 
