@@ -7,6 +7,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -779,3 +780,41 @@ def test_statements_carry_sorted_json(spark):
     nodes = spark.createDataFrame([("id", "Legal Entity", "acme", ["g", "f"], 2)], "canonical_id string, entity_type string, normalized_form string, folder_ids array<string>, mention_count long")
     row = graph.node_statements(nodes).select("cypher", F.get_json_object("params", "$.provenance").alias("p")).first()
     assert "`Legal_Entity`" in row.cypher and row.p == '{"folder_ids": ["g", "f"], "mention_count": 2}'
+
+
+def test_many_ratios_are_those_of_difflib():
+    from graphloom.functions import similar
+
+    rng = random.Random(11)
+    texts = ["", "a", "aa", "é", "né", "x" * 150, "x" * 149 + "y"]
+    texts += ["".join(rng.choice("ab c") for _ in range(rng.randrange(1, 14))) for _ in range(60)]
+    texts += ["with " + "".join(rng.choice("aeinorst") for _ in range(rng.randrange(1, 9))) for _ in range(60)]
+    forms = similar.Forms(texts)
+    n = len(texts)
+    for floor in (0.6, 0.8, 0.95):
+        i, j = (x.ravel() for x in np.meshgrid(np.arange(n), np.arange(n), indexing="ij"))
+        exact = [ratio_of(texts[x], texts[y]) for x, y in zip(i, j, strict=True)]
+        got = similar.ratios(forms, forms, i, j, floor)
+        assert all(g == e if e >= floor else g < floor for g, e in zip(got, exact, strict=True))
+        for cut in (1 << 17, 64):  # taken together, and each run on its own
+            similar.PAIRS, before = cut, similar.PAIRS
+            try:
+                runs = np.array([[0, 40], [40, 43], [43, n]])
+                met = {(x, y) for a, b in similar.close(forms, forms, runs, runs, floor) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
+            finally:
+                similar.PAIRS = before
+            run = np.searchsorted([40, 43], np.arange(n), side="right")
+            assert met >= {(x, y) for x, y, e in zip(i.tolist(), j.tolist(), exact, strict=True) if x < y and run[x] == run[y] and e >= floor}
+
+
+def test_fuzzy_pairs_come_once_in_few_shuffled_columns(spark):
+    """Similar forms have several keys in common; pairs are not made distinct afterwards, and rows carry no masks."""
+    forms = ["acme a", "acme b", "acme ab", "acmeab", "acme", "acme ba"]
+    rows = [(f.split()[0], f, (k, 0), (k, 0)) for k, f in enumerate(forms)]
+    frame = spark.createDataFrame(rows, "block string, normalized_form string, min_ord struct<a:long,b:int>, max_ord struct<a:long,b:int>")
+    found = canon.fuzzy_pairs(frame, 0.8)
+    got = [(r.form_a, r.form_b, r.score) for r in found.collect()]
+    want = [(a, b, ratio_of(a, b)) for i, a in enumerate(forms) for b in forms[i + 1 :] if a.split()[0] == b.split()[0] and ratio_of(a, b) >= 0.8]
+    assert sorted(got) == sorted(want) and len(want) > 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "masks" not in plan and "Aggregate" not in plan.split("MapInArrow")[0]
