@@ -818,3 +818,26 @@ def test_fuzzy_pairs_come_once_in_few_shuffled_columns(spark):
     assert sorted(got) == sorted(want) and len(want) > 3
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "masks" not in plan and "Aggregate" not in plan.split("MapInArrow")[0]
+
+
+def test_links_come_down_to_a_forest(spark):
+    from graphloom.operators.components import components, spanning
+
+    links = [(f"{g}{i:02d}", f"{g}{j:02d}") for g in "abc" for i in range(30) for j in range(30)]
+    frame = spark.createDataFrame(links, "x string, y string").repartition(4)
+    forest = spanning(frame, "x", "y")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert forest.count() <= 3 * 29 * tasks and forest.count() < len(links) / 2
+    assert {r.node: r.root for r in components(forest, "x", "y").collect()} == {x: f"{x[0]}00" for x, _ in links}
+    assert spanning(frame.where("x = y"), "x", "y").count() == 0
+
+
+def test_answers_are_shuffled_without_uids(spark):
+    own = spark.createDataFrame([(f"u{k}", k, f"f{k}") for k in range(4)], "entity_uid string, ord long, normalized_form string")
+    told = spark.createDataFrame([("u0", "u1", " Yes"), ("u1", "u2", "no"), ("u3", "u2", "yes"), ("u0", "u9", "yes"), ("u0", "u3", None), (None, "u1", "yes"), ("u1", "u2", "y")], "a_uid string, b_uid string, answer string")
+    found = canon.answered(told, own)
+    assert {(r.form_a, r.form_b, r.yes) for r in found.collect()} == {("f0", "f1", True), ("f1", "f2", True)}
+    pairs = spark.createDataFrame([("f0", "f1", "ambiguous"), ("f2", "f3", "ambiguous"), ("f1", "f3", "accept")], "form_a string, form_b string, verdict string")
+    assert {tuple(r) for r in canon.adjudicated(pairs, own, told, "reject").collect()} == {("f0", "f1"), ("f1", "f3")}
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert joins and not any("uid" in line for line in joins)
