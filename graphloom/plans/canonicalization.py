@@ -27,13 +27,13 @@ class Batch:
         return self.refresh()
 
 
-def canonicalize(entities: DataFrame, mention_edges: DataFrame, index: DataFrame, edges: DataFrame | Callable[[], DataFrame], folders: list[str] | None, adjudications: DataFrame | None = None, policy: str = "fail", fuzzy: bool = True, floor: float = canon.FLOOR, ceiling: float = canon.CEILING) -> Batch:
+def canonicalize(entities: DataFrame, mention_edges: DataFrame | Callable[[], DataFrame], index: DataFrame, edges: DataFrame | Callable[[], DataFrame], folders: list[str] | None, adjudications: DataFrame | None = None, policy: str = "fail", fuzzy: bool = True, floor: float = canon.FLOOR, ceiling: float = canon.CEILING) -> Batch:
     """All tables after the batch of folders (None: all). Only staged mentions of the folders are clustered; entities of earlier batches are
     met again by their exact key. Doing a batch over changes nothing: nothing of it is staged any more.
 
     Where nobody is asked (no adjudications, policy ``reject``), ambiguous pairs all come apart, and only pairs at the
-    ceiling are looked for. Edges are the last thing to be refreshed, and only if somebody wants them; those so far may
-    come as a function.
+    ceiling are looked for. Edges are the last thing to be refreshed, and only if somebody wants them; those so far, and
+    those of mentions, may come as functions.
     """
     mentions = materialize(canon.with_forms(canon.staged(entities, folders).drop("normalized_form", "canonical_id")), "mentions")
     pack = load_pack(canon.batch_pack(mentions, None))
@@ -47,7 +47,7 @@ def canonicalize(entities: DataFrame, mention_edges: DataFrame, index: DataFrame
     after = materialize(canon.promoted(entities, clustered, resolved), "entities")
 
     def refresh() -> DataFrame:
-        return graph.refresh_edges(edges() if callable(edges) else edges, mention_edges, after, clustered)
+        return graph.refresh_edges(edges() if callable(edges) else edges, mention_edges() if callable(mention_edges) else mention_edges, after, clustered)
 
     return Batch(after, canon.extended_index(index, resolved), refresh, canon.batch_counts(resolved))
 

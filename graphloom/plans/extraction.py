@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +22,23 @@ from ..sources.sinks import folder_payloads
 @dataclass(frozen=True)
 class Extraction:
     entities: DataFrame
-    edges: DataFrame
-    summary: DataFrame
     status: DataFrame
+    relate: Callable[[], DataFrame]
+    connect: Callable[[DataFrame], DataFrame]
+    summarize: Callable[[DataFrame, DataFrame], DataFrame]
+
+    @cached_property
+    def relations(self) -> DataFrame:
+        """Validated relations, found when they, edges or summaries are first asked for."""
+        return self.relate()
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        return self.connect(self.relations)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return self.summarize(self.relations, self.edges)
 
     def payloads(self, usage: DataFrame | None = None) -> DataFrame:
         """One thin row per folder."""
@@ -34,6 +50,8 @@ def extract(chunks: DataFrame, settings: Settings | None = None, annotations: di
 
     Annotations are tables (see ``sources.chunks.ANNOTATIONS``); those that the settings need must be there. A folder
     without chunks, or with a request that no attempt answered well, is failed; others do not notice.
+
+    Relations are looked for only where they or what follows from them is wanted.
     """
     settings, given = settings or Settings(engine="rules", pack="commerce"), annotations or {}
     settings.check()
@@ -51,8 +69,8 @@ def extract(chunks: DataFrame, settings: Settings | None = None, annotations: di
         responses = materialize(rel.first_valid(given["responses"]), "responses")
         failed = responses.where("failed").join(chunks.select("chunk_id", "folder_id"), "chunk_id").select("folder_id").distinct()
         status = _failed(status, failed)
+        # Answers on chunks of failed folders go where answers meet their chunks.
         chunks = chunks.join(failed, "folder_id", "left_anti")
-        responses = responses.join(chunks.select("chunk_id"), "chunk_id", "left_semi")
         found = found.join(failed, "folder_id", "left_anti").unionByName(rel.parse_entities(responses.where("mode = 'generate'"), chunks))
     if settings.coref_enabled:
         found = ent.without_pronouns(found)
@@ -65,11 +83,16 @@ def extract(chunks: DataFrame, settings: Settings | None = None, annotations: di
     mentions = materialize(ent.merge_layers(kept), "mentions")
     entities = ent.entity_records(mentions, pack, settings.model_id)
 
-    valid = materialize(rel.validate(_relations(settings, pack, chunks, mentions, responses, given), chunks, pack), "relations")
-    edges = materialize(rel.merge_edges(rel.build_edges(valid.where("grounded"), entities)), "edges")
-    counters = [unmapped, rel.ungrounded_counts(valid)]
-    summary = ent.folder_summary(status, entities, edges, counters, settings.top_n, pack, settings.votes)
-    return Extraction(entities, edges, summary, status)
+    def relate() -> DataFrame:
+        return materialize(rel.validate(_relations(settings, pack, chunks, mentions, responses, given), chunks, pack), "relations")
+
+    def connect(valid: DataFrame) -> DataFrame:
+        return materialize(rel.merge_edges(rel.build_edges(valid.where("grounded"), entities)), "edges")
+
+    def summarize(valid: DataFrame, edges: DataFrame) -> DataFrame:
+        return ent.folder_summary(status, entities, edges, [unmapped, rel.ungrounded_counts(valid)], settings.top_n, pack, settings.votes)
+
+    return Extraction(entities, status, relate, connect, summarize)
 
 
 def _relations(settings, pack, chunks, mentions, responses, given) -> DataFrame:

@@ -841,3 +841,19 @@ def test_answers_are_shuffled_without_uids(spark):
     assert {tuple(r) for r in canon.adjudicated(pairs, own, told, "reject").collect()} == {("f0", "f1"), ("f1", "f3")}
     joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
     assert joins and not any("uid" in line for line in joins)
+
+
+def test_relations_wait_until_they_are_wanted(spark, monkeypatch):
+    """A graph of nodes alone validates no relation, merges no edge and shuffles no uid of the batch."""
+    lines = spark.createDataFrame([("f", "1#0", 1, 0, "Order 12345678 of sales@acme.example.com")], "folder_id string, chunk_id string, doc_id long, line_no int, text string")
+    asked = []
+    for name in ("validate", "merge_edges"):
+        monkeypatch.setattr(rel, name, lambda *a, f=getattr(rel, name), n=name: asked.append(n) or f(*a))
+    out = extract(lines, Settings(engine="rules", pack="commerce"))
+    batch = plan.canonicalize(out.entities, lambda: out.edges, plan.empty_index(spark), plan.empty_edges(spark), None, policy="reject")
+    assert batch.entities.where("canonical_id is not null").count() == batch.entities.count() > 0 and asked == []
+    assert out.summary.count() == 1 and batch.edges.count() == 0 and asked == ["validate", "merge_edges"]
+    own = spark.createDataFrame([("u", "staged"), (None, "staged"), ("w", "staged")], "entity_uid string, stage string")
+    clustered = spark.createDataFrame([("u", "c"), (None, "c")], "entity_uid string, cluster_id string")
+    found = canon.promoted(own, clustered, spark.createDataFrame([("c", "id", "form")], "cluster_id string, canonical_id string, normalized_form string"))
+    assert {(r.entity_uid, r.stage, r.canonical_id) for r in found.collect()} == {("u", "canonicalized", "id"), (None, "staged", None), ("w", "staged", None)}
