@@ -17,23 +17,34 @@ def sentence_of(mentions: DataFrame, spans: DataFrame, position: str = "span_sta
     listed = spans.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("sent_idx", "start", "end"))).alias("__spans"))
     at = F.col(position)
     held = F.filter("__spans", lambda s: (s["start"] <= at) & (at < s["end"]))
-    return mentions.join(listed, "chunk_id").withColumn("sentence", F.get(held, 0)).where("sentence is not null").drop("__spans")
+    # Exploded, so that the sentences of a chunk are gone through once for each mention.
+    joined = mentions.join(listed, "chunk_id")
+    return joined.select(*mentions.columns, F.explode(F.slice(held, 1, 1)).alias("sentence"))
 
 
 def candidate_pairs(mentions: DataFrame, spans: DataFrame, pack: Pack) -> DataFrame:
-    """Ordered pairs of mentions of one sentence with the relations the pack allows between them."""
-    placed = sentence_of(mentions, spans)
-    side = {
-        end: placed.select("chunk_id", F.col("sentence.sent_idx").alias("sent_idx"), *([F.col("sentence").alias("sentence")] if end == "src" else []), F.col("ord").alias(f"{end}_ord"), F.col("surface_form").alias(f"{end}_surface"), F.col("entity_type").alias(f"{end}_type"), F.struct(F.col("span_start").alias("start"), F.col("span_end").alias("end")).alias(f"{end}_span"))
-        for end in ("src", "dst")
-    }
-    choices = pack.allowed_table(mentions.sparkSession).groupBy("src_type", "dst_type").agg(F.array_sort(F.collect_list("relation_type")).alias("allowed"))
-    # Only types that can be a source or a target at all enter the self-join.
+    """Ordered pairs of mentions of one sentence with the relations the pack allows between them.
+
+    Mentions of a sentence are gathered where those of its chunk already are, and paired there: nothing is shuffled for
+    the pairs, nor placed once for each side. What follows by chunk needs no shuffle either.
+    """
+    # Only types that can be a source or a target at all are gathered on that side.
     table = pack.allowed_table(mentions.sparkSession)
-    src = side["src"].join(small(table.select("src_type").distinct(), len(pack.parents)), "src_type", "left_semi")
-    dst = side["dst"].join(small(table.select("dst_type").distinct(), len(pack.parents)), "dst_type", "left_semi")
-    both = src.join(dst, ["chunk_id", "sent_idx"]).where(F.col("src_ord") != F.col("dst_ord"))
-    return both.join(small(choices, len(pack.parents) ** 2), ["src_type", "dst_type"])
+    ends = F.explode(F.array(*(F.struct(F.col(f"{end}_type").alias("entity_type"), F.lit(end == "src").alias("src"), F.lit(end == "dst").alias("dst")) for end in ("src", "dst"))))
+    roles = table.select(ends.alias("e")).groupBy("e.entity_type").agg(F.bool_or("e.src").alias("__src"), F.bool_or("e.dst").alias("__dst"))
+    placed = sentence_of(mentions, spans).where("sentence.sent_idx is not null and ord is not null").join(small(roles, len(pack.parents)), "entity_type")
+
+    def side(end: str) -> Column:
+        span = F.struct(F.col("span_start").alias("start"), F.col("span_end").alias("end"))
+        more = [F.col("sentence")] if end == "src" else []
+        item = F.struct(F.col("entity_type").alias("type"), F.col("ord"), F.col("surface_form").alias("surface"), span.alias("span"), *more)
+        return F.collect_list(F.when(F.col(f"__{end}"), item)).alias(f"__{end}s")
+
+    held = placed.groupBy("chunk_id", F.col("sentence.sent_idx").alias("sent_idx")).agg(side("src"), side("dst"))
+    both = held.select("chunk_id", "sent_idx", F.explode("__srcs").alias("s"), "__dsts").select("chunk_id", "sent_idx", "s", F.explode("__dsts").alias("d")).where("s.ord != d.ord")
+    choices = table.groupBy("src_type", "dst_type").agg(F.array_sort(F.collect_list("relation_type")).alias("allowed"))
+    paired = both.select(F.col("s.type").alias("src_type"), F.col("d.type").alias("dst_type"), "chunk_id", "sent_idx", "s.sentence", *(F.col(f"{x}.{c}").alias(f"{end}_{c}") for x, end in (("s", "src"), ("d", "dst")) for c in ("ord", "surface", "span")))
+    return paired.join(small(choices, len(pack.parents) ** 2), ["src_type", "dst_type"])
 
 
 def _attributes(token: dict, alias: str) -> Column:

@@ -75,14 +75,29 @@ def parse_relations(responses: DataFrame, extractor: str = "llm") -> DataFrame:
     return found.select("chunk_id", "run_idx", F.array(F.col("item").cast("int")).alias("ord"), F.col("type").alias("relation_type"), *ends, F.coalesce(F.col("confidence").cast("double"), F.lit(0.6)).alias("confidence"), F.col("evidence").alias("evidence_text"), F.lit(extractor).alias("extractor"))
 
 
+#: What a label needs of its pair.
+PAIR = ("src_surface", "src_type", "dst_surface", "dst_type", "allowed")
+
+
+def gather_calls(pairs: DataFrame) -> DataFrame:
+    """The pairs of each call, as ``plan_batches`` numbers them, in one array ``pairs`` by ``pair_index``."""
+    return pairs.groupBy("chunk_id", "batch_no").agg(F.array_sort(F.collect_list(F.struct("pair_index", *PAIR))).alias("pairs"))
+
+
 def parse_labels(responses: DataFrame, pairs: DataFrame) -> DataFrame:
     """Relations chosen for numbered pairs (E16): the index must exist, the label be allowed for that pair and have
-    evidence. ``pairs`` are as ``plan_batches`` numbers them."""
+    evidence. ``pairs`` are as ``plan_batches`` numbers them, or as ``gather_calls`` gathers those.
+
+    Answers meet their call, not each label its pair; the pair is looked up in the call.
+    """
+    called = pairs if "pairs" in pairs.columns else gather_calls(pairs)
+    # Tables of calls are small beside what is made of them: they are dealt out, never broadcast.
+    called = called.withColumn("__at", F.col("pairs.pair_index")).hint("merge")
     index = F.col("pair_index").try_cast("int")
-    found = _items(responses, "labels", LABEL_ITEM).select("chunk_id", "run_idx", "batch_no", "item", index.alias("pair_index"), F.col("relation_type").alias("__label"), "evidence")
-    found = found.where("__label <> 'no_relation' and evidence <> ''")
-    chosen = found.join(pairs, ["chunk_id", "batch_no", "pair_index"]).where(F.array_contains("allowed", F.col("__label")))
-    return chosen.select("chunk_id", "run_idx", F.array(F.col("batch_no").cast("int"), F.col("item").cast("int")).alias("ord"), F.col("__label").alias("relation_type"), "src_surface", "src_type", "dst_surface", "dst_type", F.lit(1.0).alias("confidence"), F.col("evidence").alias("evidence_text"), F.lit("llm-classify").alias("extractor"))
+    found = _items(responses.join(called, ["chunk_id", "batch_no"]), "labels", LABEL_ITEM)
+    found = found.where("relation_type <> 'no_relation' and evidence <> ''").withColumn("__pair", F.get("pairs", F.array_position("__at", index) - 1))
+    chosen = found.where(F.array_contains("__pair.allowed", F.col("relation_type")))
+    return chosen.select("chunk_id", "run_idx", F.array(F.col("batch_no").cast("int"), F.col("item").cast("int")).alias("ord"), "relation_type", *(f"__pair.{c}" for c in PAIR[:-1]), F.lit(1.0).alias("confidence"), F.col("evidence").alias("evidence_text"), F.lit("llm-classify").alias("extractor"))
 
 
 def apply_rewrites(chunks: DataFrame, rewrites: DataFrame) -> DataFrame:

@@ -165,9 +165,8 @@ def entity_scoped_parse(spark, sf_dir):
 
 def _sentences(lines):
     """Sentences of a line: up to and including each full stop."""
-    parts = lines.select("chunk_id", F.posexplode(F.split("text", r"(?<=\.)")).alias("sent_idx", "part"), F.split("text", r"(?<=\.)").alias("all"))
-    start = F.aggregate(F.slice("all", F.lit(1), F.col("sent_idx")), F.lit(0), lambda n, s: n + F.char_length(s))
-    return parts.where("part <> ''").select("chunk_id", "sent_idx", start.alias("start"), (start + F.char_length("part")).alias("end"))
+    found = ent.find_patterns(lines, [(0, r"[^.]*\.|[^.]+")])
+    return found.select("chunk_id", F.col("match_idx").alias("sent_idx"), F.col("span_start").alias("start"), F.col("span_end").alias("end"))
 
 
 def _pairs(spark, sf_dir):
@@ -183,12 +182,17 @@ def candidate_pairs(spark, sf_dir):
 
 def classify_parse(spark, sf_dir):
     """Pairs in calls of twenty; the answer picks the first choice of every even pair, and invents some."""
-    pairs = rel.plan_batches(_pairs(spark, sf_dir))
-    label = F.when(F.col("pair_index") % 2 == 0, F.element_at("allowed", 1)).when(F.col("pair_index") % 3 == 0, F.lit("invented")).otherwise(F.lit("no_relation"))
-    item = F.concat(F.lit('{"pair_index":'), F.col("pair_index").cast("string"), F.lit(',"relation_type":"'), label, F.lit('","evidence":"'), F.col("src_surface"), F.lit('"}'))
-    bodies = pairs.groupBy("chunk_id", "batch_no").agg(F.concat(F.lit('{"labels":['), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pair_index", item.alias("x")))), lambda s: s["x"]), ","), F.lit("]}")).alias("body"))
-    answers = bodies.select("chunk_id", F.lit("classify").alias("mode"), F.lit(1).alias("run_idx"), "batch_no", "body")
-    return rel.parse_labels(answers, pairs).drop("run_idx").withColumn("ord", F.col("ord")[0] * rel.BATCH + F.col("ord")[1])
+    # Questions and answers are about the same calls: their pairs are found once.
+    calls = materialize(rel.gather_calls(rel.plan_batches(_pairs(spark, sf_dir))), "calls")
+
+    def item(p):
+        n = p["pair_index"]
+        label = F.when(n % 2 == 0, F.element_at(p["allowed"], 1)).when(n % 3 == 0, F.lit("invented")).otherwise(F.lit("no_relation"))
+        return F.concat(F.lit('{"pair_index":'), n.cast("string"), F.lit(',"relation_type":"'), label, F.lit('","evidence":"'), p["src_surface"], F.lit('"}'))
+
+    body = F.concat(F.lit('{"labels":['), F.array_join(F.transform("pairs", item), ","), F.lit("]}"))
+    answers = calls.select("chunk_id", F.lit("classify").alias("mode"), F.lit(1).alias("run_idx"), "batch_no", body.alias("body"))
+    return rel.parse_labels(answers, calls).drop("run_idx").withColumn("ord", F.col("ord")[0] * rel.BATCH + F.col("ord")[1])
 
 
 def coref_apply(spark, sf_dir):

@@ -857,3 +857,62 @@ def test_relations_wait_until_they_are_wanted(spark, monkeypatch):
     clustered = spark.createDataFrame([("u", "c"), (None, "c")], "entity_uid string, cluster_id string")
     found = canon.promoted(own, clustered, spark.createDataFrame([("c", "id", "form")], "cluster_id string, canonical_id string, normalized_form string"))
     assert {(r.entity_uid, r.stage, r.canonical_id) for r in found.collect()} == {("u", "canonicalized", "id"), (None, "staged", None), ("w", "staged", None)}
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(chunk_id")
+
+
+def test_pairs_are_made_where_mentions_meet_sentences(spark, monkeypatch):
+    """Pairs of a chunk are found, numbered and gathered behind the two shuffles that mentions and sentences need."""
+    monkeypatch.setattr(prs, "small", lambda table, rows: F.broadcast(table))
+    rng, kinds = random.Random(5), ("Person", "Supplier", "Organization", "Place", "Code")
+    rows = [candidate("spacy", s, s + 1, f"w{s}", kinds[rng.randrange(5)], f"c{c}", s) for c in range(3) for s in rng.sample(range(60), 25)]
+    spans = [(f"c{c}", k, k * 10, k * 10 + 10) for c in range(3) for k in (0, 1, 2, 4)] + [("c0", 5, 0, 5), ("c9", 0, 0, 60), ("c1", None, 50, 60)]
+    held = {(r[1], r[7]): min((s for s in spans if s[0] == r[1] and s[1] is not None and s[2] <= r[6] < s[3]), default=None) for r in rows for r in [(*r[:6], r[6], r[6])]}
+    pack = commerce()
+    relations = [r["type"] for r in pack.relations]
+    want = {}
+    for a in rows:
+        for b in rows:
+            x, y = held[a[1], a[6]], held[b[1], b[6]]
+            choices = tuple(sorted(r for r in relations if pack.allowed(r, a[4], b[4])))
+            if a[1] == b[1] and a is not b and x is not None and x == y and choices:
+                want.setdefault(a[1], []).append((a[6], b[6], x[1:], choices))
+    found = prs.candidate_pairs(spark.createDataFrame(rows, CANDIDATE), spark.createDataFrame(spans, "chunk_id string, sent_idx int, start int, end int"), pack)
+    got = [(r.chunk_id, r.src_span.start, r.dst_span.start, tuple(r.sentence), tuple(r.allowed)) for r in found.collect()]
+    assert sorted(got) == sorted((c, *p) for c, ps in want.items() for p in ps) and len(got) > 30
+    calls = rel.gather_calls(rel.plan_batches(found, 4))
+    assert _exchanges(calls) == 2
+    assert sorted((r.chunk_id, r.batch_no, [p.src_surface + p.dst_surface for p in r.pairs]) for r in calls.collect()) == sorted(
+        (c, n, [f"w{a}w{b}" for a, b, *_ in sorted(ps)[n * 4 : n * 4 + 4]]) for c, ps in want.items() for n in range(-(-len(ps) // 4))
+    )
+
+
+def test_labels_are_looked_up_in_their_call(spark):
+    """Answers and calls are shuffled, not labels and pairs; odd indices choose nothing, gaps between numbers do no harm."""
+    schema = "chunk_id string, batch_no int, pair_index int, src_surface string, src_type string, dst_surface string, dst_type string, allowed array<string>"
+    pairs = spark.createDataFrame([("c", 0, 3, "d", "P", "e", "P", ["r"]), ("c", 0, 0, "a", "P", "b", "P", ["q", "r"]), ("c", 1, 0, "x", "P", "y", "P", None)], schema)
+    labels = ",".join(f'{{"pair_index":{i},"relation_type":"{t}","evidence":"{e}"}}' for i, t, e in (("0", "r", "1"), ('"3"', "r", "2"), ("1", "r", "3"), ("-1", "r", "4"), ("null", "r", "5"), ("3", "q", "6"), ("3", "no_relation", "7"), ("0", "q", ""), ("0", "q", "8")))
+    answers = spark.createDataFrame([("c", 2, 0, f'{{"labels":[{labels}]}}'), ("c", 1, 1, '{"labels":[{"pair_index":0,"relation_type":"r","evidence":"9"}]}'), ("c", 1, 7, f'{{"labels":[{labels}]}}'), ("c", 3, 0, '{"labels":"none"}')], "chunk_id string, run_idx int, batch_no int, body string")
+    want = {("c", 2, (0, 0), "r", "a", "b", "1"), ("c", 2, (0, 1), "r", "d", "e", "2"), ("c", 2, (0, 8), "q", "a", "b", "8")}
+    for given in (pairs, rel.gather_calls(pairs)):
+        chosen = rel.parse_labels(answers, given)
+        assert {(r.chunk_id, r.run_idx, tuple(r.ord), r.relation_type, r.src_surface, r.dst_surface, r.evidence_text) for r in chosen.collect()} == want
+        plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate posexplode") < plan.index("Join Inner")
+
+
+def test_sentences_of_a_line(spark):
+    from graphloom.queries.extraction import _sentences
+
+    texts = ["One. Two.", "a..b", "", ".", "no stop", "é\U0001f600. x\r. ", "." * 3]
+    got = [(r.chunk_id, r.sent_idx, r.start, r.end) for r in _sentences(chunk_rows(spark, texts)).collect()]
+    want = []
+    for c, text in enumerate(texts):
+        at = 0
+        for k, part in enumerate(p for p in re.split(r"(?<=\.)", text) if p):
+            want.append((f"c{c}", k, at, at + len(part)))
+            at += len(part)
+    assert sorted(got) == sorted(want)
+    assert "MapInArrow" in _sentences(chunk_rows(spark, texts))._jdf.queryExecution().optimizedPlan().toString()
