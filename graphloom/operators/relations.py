@@ -153,10 +153,10 @@ def vote(relations: DataFrame, k: int) -> DataFrame:
     """Relations found in at least half (rounded up) of k runs, their confidence the share of runs.
 
     Repeats inside a run count once; the other fields come from the first occurrence. Rules run once and are not
-    voted on (A07).
+    voted on (A07). One shuffle by chunk serves the vote and what follows by chunk.
     """
     key = ["chunk_id", "relation_type", "src_surface", "src_type", "dst_surface", "dst_type"]
-    voted = relations.where((F.col("extractor") != "rules") & (F.col("run_idx") <= k)).groupBy(*key)
+    voted = relations.where((F.col("extractor") != "rules") & (F.col("run_idx") <= k)).repartition("chunk_id").groupBy(*key)
     first = F.struct("run_idx", "ord")
     kept = voted.agg(F.count_distinct("run_idx").alias("__votes"), F.min(first).alias("__first"), F.min_by("evidence_text", first).alias("evidence_text"), F.min_by("extractor", first).alias("extractor"))
     kept = kept.where(F.col("__votes") >= -(-k // 2)).select("chunk_id", F.col("__first.run_idx").alias("run_idx"), F.col("__first.ord").alias("ord"), "relation_type", "src_surface", "src_type", "dst_surface", "dst_type", (F.col("__votes") / k).alias("confidence"), "evidence_text", "extractor")

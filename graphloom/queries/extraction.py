@@ -143,7 +143,8 @@ def folder_summary(spark, sf_dir):
 
 def folder_state(spark, sf_dir):
     """What callers are told of every folder."""
-    status = _folders(spark, sf_dir)
+    # A row for each folder, which the summary and the payloads both start from.
+    status = materialize(_folders(spark, sf_dir), "status")
     return folder_payloads(status, _summary(spark, sf_dir, status))
 
 

@@ -916,3 +916,29 @@ def test_sentences_of_a_line(spark):
             at += len(part)
     assert sorted(got) == sorted(want)
     assert "MapInArrow" in _sentences(chunk_rows(spark, texts))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_shuffle_by_chunk_serves_votes_and_spans(spark, monkeypatch):
+    monkeypatch.setattr(rel, "small", lambda table, rows: F.broadcast(table))
+    lines = chunk_rows(spark, ["Ann met Ann at Acme", "Ann left"])
+    told = lambda chunk, run, surface, kind="Person": (chunk, run, f'{{"entities":[{{"type":"{kind}","surface":"Ann"}},{{"type":"{kind}","surface":"Ann"}},{{"type":"{kind}","surface":"{surface}"}}],"relations":[{{"type":"related_to","src":"Ann","src_type":"Person","dst":"{surface}","dst_type":"Person","evidence":"Ann"}}]}}')
+    rows = [told("c0", 1, "Acme"), told("c0", 2, "Acme"), told("c0", 3, "Bob"), told("c1", 1, "Cyd"), told("c1", 3, "left")]
+    answers = spark.createDataFrame(rows, "chunk_id string, run_idx int, body string")
+    valid = rel.validate(rel.vote(rel.parse_relations(answers), 3), lines, commerce())
+    found = ent.merge_layers(rel.parse_entities(answers, lines))
+    for made in (valid, found):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(") == _exchanges(made) == 2
+    assert [(r.chunk_id, r.dst_surface, r.confidence, r.grounded) for r in valid.collect()] == [("c0", "Acme", 2 / 3, True)]
+    assert {(r.chunk_id, r.surface_form, r.span_start, r.occurrence_idx) for r in found.collect()} == {("c0", "Ann", 0, 0), ("c0", "Ann", 8, 0), ("c0", "Acme", 15, 0), ("c1", "Ann", 0, 0), ("c1", "Ann", None, 0), ("c1", "Cyd", None, 0)}
+
+
+def test_lines_are_put_into_words_and_counted_once(spark):
+    """Texts are gone through before answers are made of them, and not again for what callers are told."""
+    from graphloom.queries import extraction as ext
+    from graphloom.queries import inputs as inp
+
+    plan = inp.responses(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" in plan and plan.rindex("Generate explode([1,2,3])") < plan.index("regexp_replace") and plan.count("regexp_extract_all") == 1
+    told = ext.folder_state(spark, "/root/testdata/sf0.001")
+    assert "Generate posexplode" not in told._jdf.queryExecution().optimizedPlan().toString()
